@@ -80,12 +80,13 @@ def product_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = (li.join(part, li.l_partkey == part.p_partkey)
          .groupBy(F.col("p_type").alias("product"), "date")
          .agg(F.sum(F.col("l_quantity").cast("bigint")).alias("units_sold"),
-              F.sum("l_extendedprice").alias("_rev"), F.sum("l_quantity").alias("_q"),
+              F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("_cents"),
               F.sum(F.col("p_size").cast("bigint")).alias("stock"),
               F.max(F.when(F.col("l_discount") >= 0.095, 1).otherwise(0)).alias("promotion")))
     return g.select(
         "date", "product", "units_sold",
-        (F.col("_rev") / F.col("_q")).alias("price"),
+        # integer cents per unit (floor), so the price is exact and reproducible
+        (F.expr("_cents div units_sold") / 100.0).alias("price"),
         "stock", F.col("promotion").cast("int").alias("promotion"),
         (iso_day_of_week(F.col("date")) - 1).alias("day_of_week"),
         F.month("date").alias("month"),
