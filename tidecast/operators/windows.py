@@ -120,3 +120,10 @@ def latest_state(feat: DataFrame, key: str = "Store") -> DataFrame:
         F.max((F.col("DayOfWeek") == 7).cast("int")).alias("_has_sunday"),
         F.max("n_rows").alias("n_rows"),
     ).withColumn("closes_on_sundays", F.col("_has_sunday") == 0).drop("_has_sunday")
+
+
+def with_positions(df: DataFrame, key: str, order: str) -> DataFrame:
+    """0-based ``row_position`` and ``n_rows`` per series (one window pass)."""
+    w = Window.partitionBy(key).orderBy(order)
+    return df.select("*", (F.row_number().over(w) - 1).alias("row_position"),
+                     F.count(F.lit(1)).over(Window.partitionBy(key)).alias("n_rows"))
