@@ -191,6 +191,20 @@ SELECT k.*, CAST(ROW_NUMBER() OVER ({_PW}) - 1 AS INTEGER) AS row_position,
 FROM (SELECT a.*, units_sold - same_day_last_week_sales AS residual FROM syn_all a
       WHERE rolling_7_day_average IS NOT NULL AND same_day_last_week_sales IS NOT NULL) k""")
 
+_PLAGS = ", ".join(f"CAST(LAG(units_sold, {d}) OVER ({_PW}) AS DOUBLE)" for d in range(1, 8))
+
+cte("syn_horizon", ["syn_features"], f"""
+SELECT product, CAST(row_position - d.forecast_day - 29 AS INTEGER) AS sample_index,
+       CAST(d.forecast_day AS INTEGER) AS forecast_day, date AS target_date, actual_sales,
+       lags[d.forecast_day] AS last_value, weekly_seasonal, residual, n_windows,
+       CASE WHEN row_position - d.forecast_day - 29 >= CAST(floor(n_windows * 0.8) AS INTEGER)
+            THEN 'test' ELSE 'train' END AS split
+FROM (SELECT product, date, row_position, CAST(units_sold AS DOUBLE) AS actual_sales,
+             CAST(LAG(units_sold, 7) OVER ({_PW}) AS DOUBLE) AS weekly_seasonal, residual,
+             [{_PLAGS}] AS lags, CAST(GREATEST(n_rows - 36, 0) AS INTEGER) AS n_windows FROM syn_features) b
+CROSS JOIN range(1, 8) d(forecast_day)
+WHERE row_position - d.forecast_day - 29 >= 0 AND row_position - d.forecast_day - 29 < n_windows""")
+
 # --- forecasting state ------------------------------------------------------------------------
 cte("state", ["features"], """
 SELECT Store, max(Date) AS latest_date,
