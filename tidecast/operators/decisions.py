@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..params import (REASON_SALES, REASON_STOCK, RISK_SCORE, TEXT_HIGH, TEXT_LOW,
-                      TEXT_MEDIUM, TEXT_NO_STOCK, TEXT_REPORT_FALLBACK)
+from ..params import (REASON_SALES, REASON_STOCK, RISK_SCORE, TEXT_HIGH, TEXT_LOW, TEXT_MEDIUM,
+                      TEXT_NO_STOCK, TEXT_REPORT_REORDER, TEXT_REPORT_SUFFICIENT)
 
 
 def insight_columns(total: Column, n_days: Column, stock: Column, price: Column,
@@ -63,8 +63,14 @@ def insights_struct() -> Column:
     return F.struct(*[F.col(c) for c in INSIGHT_FIELDS])
 
 
-def report_recommendation(text: Column) -> Column:
-    return F.coalesce(text, F.lit(TEXT_REPORT_FALLBACK))
+def report_recommendation(text: Column, reorder_needed: Column, qty: Column) -> Column:
+    """The report's text: the service recommendation, else a fallback by the
+    reorder flag (empty text counts as missing)."""
+    head, tail = TEXT_REPORT_REORDER.split("{qty}")
+    fallback = F.when(F.coalesce(reorder_needed, F.lit(False)),
+                      F.concat(F.lit(head), F.coalesce(qty.cast("string"), F.lit("")), F.lit(tail))) \
+                .otherwise(F.lit(TEXT_REPORT_SUFFICIENT))
+    return F.when(F.coalesce(F.length(text), F.lit(0)) > 0, text).otherwise(fallback)
 
 
 def alias_coalesce(df: DataFrame, names: Sequence[str], out: str) -> DataFrame:

@@ -56,7 +56,8 @@ TEXT_NO_STOCK = ("Forecast generated successfully. Add current_stock to receive
 TEXT_HIGH = "High stock-out risk. Reorder immediately."
 TEXT_MEDIUM = "Stock level is close to the reorder point. Reorder soon."
 TEXT_LOW = "Stock level looks sufficient for the next 7 open days."
-TEXT_REPORT_FALLBACK = "No recommendation available."
+TEXT_REPORT_REORDER = "Reorder immediately. Recommended quantity: {qty} units."
+TEXT_REPORT_SUFFICIENT = "Stock levels are sufficient for this period."
 REASON_STOCK = "Lowest stock-out risk, higher projected stock, or lower reorder need."
 REASON_SALES = ("Highest predicted sales. Inventory risk cannot be compared "
                 "without current_stock.")

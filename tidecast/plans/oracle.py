@@ -216,6 +216,10 @@ SELECT Store, max(Date) AS latest_date,
        max(CASE WHEN DayOfWeek = 7 THEN 1 ELSE 0 END) = 0 AS closes_on_sundays
 FROM features GROUP BY Store""")
 
+cte("future_dates_cal", ["state"], """
+SELECT s.*, CAST(s.latest_date + INTERVAL (k.k) DAY AS DATE) AS date, CAST(k.k AS INTEGER) AS step
+FROM state s CROSS JOIN range(1, 8) k(k)""")
+
 # Future dates: the first 7 non-skipped days after the latest date.
 cte("future_dates", ["state"], """
 SELECT * FROM (
@@ -241,3 +245,56 @@ def sql(final: str, *needs: str) -> str:
     if not order:
         return final.strip()
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order) + "\n" + final.strip()
+
+
+def _future_pred(src: str) -> str:
+    return f"""
+SELECT fd.*, CAST(isodow(fd.date) AS INTEGER) AS day_of_week,
+       CAST(CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0 ELSE 1 END AS INTEGER) AS open,
+       COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) AS lag_7_sales,
+       CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0.0
+            ELSE COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) END AS raw_prediction,
+       CAST(round_even(CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0.0
+            ELSE COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) END, 0) AS BIGINT) AS predicted_sales
+FROM {src} fd LEFT JOIN features h ON h.Store = fd.Store AND h.Date = fd.date - 7"""
+
+
+cte("future_pred", ["future_dates", "features"], _future_pred("future_dates"))
+cte("future_pred_cal", ["future_dates_cal", "features"], _future_pred("future_dates_cal"))
+
+cte("scenarios", [], """
+SELECT position, name, promo, CAST(stock AS BIGINT) AS current_stock, CAST(price AS DOUBLE) AS unit_price,
+       CAST(lead AS INTEGER) AS reorder_lead_time_days, CAST(safety AS DOUBLE) AS safety_stock_percentage
+FROM (VALUES (0, 'Normal', false, 300, 12.5, 3, 0.15), (1, 'Promo', true, 300, 10.0, 3, 0.15),
+             (2, 'Lean', false, 50, 12.5, 7, 0.30), (3, 'NoStock', false, NULL, NULL, 3, 0.15),
+             (4, 'Twin of Normal', false, 300, 12.5, 3, 0.15)) v(position, name, promo, stock, price, lead, safety)""")
+
+cte("scen_ins0", ["future_pred", "scenarios"], """
+SELECT t.Store, s.*, t.total, t.n,
+       CAST(round_even(CAST(t.total AS DOUBLE) / t.n, 0) AS BIGINT) AS avg_ins,
+       CAST(t.total AS DOUBLE) * s.unit_price AS expected_revenue,
+       s.current_stock - t.total AS projected,
+       CASE WHEN s.current_stock IS NOT NULL THEN CAST(t.total AS DOUBLE) * s.safety_stock_percentage END AS safety_stock
+FROM (SELECT Store, CAST(SUM(predicted_sales) AS BIGINT) AS total, COUNT(*) AS n FROM future_pred GROUP BY Store) t
+CROSS JOIN scenarios s""")
+
+cte("scen_ins", ["scen_ins0"], """
+SELECT *, CASE WHEN current_stock IS NULL THEN NULL WHEN projected < 0 THEN 'high'
+               WHEN current_stock <= reorder_point THEN 'medium' ELSE 'low' END AS risk,
+       CASE WHEN current_stock IS NULL THEN NULL
+            WHEN projected < 0 OR current_stock <= reorder_point THEN true ELSE false END AS needed,
+       CASE WHEN current_stock IS NULL THEN NULL
+            WHEN projected < 0 OR current_stock <= reorder_point
+            THEN GREATEST(0, CAST(round_even(CAST(total AS DOUBLE) + safety_stock - current_stock, 0) AS BIGINT))
+            ELSE 0 END AS qty
+FROM (SELECT *, CASE WHEN current_stock IS NOT NULL THEN avg_ins * reorder_lead_time_days + safety_stock END AS reorder_point
+      FROM scen_ins0)""")
+
+cte("scen_score", ["scen_ins"], """
+SELECT *, current_stock IS NOT NULL AS has_stock,
+       CASE WHEN current_stock IS NOT NULL THEN
+            CAST(CASE lower(COALESCE(risk, 'high')) WHEN 'low' THEN 100 WHEN 'medium' THEN 50 ELSE 0 END AS DOUBLE)
+            + CASE WHEN NOT COALESCE(needed, true) THEN 200.0 ELSE 0.0 END
+            + CAST(COALESCE(projected, 0) AS DOUBLE) * 0.01 - CAST(COALESCE(qty, 0) AS DOUBLE) * 0.05
+       ELSE CAST(COALESCE(total, 0) AS DOUBLE) END AS score
+FROM scen_ins""")

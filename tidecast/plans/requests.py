@@ -101,3 +101,41 @@ def comparison_variants(state: DataFrame) -> DataFrame:
 
     return allc.select(*[F.transform(c, lambda x: F.date_format(x, "yyyy-MM-dd")).alias(c)
                          if c in ("promo_dates", "school_holiday_dates") else F.col(c) for c in cols])
+
+
+def default_requests(state: DataFrame, open_days_only: bool = True) -> DataFrame:
+    """One service-default request per store (request_id = Store)."""
+    return state.select(
+        "*", F.col("Store").cast("bigint").alias("request_id"), F.lit(7).alias("forecast_days"),
+        F.lit(open_days_only).alias("forecast_open_days_only"),
+        F.array().cast("array<date>").alias("promo_dates"), F.array().cast("array<date>").alias("school_holiday_dates"),
+        F.lit(None).cast("bigint").alias("current_stock"), F.lit(None).cast("double").alias("unit_price"),
+        F.lit(3).alias("reorder_lead_time_days"), F.lit(0.15).alias("safety_stock_percentage"))
+
+
+# Promo / school-holiday plans as horizon steps (fixed values): plan id,
+# promo steps, school-holiday steps.
+PLANS = [
+    (0, [], []),
+    (1, [1, 2], [6, 7]),
+    (2, [3], [1]),
+    (3, [2, 5], []),
+    (4, [7], [3, 4]),
+    (5, [1, 4, 7], [2]),
+]
+
+
+def plan_requests(state: DataFrame, plans=PLANS) -> DataFrame:
+    """Requests whose planned dates are given as horizon steps of each store."""
+    dates = fc.future_dates(F.col("latest_date"), F.lit(7), F.lit(True), F.col("closes_on_sundays"))
+
+    def at(steps):
+        return F.array(*[F.element_at(dates, s) for s in steps]) if steps else F.array().cast("array<date>")
+    structs = [F.struct(F.lit(pid).alias("plan"), at(p).alias("promo_dates"), at(h).alias("school_holiday_dates"))
+               for pid, p, h in plans]
+    out = state.select("*", F.inline(F.array(*structs)))
+    return out.select(
+        "*", (F.col("Store") * 10 + F.col("plan")).cast("bigint").alias("request_id"), F.lit(7).alias("forecast_days"),
+        F.lit(True).alias("forecast_open_days_only"), F.lit(None).cast("bigint").alias("current_stock"),
+        F.lit(None).cast("double").alias("unit_price"), F.lit(3).alias("reorder_lead_time_days"),
+        F.lit(0.15).alias("safety_stock_percentage"))
