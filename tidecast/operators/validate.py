@@ -64,9 +64,9 @@ def request_defaults(df: DataFrame, d: Request = Request()) -> DataFrame:
         F.coalesce("forecast_days", F.lit(d.forecast_days)).alias("forecast_days"),
         F.coalesce("forecast_open_days_only", F.lit(d.forecast_open_days_only)).alias("forecast_open_days_only"),
         F.transform(F.coalesce("promo_dates", F.array().cast("array<string>")),
-                    lambda x: F.to_date(x, "yyyy-MM-dd")).alias("promo_dates"),
+                    lambda x: F.try_to_date(x, "yyyy-MM-dd")).alias("promo_dates"),
         F.transform(F.coalesce("school_holiday_dates", F.array().cast("array<string>")),
-                    lambda x: F.to_date(x, "yyyy-MM-dd")).alias("school_holiday_dates"),
+                    lambda x: F.try_to_date(x, "yyyy-MM-dd")).alias("school_holiday_dates"),
         F.coalesce("reorder_lead_time_days", F.lit(d.reorder_lead_time_days)).alias("reorder_lead_time_days"),
         F.coalesce("safety_stock_percentage", F.lit(d.safety_stock_percentage)).alias("safety_stock_percentage"),
     )

@@ -70,7 +70,8 @@ REQUEST_VARIANTS = [
 
 
 def request_variants(state: DataFrame, variants=REQUEST_VARIANTS) -> DataFrame:
-    """Raw requests (dates as text) per store, keyed request_id = Store*100+v."""
+    """Raw requests (dates as text) per store, keyed request_id = Store*100+v;
+    the state columns ride along (no join back to the state later)."""
     structs = []
     for v, (name, days, promo, stock, price, lead, safety) in enumerate(variants):
         if promo == "+1":
@@ -85,7 +86,7 @@ def request_variants(state: DataFrame, variants=REQUEST_VARIANTS) -> DataFrame:
             F.array().cast("array<string>").alias("school_holiday_dates"),
             _lit(stock, "bigint").alias("current_stock"), _lit(price, "double").alias("unit_price"),
             _lit(lead, "int").alias("reorder_lead_time_days"), _lit(safety, "double").alias("safety_stock_percentage")))
-    out = state.select("Store", F.inline(F.array(*structs)))
+    out = state.select("*", F.inline(F.array(*structs)))
     return out.withColumn("request_id", (F.col("Store") * 100 + F.col("variant")).cast("bigint"))
 
 
