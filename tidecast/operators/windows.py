@@ -68,7 +68,8 @@ def horizon_rows(feat: DataFrame, wp: WindowParams = WindowParams(), key: str =
                            (F.col("row_position") - F.col("forecast_day") - (wp.lookback - 1)).cast("int"))
     rows = rows.filter((F.col("sample_index") >= 0) & (F.col("sample_index") < F.col("n_windows")))
     return rows.select(
-        key, "sample_index", F.col("forecast_day").cast("int").alias("forecast_day"), "target_date",
+        key, "sample_index", F.col("forecast_day").cast("int").alias("forecast_day"),
+        F.col("forecast_day").cast("int").alias("forecast_day_i"), "target_date",
         (F.col("row_position")).alias("target_row"), "actual_sales", "last_value", "weekly_seasonal",
         split_label(F.col("sample_index"), F.col("train_size")).alias("split"),
         split_label(F.col("sample_index"), F.col("train_size"), F.col("fit_size")).alias("split3"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import q_clean, q_eval, q_features, q_forecast, q_history  # noqa: F401
+from . import q_clean, q_eval, q_features, q_forecast, q_history, q_models  # noqa: F401
 from .registry import QUERIES
 
 
