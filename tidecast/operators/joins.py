@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from ..session import broadcast_if_small
 
-
-def join_sales_store(sales: DataFrame, store_dim: DataFrame, max_dim_rows: int = 200_000) -> DataFrame:
+def join_sales_store(sales: DataFrame, store_dim: DataFrame) -> DataFrame:
     """LEFT equi join of the daily fact with the store dimension.
 
-    The dimension has one row per store; it is broadcast only below a checked
-    row bound (beyond it Spark plans a sort-merge join)."""
-    return sales.join(broadcast_if_small(store_dim, max_dim_rows), "Store", "left")
+    No hint: the dimension (one row per store) is broadcast by Catalyst while
+    its estimated size is under ``spark.sql.autoBroadcastJoinThreshold``, or by
+    AQE from runtime statistics; beyond that bound Spark plans a sort-merge
+    join. The size check is Spark's, so it holds at any store count."""
+    return sales.join(store_dim, "Store", "left")

@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scaling as sc
-from ..session import broadcast_if_small
 
 
 def fit_minmax(df: DataFrame, features: Sequence[str], key: str = "Store",
@@ -43,13 +42,14 @@ def params_long(minmax: DataFrame, key: str = "Store") -> DataFrame:
 
 
 def apply_minmax(df: DataFrame, params: DataFrame, features: Sequence[str], key: str = "Store",
-                 suffix: str = "_scaled", clip: bool = False, max_keys: int = 1_000_000) -> DataFrame:
+                 suffix: str = "_scaled", clip: bool = False) -> DataFrame:
     """Scale ``features`` with fitted params. The params are pivoted to one
     row per key (a known column list, no distinct-values job) and joined on
-    the key; broadcast only below a checked row bound."""
+    the key; AQE turns the join into a broadcast from the runtime size of
+    the params (one row per key), else it stays a sort-merge join."""
     wide = params.groupBy(key).pivot("feature", list(features)).agg(F.first("min").alias("lo"),
                                                                      F.first("max").alias("hi"))
-    j = df.join(broadcast_if_small(wide, max_keys), key, "left")
+    j = df.join(wide, key, "left")
     out = []
     for c in features:
         z = sc.minmax_transform(F.col(c).cast("double"), F.col(f"{c}_lo"), F.col(f"{c}_hi"))

@@ -1,5 +1,4 @@
-"""Session helpers: a tuned local session for tests/bench, shared scratch paths,
-and a size-checked broadcast."""
+"""Session helpers: a tuned local session for tests/bench and shared scratch paths."""
 
 from __future__ import annotations
 
@@ -7,8 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
 # Defaults for a session we create ourselves (tests, bench). A session handed
 # to us by a cluster keeps its own settings.
@@ -61,14 +59,3 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, never reused path under the shared folder (no overwrite, no delete)."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads at most max_rows+1."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast hint only behind a checked row bound; otherwise leave the
-    choice (sort-merge / shuffle-hash, AQE re-plan) to Spark."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
