@@ -398,3 +398,23 @@ def past_only_features(spark, sf):
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"n{i}").alias("n"), r4(f"lo{i}").alias("min"),
                      r4(f"hi{i}").alias("max")) for i, c in enumerate(only)]
     return wide.select("Store", F.inline(F.array(*rows)))
+
+
+_WANTED = PAST_FEATURES + ["holiday_proximity"]   # one feature the table does not have
+
+
+@register("prune_missing_features", sql(" UNION ALL ".join(
+    [f"SELECT '{c}' AS feature, 'kept' AS status, COUNT({c}) AS non_null FROM features" for c in PAST_FEATURES]
+    + ["SELECT 'holiday_proximity' AS feature, 'dropped' AS status, CAST(0 AS BIGINT) AS non_null"]), "features"))
+def prune_missing_features(spark, sf):
+    """Wanted features checked against the table: missing ones are dropped
+    (and reported); kept ones carry their non-null count."""
+    from ..operators import clean
+    feat = _feat(spark, sf)
+    kept, dropped = clean.prune_missing_features(feat, _WANTED)
+    agg = feat.agg(*[F.count(c).alias(c) for c in kept])
+    rows = [F.struct(F.lit(c).alias("feature"), F.lit("kept").alias("status"), F.col(c).alias("non_null"))
+            for c in kept]
+    rows += [F.struct(F.lit(c).alias("feature"), F.lit("dropped").alias("status"),
+                      F.lit(0).cast("bigint").alias("non_null")) for c in dropped]
+    return agg.select(F.inline(F.array(*rows)))

@@ -466,3 +466,34 @@ def fmt_date(spark, sf):
     """'Mon, Jul 14' and the long weekday name of every forecast day."""
     return _rows(spark, sf).select("Store", "step", fmt.fmt_date(F.col("date")).alias("date_text"),
                                    fmt.fmt_weekday(F.col("date")).alias("weekday_text"))
+
+
+@register("fmt_weekday", sql("SELECT Store, step, strftime(date, '%A') AS weekday_text FROM future_pred", "future_pred"))
+def fmt_weekday(spark, sf):
+    """Long weekday name of every forecast day."""
+    return _rows(spark, sf).select("Store", "step", fmt.fmt_weekday(F.col("date")).alias("weekday_text"))
+
+
+@register("sink_forecast_csv", sql("""
+SELECT Store, 'open' AS mode, date, day_of_week, predicted_sales, CAST(NULL AS INTEGER) AS open FROM future_pred
+UNION ALL
+SELECT Store, 'calendar' AS mode, date, day_of_week, predicted_sales, open FROM future_pred_cal""",
+                                   "future_pred", "future_pred_cal"))
+def sink_forecast_csv(spark, sf):
+    """7-day forecasts written as CSV; the Open column only in calendar mode
+    (read back with one schema, where the open-days file has it empty)."""
+    from ..session import scratch_path
+    from ..sources import files
+    out = []
+    for mode, open_only in (("open", True), ("calendar", False)):
+        rows = _rows(spark, sf, open_only).select("Store", "date", "day_of_week", "predicted_sales", "open")
+        if open_only:
+            rows = rows.drop("open")
+        path = files.write_csv(rows, scratch_path(spark, f"forecast_csv_{mode}"))
+        schema = "Store int, date date, day_of_week int, predicted_sales bigint" + (
+            "" if open_only else ", open int")
+        back = spark.read.schema(schema).option("header", True).csv(path)
+        if open_only:
+            back = back.withColumn("open", F.lit(None).cast("int"))
+        out.append(back.withColumn("mode", F.lit(mode)))
+    return out[0].unionByName(out[1]).select("Store", "mode", "date", "day_of_week", "predicted_sales", "open")
