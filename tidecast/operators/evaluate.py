@@ -135,13 +135,14 @@ def error_by(df: DataFrame, col: str, by: Sequence[str] = ("Store",)) -> DataFra
 
 def pivot_predictions(preds: DataFrame, horizon: int = 7, key: Sequence[str] = ("Store", "test_index")) -> DataFrame:
     """Long -> wide report ``Day_k_Actual / Day_k_Pred`` with Mean_MAE / Mean_MAPE
-    per sample; the pivot values are given, so no extra distinct-values job."""
-    wide = preds.groupBy(*key).pivot("forecast_day", list(range(1, horizon + 1))).agg(
-        F.first("actual_sales").alias("Actual"), F.first("predicted_sales").alias("Pred"))
-    means = preds.groupBy(*key).agg(F.avg("absolute_error").alias("Mean_MAE"),
-                                    F.avg("percentage_error").alias("Mean_MAPE"))
-    ren = [F.col(f"{d}_{s}").alias(f"Day_{d}_{s}") for d in range(1, horizon + 1) for s in ("Actual", "Pred")]
-    return wide.select(*key, *ren).join(means, list(key))
+    per sample in ONE aggregation (conditional aggregates; no pivot
+    distinct-values job, no second aggregation, no join)."""
+    d = F.col("forecast_day")
+    cells = [a for k in range(1, horizon + 1) for a in (
+        F.max(F.when(d == k, F.col("actual_sales"))).alias(f"Day_{k}_Actual"),
+        F.max(F.when(d == k, F.col("predicted_sales"))).alias(f"Day_{k}_Pred"))]
+    return preds.groupBy(*key).agg(*cells, F.avg("absolute_error").alias("Mean_MAE"),
+                                   F.avg("percentage_error").alias("Mean_MAPE"))
 
 
 def unpivot_predictions(wide: DataFrame, horizon: int = 7, key: Sequence[str] = ("Store", "test_index")) -> DataFrame:

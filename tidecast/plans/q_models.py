@@ -92,9 +92,9 @@ def stream_request_intake(spark, sf):
     cols = [f.name for f in intake.RAW_REQUEST.fields]
     inbox = scratch_path(spark, "intake_inbox")
     # requests arrive as JSON files, one file per request variant
-    raw.select(*cols).repartition(4, "variant" if "variant" in cols else "request_id") \
+    raw.select(*cols).repartition(4, "request_id") \
        .write.mode("errorifexists").json(inbox)
-    out = intake.run_intake(spark, inbox, snapshot)
+    out = intake.run_intake(spark, inbox, snapshot, max_files_per_trigger=1)  # one batch per file
     hist = spark.read.parquet(out["history"])
     rej = spark.read.parquet(out["rejected"])
     return hist.select("id", "store_id", "total_predicted_sales", "stockout_risk",

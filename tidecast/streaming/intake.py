@@ -45,12 +45,14 @@ def process_batch(batch: DataFrame, snapshot: DataFrame, history_path: str, reje
 
 
 def run_intake(spark: SparkSession, inbox: str, snapshot: DataFrame, history_path: str | None = None,
-               rejected_path: str | None = None, checkpoint: str | None = None) -> dict:
-    """Drain every request file currently in ``inbox`` (availableNow) and stop."""
+               rejected_path: str | None = None, checkpoint: str | None = None,
+               max_files_per_trigger: int = 100) -> dict:
+    """Drain every request file currently in ``inbox`` (availableNow, in
+    micro-batches of at most ``max_files_per_trigger`` files) and stop."""
     history_path = history_path or scratch_path(spark, "intake_history")
     rejected_path = rejected_path or scratch_path(spark, "intake_rejected")
     checkpoint = checkpoint or scratch_path(spark, "intake_checkpoint")
-    stream = spark.readStream.schema(RAW_REQUEST).option("maxFilesPerTrigger", 1).json(inbox)
+    stream = spark.readStream.schema(RAW_REQUEST).option("maxFilesPerTrigger", max_files_per_trigger).json(inbox)
     q = (stream.writeStream
          .foreachBatch(lambda b, _epoch: process_batch(b, snapshot, history_path, rejected_path))
          .option("checkpointLocation", checkpoint)
