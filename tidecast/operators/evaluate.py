@@ -13,7 +13,7 @@ from ..params import WindowParams
 
 
 def prediction_records(h: DataFrame, pred_col: str, split: str | None = "test",
-                       policy: str = "mask", key: str = "Store") -> DataFrame:
+                       policy: str = "mask", key: str = "Store", extra: Sequence[str] = ()) -> DataFrame:
     """Long prediction records for one method: key, sample_index (global),
     test_index (0-based within the split), forecast_day, actual_sales,
     predicted_sales, absolute_error, percentage_error."""
@@ -23,7 +23,7 @@ def prediction_records(h: DataFrame, pred_col: str, split: str | None = "test",
     return df.select(
         key, "sample_index", (F.col("sample_index") - first).cast("int").alias("test_index"),
         "forecast_day", "target_date", a.alias("actual_sales"), p.alias("predicted_sales"),
-        abs_error(a, p).alias("absolute_error"), pct_error(a, p, policy).alias("percentage_error"))
+        abs_error(a, p).alias("absolute_error"), pct_error(a, p, policy).alias("percentage_error"), *extra)
 
 
 def metric_aggs(actual: str = "actual_sales", pred: str = "predicted_sales",

@@ -16,12 +16,13 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.join_sales_store(panel.sales_daily(spark, sf_dir), panel.store_dim(spark, sf_dir))
 
 
-def processed(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = None) -> DataFrame:
+def processed(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = None,
+              grain: str = "nation") -> DataFrame:
     """The processed table: open days, no leakage column, imputed, one-hot,
     calendar parts. Filters are written first so Catalyst pushes them into
     the scans; the store dimension is read once."""
-    dim = panel.store_dim(spark, sf_dir)
-    df = joins.join_sales_store(panel.sales_daily(spark, sf_dir), dim)
+    dim = panel.store_dim(spark, sf_dir, grain)
+    df = joins.join_sales_store(panel.sales_daily(spark, sf_dir, grain), dim)
     df = clean.filter_store(df, stores)
     df = clean.filter_open_days(df)
     df = clean.drop_leakage_columns(df)
@@ -32,8 +33,9 @@ def processed(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = N
     return clean.add_calendar(df)
 
 
-def feature_table(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = None) -> DataFrame:
-    return features.engineer_features(processed(spark, sf_dir, stores))
+def feature_table(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = None,
+                  grain: str = "nation") -> DataFrame:
+    return features.engineer_features(processed(spark, sf_dir, stores, grain))
 
 
 def synthetic_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

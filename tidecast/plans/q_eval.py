@@ -174,10 +174,20 @@ SELECT Store, sample_index, forecast_day, actual_sales, predicted_sales, absolut
        ROUND(percentage_error, 4) AS percentage_error, {_CTX}
 FROM context ORDER BY absolute_error DESC, Store, sample_index, forecast_day LIMIT 20""", "context"))
 def worst_predictions_context(spark, sf):
-    """Top-20 errors enriched with the business context of the target day
-    (top-K first, then a join of 20 rows)."""
-    top = ev.worst_predictions(_preds(spark, sf), 20)
-    return _ctx_out(ev.join_error_context(top, pipeline.feature_table(spark, sf)))
+    """Top-20 errors enriched with the business context of the target day.
+    The context rides along the horizon rows (built from the target row), so
+    the feature table is computed once; then a top-K."""
+    return _ctx_out(ev.worst_predictions(_preds_with_context(spark, sf), 20))
+
+
+def _preds_with_context(spark, sf):
+    """Prediction records + target-row context in ONE pass over the features
+    (same values as ``join_error_context``, without the second feature scan)."""
+    feat = pipeline.feature_table(spark, sf)
+    ctx = [c for c in ev.CONTEXT_COLUMNS if c not in ("Date", "Sales")]
+    h = windows.horizon_rows(feat, extra=ctx)
+    p = ev.prediction_records(h, "weekly_seasonal", extra=ctx)
+    return p.withColumn("Date", F.col("target_date")).withColumn("Sales", F.col("actual_sales").cast("bigint"))
 
 
 @register("join_error_context", sql(f"""
@@ -203,9 +213,7 @@ def drop_unmatched_context(spark, sf):
 
 def _by(col: str, label_sql: str):
     def build(spark, sf):
-        feat = pipeline.feature_table(spark, sf)
-        p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
-        ctx = ev.drop_unmatched_context(ev.join_error_context(p, feat))
+        ctx = ev.drop_unmatched_context(_preds_with_context(spark, sf))
         return ev.error_by(ctx, col).select("Store", col, "label", r4("mean_abs_error").alias("mean_abs_error"),
                                             "n_points")
     build.__doc__ = f"Mean absolute error per store and {col}, labelled."

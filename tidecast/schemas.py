@@ -61,3 +61,18 @@ PREDICTION = T.StructType([
     T.StructField("absolute_error", T.DoubleType()),
     T.StructField("percentage_error", T.DoubleType()),
 ])
+
+
+# Input tables of the testdata adapter (only the columns the adapter reads;
+# parquet resolves columns by name, so a narrower schema is also the pruning).
+LINEITEM = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_suppkey", T.LongType()), T.StructField("l_quantity", T.DoubleType()),
+    T.StructField("l_extendedprice", T.DoubleType()), T.StructField("l_discount", T.DoubleType()),
+    T.StructField("l_shipdate", T.TimestampNTZType()),
+])
+SUPPLIER = T.StructType([T.StructField("s_suppkey", T.LongType()), T.StructField("s_nationkey", T.IntegerType())])
+NATION = T.StructType([T.StructField("n_nationkey", T.IntegerType())])
+PART = T.StructType([T.StructField("p_partkey", T.LongType()), T.StructField("p_type", T.StringType()),
+                     T.StructField("p_size", T.IntegerType())])
+INPUTS = {"lineitem": LINEITEM, "supplier": SUPPLIER, "nation": NATION, "part": PART}

@@ -12,10 +12,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_day_of_week
+from ..schemas import INPUTS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A testdata table with its explicit schema (no inference job)."""
+    reader = spark.read.schema(INPUTS[name]) if name in INPUTS else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _closed_sunday(store: Column, dow: Column) -> Column:
@@ -23,13 +26,17 @@ def _closed_sunday(store: Column, dow: Column) -> Column:
     return (dow == 7) & (store % 4 != 3)
 
 
-def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_daily(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """Daily sales fact: Store, Date, DayOfWeek, Sales, Customers, Open, Promo,
-    StateHoliday, SchoolHoliday (schema ``schemas.SALES_DAILY``)."""
+    StateHoliday, SchoolHoliday (schema ``schemas.SALES_DAILY``).
+
+    ``grain="nation"`` (the fixture: 25 stores) or ``"supplier"`` (one store
+    per supplier: 10,000 x SF stores, for scale probes)."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_quantity", "l_discount",
         F.to_date("l_shipdate").alias("Date"))
-    sup = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").alias("Store"))
+    store = F.col("s_nationkey") if grain == "nation" else F.col("s_suppkey").cast("int")
+    sup = table(spark, sf_dir, "supplier").select("s_suppkey", store.alias("Store"))
     # No join hint: the supplier side is broadcast by Spark while its scan is
     # below the broadcast threshold, sort-merge (with AQE skew splits) beyond.
     daily = (li.join(sup, li.l_suppkey == sup.s_suppkey)
@@ -52,12 +59,15 @@ def sales_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def store_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store dimension (schema ``schemas.STORE_DIM``), one row per nation."""
-    n = F.col("n_nationkey")
+def store_dim(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """Store dimension (schema ``schemas.STORE_DIM``), one row per store."""
+    if grain == "nation":
+        src, n = table(spark, sf_dir, "nation"), F.col("n_nationkey")
+    else:
+        src, n = table(spark, sf_dir, "supplier"), F.col("s_suppkey").cast("int")
     no_comp = (n % 5 == 0)
     no_promo2 = (n % 2 == 0)
-    return table(spark, sf_dir, "nation").select(
+    return src.select(
         n.alias("Store"),
         F.element_at(F.array(*[F.lit(c) for c in "abcd"]), (n % 4 + 1).cast("int")).alias("StoreType"),
         F.element_at(F.array(*[F.lit(c) for c in "abc"]), (n % 3 + 1).cast("int")).alias("Assortment"),
