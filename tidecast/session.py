@@ -18,7 +18,6 @@ LOCAL_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.driver.memory": "16g",
 }
 
 
@@ -28,6 +27,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    # local mode: the driver JVM is the whole cluster; stay well inside the box
+    conf["spark.driver.memory"] = os.environ.get("BENCH_MEM", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
