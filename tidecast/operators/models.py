@@ -58,3 +58,37 @@ def score(model: PipelineModel, rows: DataFrame, residual: bool = False) -> Data
     out = model.transform(rows)
     pred = F.col("weekly_seasonal") + F.col("prediction") if residual else F.col("prediction")
     return out.withColumn("model_prediction", F.greatest(pred, F.lit(0.0))).drop("features", "prediction")
+
+
+def score_with_predict_fn(rows: DataFrame, make_predict_fn, batch_size: int = 4096,
+                          features: list[str] | None = None, out: str = "model_prediction") -> DataFrame:
+    """Score any Python model (an exported network, ONNX, numpy weights) with
+    ``predict_batch_udf``: Arrow batches of ``batch_size`` rows, the model
+    built once per Python worker by ``make_predict_fn`` (it returns a
+    ``numpy [n, k] -> numpy [n]`` function). Used when the model is not a
+    Spark ML pipeline."""
+    from pyspark.ml.functions import predict_batch_udf
+    from pyspark.sql.types import DoubleType
+
+    cols = features or MODEL_FEATURES
+    udf = predict_batch_udf(make_predict_fn, return_type=DoubleType(), batch_size=batch_size,
+                            input_tensor_shapes=[[len(cols)]])
+    vec = F.array(*[F.col(c).cast("double") for c in cols])
+    return rows.withColumn(out, F.greatest(udf(vec), F.lit(0.0)))
+
+
+def linear_predict_fn(model: PipelineModel):
+    """A ``make_predict_fn`` reproducing a fitted linear pipeline in numpy
+    (coefficients captured on the driver: a few doubles)."""
+    lr = model.stages[-1]
+    coef = list(lr.coefficients.toArray())
+    intercept = float(lr.intercept)
+
+    def make():
+        import numpy as np
+        w = np.asarray(coef, dtype="float64")
+
+        def predict(x):
+            return x @ w + intercept
+        return predict
+    return make
