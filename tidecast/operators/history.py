@@ -1,9 +1,12 @@
 """Forecast history: a parquet table of forecast log rows.
 
 Payloads are JSON text columns (``to_json`` / ``from_json``) beside four
-extracted summary columns. Appends add files (partitioned by store_id);
-a delete writes a NEW table version without the deleted ids (left-anti
-join) — the version being read is never overwritten.
+extracted summary columns. Appends add files under a ``created_date``
+partition (an append-only log grows by day, not by store: the number of
+directories per append stays 1-2 however many stores there are, and
+"recent" reads can prune old days). A delete writes a NEW table version
+without the deleted ids (left-anti join) — the version being read is never
+overwritten.
 """
 
 from __future__ import annotations
@@ -76,12 +79,13 @@ def log_rows(fc: DataFrame, id_col: str = "request_id", created_at: str = "creat
         F.col("total_predicted_sales").cast("bigint").alias("total_predicted_sales"),
         F.col("average_predicted_sales").cast("bigint").alias("average_predicted_sales"),
         F.col("stockout_risk"), F.col("reorder_needed"),
-        F.col(created_at).alias("created_at"), F.col(created_at).alias("updated_at"))
+        F.col(created_at).alias("created_at"), F.col(created_at).alias("updated_at"),
+        F.to_date(F.col(created_at)).alias("created_date"))
 
 
 def log_append(rows: DataFrame, path: str) -> str:
-    """Append log rows (new files only) partitioned by store_id."""
-    rows.write.mode("append").partitionBy("store_id").parquet(path)
+    """Append log rows (new files only) under their created_date partition."""
+    rows.write.mode("append").partitionBy("created_date").parquet(path)
     return path
 
 
@@ -100,7 +104,7 @@ def log_delete(spark: SparkSession, log: DataFrame, ids: Sequence[int] | DataFra
     id_df = ids if isinstance(ids, DataFrame) else spark.createDataFrame([(int(i),) for i in ids], "id bigint")
     kept = log.join(id_df, "id", "left_anti")
     path = scratch_path(spark, name)
-    kept.write.mode("errorifexists").partitionBy("store_id").parquet(path)
+    kept.write.mode("errorifexists").partitionBy("created_date").parquet(path)
     return path
 
 
