@@ -30,22 +30,26 @@ def promo_counters(df: DataFrame, key: str = "Store", order: str = "Date",
 
     since = rn - rn(last promo at or before), else sentinel + rn;
     until = rn(next promo at or after) - rn, else sentinel + (n - rn + 1).
-    The backward scan uses a descending order on the same partitioning (one
-    extra in-partition sort, no extra shuffle; never an O(n^2) frame).
+    The backward scan runs FIRST on a descending order (it also yields the
+    row number as n - rn_desc + 1), then everything else runs on the
+    ascending order: two in-partition sorts, one shuffle, and never an
+    O(n^2) unbounded-following frame.
     """
     w = Window.partitionBy(key).orderBy(order)
     wd = Window.partitionBy(key).orderBy(F.col(order).desc())
-    with_rn = df.select("*", F.row_number().over(w).alias("_rn"),
-                        F.count(F.lit(1)).over(Window.partitionBy(key)).alias("_n"))
+    # n over the SAME (desc) spec with a whole-partition frame: shares the desc sort
+    n = F.count(F.lit(1)).over(wd.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    with_rn = df.select("*", (n - F.row_number().over(wd) + 1).alias("_rn"), n.alias("_n"))
     promo_rn = F.when(F.col(promo) == 1, F.col("_rn"))
-    last_p = F.last(promo_rn, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
     next_p = F.last(promo_rn, ignorenulls=True).over(wd.rowsBetween(Window.unboundedPreceding, 0))
-    out = with_rn.select(
+    back = with_rn.select("*", next_p.alias("_next"))
+    last_p = F.last(promo_rn, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    out = back.select(
         "*",
         F.coalesce(F.col("_rn") - last_p, F.lit(sentinel) + F.col("_rn")).cast("int").alias("days_since_last_promo"),
-        F.coalesce(next_p - F.col("_rn"),
+        F.coalesce(F.col("_next") - F.col("_rn"),
                    F.lit(sentinel) + F.col("_n") - F.col("_rn") + 1).cast("int").alias("days_until_next_promo"))
-    return out.drop("_rn", "_n")
+    return out.drop("_rn", "_n", "_next")
 
 
 def engineer_features(processed: DataFrame, drop_incomplete: bool = True) -> DataFrame:
