@@ -139,7 +139,8 @@ def champion_selection(spark, sf):
 
 
 @register("lift_over_baseline", sql("""
-SELECT Store, ROUND(b.mae - m.mae, 4) AS mae_lift, ROUND(b.rmse - m.rmse, 4) AS rmse_lift, ROUND(b.mape - m.mape, 4) AS mape_lift,
+SELECT Store, ROUND(b.mae - m.mae, 4) + 0.0 AS mae_lift, ROUND(b.rmse - m.rmse, 4) + 0.0 AS rmse_lift,
+       ROUND(b.mape - m.mape, 4) + 0.0 AS mape_lift,
        CASE WHEN b.mae - m.mae > 0 THEN 'Improved' ELSE 'Degraded' END AS mae_status,
        CASE WHEN b.rmse - m.rmse > 0 THEN 'Improved' ELSE 'Degraded' END AS rmse_status,
        CASE WHEN b.mape - m.mape > 0 THEN 'Improved' ELSE 'Degraded' END AS mape_status

@@ -345,7 +345,7 @@ def fit_standard(spark, sf):
 @register("standard_transform", sql("""
 SELECT product, date, ROUND((residual - AVG(residual) OVER (PARTITION BY product))
        / CASE WHEN STDDEV_POP(residual) OVER (PARTITION BY product) = 0 THEN 1.0
-              ELSE STDDEV_POP(residual) OVER (PARTITION BY product) END, 4) AS residual_scaled
+              ELSE STDDEV_POP(residual) OVER (PARTITION BY product) END, 4) + 0.0 AS residual_scaled
 FROM syn_features""", "syn_features"))
 def standard_transform(spark, sf):
     """(x - mean) / population std per product."""
