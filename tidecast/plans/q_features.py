@@ -134,11 +134,6 @@ def _join_str(arr: Column) -> Column:
     return F.array_join(F.transform(arr, lambda x: x.cast("string")), ",")
 
 
-def _dstr(x: Column) -> Column:
-    """Integral double -> integer text (exact for counts)."""
-    return x.cast("bigint").cast("string")
-
-
 _PAST30 = "ROWS BETWEEN 29 PRECEDING AND CURRENT ROW"
 _NEXT7 = "ROWS BETWEEN 1 FOLLOWING AND 7 FOLLOWING"
 

@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
+EXACT = os.environ.get("EXACT") == "1"   # compare doubles bit for bit
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -37,7 +38,7 @@ def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "NULL"
-        return repr(round(v, 6))
+        return repr(v + 0.0) if EXACT else repr(round(v, 6))
     if isinstance(v, decimal.Decimal):
         return repr(round(float(v), 6))
     if isinstance(v, dt.datetime):
