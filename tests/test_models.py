@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidecast.operators import models as md
 from tidecast.operators import windows
-from tidecast.plans import pipeline
+from tidecast.plans import tables
 
 
 def test_linear_model_scores_and_predict_batch_path(spark):
-    h = windows.horizon_rows(pipeline.feature_table(spark, SF_SMALL), extra=md.KNOWN_AHEAD)
+    h = windows.horizon_rows(tables.feature_table(spark, SF_SMALL), extra=md.KNOWN_AHEAD)
     rows = md.training_rows(h).cache()
     model = md.fit(rows, md.linear_pipeline())
     test = rows.filter(F.col("split") == "test")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from tidecast.operators import features as fe
 from tidecast.operators import windows
-from tidecast.plans import pipeline
+from tidecast.plans import tables
 
 
 def _loop_counters(promos, sentinel=9999):
@@ -42,7 +42,7 @@ def test_promo_counters_match_loops(spark):
 
 
 def test_windows_count_and_store_bounds(spark):
-    feat = pipeline.feature_table(spark, SF_SMALL)
+    feat = tables.feature_table(spark, SF_SMALL)
     n = {r.Store: r.n for r in feat.groupBy("Store").agg(F.count(F.lit(1)).alias("n")).collect()}
     idx = windows.window_index(feat)
     got = {r.Store: r.c for r in idx.groupBy("Store").agg(F.count(F.lit(1)).alias("c")).collect()}
@@ -54,7 +54,7 @@ def test_windows_count_and_store_bounds(spark):
 
 
 def test_no_past_feature_reads_a_later_row(spark):
-    allp = pipeline.processed(spark, SF_SMALL)
+    allp = tables.processed(spark, SF_SMALL)
     store = allp.agg(F.min("Store")).first()[0]     # store 1 is absent at sf0.001
     proc = allp.filter(F.col("Store") == store)
     dates = sorted(r.Date for r in proc.select("Date").collect())

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidecast.operators import forecast as fc
-from tidecast.plans import pipeline
+from tidecast.plans import tables
 from tidecast.plans import requests as rq
 from tidecast.session import scratch_path
 from tidecast.sources import files
@@ -13,7 +13,7 @@ from tidecast.streaming import intake
 
 
 def test_intake_resumes_from_checkpoint(spark):
-    snap = files.materialize(spark, fc.history_state(pipeline.feature_table(spark, SF_SMALL)), "snap")
+    snap = files.materialize(spark, fc.history_state(tables.feature_table(spark, SF_SMALL)), "snap")
     raw = rq.request_variants(snap).withColumn("submitted_at", F.col("latest_date").cast("timestamp_ntz"))
     cols = [f.name for f in intake.RAW_REQUEST.fields]
     inbox = scratch_path(spark, "inbox")

@@ -9,7 +9,7 @@ from ..functions import calendar as cal
 from ..operators import clean, joins
 from ..params import KEEP_COLUMNS
 from ..sources import files, panel
-from . import pipeline
+from . import tables
 from .oracle import sql
 from .registry import r4, register
 
@@ -49,7 +49,7 @@ def src_contract_check(spark, sf):
 @register("join_sales_store", sql("SELECT * FROM merged", "merged"))
 def join_sales_store(spark, sf):
     """Daily fact LEFT JOIN store dimension on Store."""
-    return pipeline.merged(spark, sf)
+    return tables.merged(spark, sf)
 
 
 @register("parse_date", sql("""
@@ -79,13 +79,13 @@ def filter_open_days(spark, sf):
 @register("drop_leakage_columns", sql("SELECT * EXCLUDE (Customers) FROM merged WHERE Open = 1", "merged"))
 def drop_leakage_columns(spark, sf):
     """Open days without the Customers column (known only after the fact)."""
-    return clean.drop_leakage_columns(clean.filter_open_days(pipeline.merged(spark, sf)))
+    return clean.drop_leakage_columns(clean.filter_open_days(tables.merged(spark, sf)))
 
 
 @register("select_present", sql(f"SELECT {', '.join(KEEP_COLUMNS)} FROM merged WHERE Open = 1", "merged"))
 def select_present(spark, sf):
     """Projection of the wanted columns that exist."""
-    df = clean.drop_leakage_columns(clean.filter_open_days(pipeline.merged(spark, sf)))
+    df = clean.drop_leakage_columns(clean.filter_open_days(tables.merged(spark, sf)))
     return clean.select_present(df)
 
 
@@ -128,19 +128,19 @@ def one_hot(spark, sf):
 @register("calendar_parts", sql("SELECT Store, Date, Month, Year, Day, IsWeekend FROM processed", "processed"))
 def calendar_parts(spark, sf):
     """Month, Year, Day and IsWeekend of each open day."""
-    return pipeline.processed(spark, sf).select("Store", "Date", "Month", "Year", "Day", "IsWeekend")
+    return tables.processed(spark, sf).select("Store", "Date", "Month", "Year", "Day", "IsWeekend")
 
 
 @register("sink_processed", sql("SELECT * FROM processed", "processed"))
 def sink_processed(spark, sf):
     """The processed table written partitioned by Store and read back."""
-    return files.materialize(spark, pipeline.processed(spark, sf), "processed", ["Store"])
+    return files.materialize(spark, tables.processed(spark, sf), "processed", ["Store"])
 
 
 @register("head_preview", sql("SELECT * FROM processed ORDER BY Date, Store LIMIT 5", "processed"))
 def head_preview(spark, sf):
     """First 5 rows of the processed table in (Date, Store) order."""
-    return pipeline.processed(spark, sf).orderBy("Date", "Store").limit(5)
+    return tables.processed(spark, sf).orderBy("Date", "Store").limit(5)
 
 
 @register("sort_chronological", sql("""
@@ -151,7 +151,7 @@ def sort_chronological(spark, sf):
     store partition, never a global sort)."""
     from pyspark.sql import Window
     w = Window.partitionBy("Store").orderBy("Date")
-    return pipeline.processed(spark, sf).select("Store", "Date", F.row_number().over(w).alias("position"))
+    return tables.processed(spark, sf).select("Store", "Date", F.row_number().over(w).alias("position"))
 
 
 # ---- profiles ---------------------------------------------------------------------------------
@@ -161,7 +161,7 @@ SELECT COUNT(*) AS n_rows, MIN(Date) AS date_min, MAX(Date) AS date_max, COUNT(D
 FROM merged""", "merged"))
 def profile_overview(spark, sf):
     """Shape, date range and distinct stores of the merged table."""
-    return pipeline.merged(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.min("Date").alias("date_min"),
+    return tables.merged(spark, sf).agg(F.count(F.lit(1)).alias("n_rows"), F.min("Date").alias("date_min"),
                                           F.max("Date").alias("date_max"),
                                           F.count_distinct("Store").alias("n_stores"))
 
@@ -180,7 +180,7 @@ def _nulls_sql() -> str:
 def profile_nulls(spark, sf):
     """Null count and percentage per column, only columns with nulls (one
     aggregation pass, then a narrow stack)."""
-    df = pipeline.merged(spark, sf)
+    df = tables.merged(spark, sf)
     agg = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count(c).alias(c) for c in _MERGED_COLS])
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), (F.col("_n") - F.col(c)).alias("null_count"),
                              F.col("_n").alias("_n")) for c in _MERGED_COLS])
@@ -194,7 +194,7 @@ SELECT Store, ROUND(AVG(Sales), 4) AS mean_sales, MIN(Sales) AS min_sales, MAX(S
 FROM processed GROUP BY Store""", "processed"))
 def profile_target(spark, sf):
     """Mean / min / max / sample std of Sales per store (open days)."""
-    return pipeline.processed(spark, sf).groupBy("Store").agg(
+    return tables.processed(spark, sf).groupBy("Store").agg(
         r4(F.avg("Sales")).alias("mean_sales"), F.min("Sales").alias("min_sales"),
         F.max("Sales").alias("max_sales"), r4(F.stddev_samp("Sales")).alias("std_sales"))
 
@@ -203,7 +203,7 @@ def profile_target(spark, sf):
 SELECT Store, DayOfWeek, ROUND(AVG(Sales), 4) AS avg_sales FROM processed GROUP BY Store, DayOfWeek""", "processed"))
 def avg_by_dow(spark, sf):
     """Mean Sales per store and weekday."""
-    return pipeline.processed(spark, sf).groupBy("Store", "DayOfWeek").agg(r4(F.avg("Sales")).alias("avg_sales"))
+    return tables.processed(spark, sf).groupBy("Store", "DayOfWeek").agg(r4(F.avg("Sales")).alias("avg_sales"))
 
 
 @register("avg_by_promo", sql("""
@@ -213,7 +213,7 @@ FROM processed GROUP BY Store""", "processed"))
 def avg_by_promo(spark, sf):
     """Mean Sales without / with promo per store; a missing group reads 0."""
     s = F.col("Sales")
-    return pipeline.processed(spark, sf).groupBy("Store").agg(
+    return tables.processed(spark, sf).groupBy("Store").agg(
         r4(F.coalesce(F.avg(F.when(F.col("Promo") == 0, s)), F.lit(0.0))).alias("avg_no_promo"),
         r4(F.coalesce(F.avg(F.when(F.col("Promo") == 1, s)), F.lit(0.0))).alias("avg_promo"))
 
@@ -222,4 +222,4 @@ def avg_by_promo(spark, sf):
 SELECT Store, Month, ROUND(AVG(Sales), 4) AS avg_sales FROM processed GROUP BY Store, Month""", "processed"))
 def avg_by_month(spark, sf):
     """Mean Sales per store and month."""
-    return pipeline.processed(spark, sf).groupBy("Store", "Month").agg(r4(F.avg("Sales")).alias("avg_sales"))
+    return tables.processed(spark, sf).groupBy("Store", "Month").agg(r4(F.avg("Sales")).alias("avg_sales"))

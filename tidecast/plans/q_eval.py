@@ -12,7 +12,7 @@ from ..functions.metrics import pct_error as pct_expr
 from ..operators import evaluate as ev
 from ..operators import windows
 from ..sources import files
-from . import pipeline
+from . import tables
 from .oracle import sql
 from .registry import r4, register
 
@@ -20,7 +20,7 @@ METHODS = {"last_value": "last_value", "weekly_seasonal": "weekly_seasonal"}
 
 
 def _h(spark, sf):
-    return windows.horizon_rows(pipeline.feature_table(spark, sf))
+    return windows.horizon_rows(tables.feature_table(spark, sf))
 
 
 def _preds(spark, sf, col="weekly_seasonal", policy="mask"):
@@ -184,7 +184,7 @@ def worst_predictions_context(spark, sf):
 def _preds_with_context(spark, sf):
     """Prediction records + target-row context in ONE pass over the features
     (same values as ``join_error_context``, without the second feature scan)."""
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     ctx = [c for c in ev.CONTEXT_COLUMNS if c not in ("Date", "Sales")]
     h = windows.horizon_rows(feat, extra=ctx)
     p = ev.prediction_records(h, "weekly_seasonal", extra=ctx)
@@ -197,7 +197,7 @@ SELECT Store, sample_index, forecast_day, actual_sales, predicted_sales, absolut
 def join_error_context(spark, sf):
     """Every test prediction with its target row's context (equi join on
     (Store, row_position), not positional)."""
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
     return _ctx_out(ev.join_error_context(p, feat))
 
@@ -207,7 +207,7 @@ SELECT Store, sample_index, forecast_day, actual_sales, predicted_sales, absolut
        ROUND(percentage_error, 4) AS percentage_error, {_CTX} FROM context WHERE Date IS NOT NULL""", "context"))
 def drop_unmatched_context(spark, sf):
     """Predictions whose context row exists."""
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
     return _ctx_out(ev.drop_unmatched_context(ev.join_error_context(p, feat)))
 
@@ -294,7 +294,7 @@ GROUP BY p.Store""", "preds_weekly", "features"))
 def test_mse_scaled(spark, sf):
     """MSE of the scaled predictions per store (target scaler fitted per store)."""
     from ..operators import scaling
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     params = scaling.fit_minmax(feat, ["Sales"])
     p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
     j = p.join(params, "Store")
@@ -357,7 +357,7 @@ FROM syn_horizon WHERE split = 'test'""", "syn_horizon"))
 def residual_reconstruct(spark, sf):
     """final = baseline + inverse-scaled residual (here the scaled true residual,
     so the reconstruction must return the actual)."""
-    syn = pipeline.synthetic_feature_table(spark, sf)
+    syn = tables.synthetic_feature_table(spark, sf)
     w = Window.partitionBy("product")
     m, s = F.avg("residual").over(w), F.stddev_pop("residual").over(w)
     syn = syn.withColumn("residual_scaled", scf.standard_transform(F.col("residual"), m, s)) \

@@ -12,13 +12,13 @@ from ..operators import features as fe
 from ..operators import scaling, windows
 from ..params import FUTURE_FEATURES, PAST_FEATURES
 from ..sources import files, panel
-from . import pipeline
+from . import tables
 from .oracle import sql
 from .registry import r4, register
 
 
 def _feat(spark, sf):
-    return pipeline.feature_table(spark, sf)
+    return tables.feature_table(spark, sf)
 
 
 def _fq(name: str, cols: str, spark_cols, doc: str):
@@ -64,7 +64,7 @@ SELECT Store, COUNT(*) AS rows_before,
 FROM feat_all GROUP BY Store""", "feat_all"))
 def drop_incomplete_features(spark, sf):
     """Rows per store before / after dropping incomplete lag/rolling rows."""
-    f = fe.engineer_features(pipeline.processed(spark, sf), drop_incomplete=False)
+    f = fe.engineer_features(tables.processed(spark, sf), drop_incomplete=False)
     from ..params import LAG_COLUMNS
     complete = F.lit(True)
     for c in LAG_COLUMNS:
@@ -111,7 +111,7 @@ def sunday_closure(spark, sf):
 # ---- synthetic product series ----------------------------------------------------------------
 
 def _syn(spark, sf):
-    return pipeline.synthetic_feature_table(spark, sf)
+    return tables.synthetic_feature_table(spark, sf)
 
 
 @register("residual_target", sql("""

@@ -13,14 +13,14 @@ from ..operators import decisions as dc
 from ..operators import forecast as fc
 from ..operators import scaling
 from ..params import DemandThresholds
-from . import pipeline
+from . import tables
 from . import requests as rq
 from .oracle import sql
 from .registry import r4, register
 
 
 def _state(spark, sf):
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     return feat, fc.history_state(feat)
 
 
@@ -189,7 +189,7 @@ SELECT Store, Date, ROUND(rolling_14_sales, 4) AS rolling_14_sales,
 def round_units(spark, sf):
     """Round half to even to whole units (x.5 ties occur on 14-row means)."""
     from ..functions.metrics import round_units as ru
-    return pipeline.feature_table(spark, sf).select("Store", "Date", r4("rolling_14_sales").alias("rolling_14_sales"),
+    return tables.feature_table(spark, sf).select("Store", "Date", r4("rolling_14_sales").alias("rolling_14_sales"),
                                                     ru(F.col("rolling_14_sales")).alias("rolling_14_units"))
 
 
@@ -453,7 +453,7 @@ def fmt_pct(spark, sf):
     """Percent text with one decimal (MAPE per store and horizon day)."""
     from ..operators import evaluate as ev
     from ..operators import windows
-    p = ev.prediction_records(windows.horizon_rows(pipeline.feature_table(spark, sf)), "weekly_seasonal")
+    p = ev.prediction_records(windows.horizon_rows(tables.feature_table(spark, sf)), "weekly_seasonal")
     m = p.groupBy("Store", "forecast_day").agg(F.avg("percentage_error").alias("mape"))
     return m.select("Store", "forecast_day", fmt.fmt_pct(F.round("mape", 6)).alias("mape_text"))
 

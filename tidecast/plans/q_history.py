@@ -12,14 +12,14 @@ from ..operators import history as hs
 from ..operators import validate as vd
 from ..session import scratch_path
 from ..sources import files
-from . import pipeline
+from . import tables
 from . import requests as rq
 from .oracle import cte, sql
 from .registry import register
 
 
 def _state(spark, sf):
-    return fc.history_state(pipeline.feature_table(spark, sf))
+    return fc.history_state(tables.feature_table(spark, sf))
 
 
 def _variants_sql() -> str:

@@ -14,13 +14,13 @@ from ..operators import windows
 from ..session import scratch_path
 from ..sources import files
 from ..streaming import intake
-from . import pipeline
+from . import tables
 from . import requests as rq
 from .registry import r4, register
 
 
 def _rows(spark, sf):
-    feat = pipeline.feature_table(spark, sf)
+    feat = tables.feature_table(spark, sf)
     h = windows.horizon_rows(feat, extra=md.KNOWN_AHEAD)
     # the long training table is read by several fits: write it once to the
     # shared folder (cuts the lineage; a lost executor re-reads files)
@@ -85,7 +85,7 @@ def stream_request_intake(spark, sf):
     """Request files drained by a Structured Streaming query (availableNow):
     validation, stream-static join with the feature snapshot, forecasts and
     insights appended to the history table; rejected rows to their own sink."""
-    state = fc.history_state(pipeline.feature_table(spark, sf))
+    state = fc.history_state(tables.feature_table(spark, sf))
     snapshot = files.materialize(spark, state, "feature_snapshot")
     raw = rq.request_variants(snapshot).withColumn(
         "submitted_at", F.col("latest_date").cast("timestamp_ntz") + F.make_interval(hours=F.col("variant")))
