@@ -26,3 +26,23 @@ def test_linear_model_scores_and_predict_batch_path(spark):
                                   F.avg(F.abs(F.col("actual_sales") - F.col("last_value"))).alias("naive")).first()
     assert m.model < m.naive
     rows.unpersist()
+
+
+def test_forecast_with_trained_model(spark):
+    from tidecast.operators import forecast as fc
+    from tidecast.plans import requests as rq
+    feat = tables.feature_table(spark, SF_SMALL)
+    h = windows.horizon_rows(feat, extra=md.KNOWN_AHEAD)
+    model = md.fit(md.training_rows(h), md.linear_pipeline())
+    state = fc.history_state(feat)
+    out = fc.forecast_with_model(fc.forecast_joined(rq.scenario_requests(state)), model)
+    n_states = state.count()
+    assert out.count() == n_states * 5 * 7
+    assert out.filter(F.col("model_predicted_sales") < 0).count() == 0
+    # the Promo scenario differs from Normal only on its two promo days
+    by = {(r.Store, r.request_id % 10, r.step): r.model_raw_prediction for r in out.collect()}
+    stores = {k[0] for k in by}
+    for s in stores:
+        assert all(by[(s, 0, d)] == by[(s, 4, d)] for d in range(1, 8))        # twin scenarios agree
+    # days_since/until promo are capped at 10 in the horizon, as in training
+    assert out.filter(F.col("promo") == 1).count() == n_states * 2

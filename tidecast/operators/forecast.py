@@ -37,6 +37,7 @@ def history_state(feat: DataFrame, key: str = "Store") -> DataFrame:
         at_last("rolling_14_sales").alias("last_rolling_14_sales"),
         at_last("rolling_7_std_sales").alias("last_rolling_7_std_sales"),
         at_last("days_since_last_promo").alias("last_days_since_promo"),
+        at_last("Sales").cast("double").alias("last_sales"),
         F.avg(F.when(tail7, F.col("Sales"))).alias("tail7_mean"),
         F.collect_list(F.when(tail8, F.struct(F.col("Date").alias("d"), F.col("Sales").cast("double").alias("s"))))
         .alias("tail"),
@@ -148,3 +149,26 @@ def forecast_joined(j: DataFrame, th: DemandThresholds = DemandThresholds(), cap
 def forecast_rows(fc: DataFrame, keys: tuple[str, ...] = ("Store", "request_id")) -> DataFrame:
     """One row per forecast day (narrow ``inline``)."""
     return fc.select(*keys, F.inline("days"))
+
+
+def forecast_with_model(fc: DataFrame, model, keys: tuple[str, ...] = ("Store", "request_id")) -> DataFrame:
+    """Score every future day of every (store, request) with a fitted Spark ML
+    pipeline (trained on ``models.training_rows``): last value = last history
+    Sales, weekly-seasonal = the calendar lag-7 value, plus the day's
+    known-ahead features. Closed days stay 0; predictions are rounded half
+    to even. Returns day rows (narrow inline + JVM transform, no shuffle)."""
+    from . import models as md
+    rows = fc.select(*keys, "last_sales", F.inline("days"))
+    # day-struct names -> model feature names (Spark names are case-insensitive,
+    # so the renamed originals are not carried along)
+    source = {"last_value": "last_sales", "weekly_seasonal": "lag_7_sales", "forecast_day": "step",
+              "Promo": "promo", "SchoolHoliday": "school_holiday", "DayOfWeek": "day_of_week",
+              "IsWeekend": "is_weekend", "Month": "month"}
+    feats = rows.select(*keys, "step", "date", "open",
+                        *[F.col(source.get(c, c)).cast("double").alias(c) for c in md.MODEL_FEATURES
+                          if c != "forecast_day"],
+                        F.col("step").cast("double").alias("forecast_day"))
+    scored = model.transform(feats)
+    raw = F.when(F.col("open") == 0, F.lit(0.0)).otherwise(F.greatest(F.col("prediction"), F.lit(0.0)))
+    return scored.select(*keys, "step", "date", "open", F.col("Promo").cast("int").alias("promo"),
+                         raw.alias("model_raw_prediction"), F.bround(raw, 0).cast("bigint").alias("model_predicted_sales"))
