@@ -17,32 +17,15 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.metrics import demand_level
 from ..params import FUTURE_PROMO_CAP, DemandThresholds
+from .windows import latest_state
 
 MODEL_NAME = "WeeklySeasonalNaive"
 MODEL_VERSION = "v1"
 
 
 def history_state(feat: DataFrame, key: str = "Store") -> DataFrame:
-    """latest_state + the tail (Date, Sales) array used by the calendar lag."""
-    last = F.col("row_position") == F.col("n_rows") - 1
-    tail7 = F.col("row_position") >= F.col("n_rows") - 7
-    tail8 = F.col("row_position") >= F.col("n_rows") - 8
-
-    def at_last(c: str) -> Column:
-        return F.max(F.when(last, F.col(c)))
-
-    return feat.groupBy(key).agg(
-        F.max("Date").alias("latest_date"),
-        at_last("rolling_7_sales").alias("last_rolling_7_sales"),
-        at_last("rolling_14_sales").alias("last_rolling_14_sales"),
-        at_last("rolling_7_std_sales").alias("last_rolling_7_std_sales"),
-        at_last("days_since_last_promo").alias("last_days_since_promo"),
-        at_last("Sales").cast("double").alias("last_sales"),
-        F.avg(F.when(tail7, F.col("Sales"))).alias("tail7_mean"),
-        F.collect_list(F.when(tail8, F.struct(F.col("Date").alias("d"), F.col("Sales").cast("double").alias("s"))))
-        .alias("tail"),
-        (F.max((F.col("DayOfWeek") == 7).cast("int")) == 0).alias("closes_on_sundays"),
-    )
+    """``windows.latest_state`` with the tail (Date, Sales) array for the calendar lag."""
+    return latest_state(feat, key, with_tail=True)
 
 
 def future_dates(latest: Column, horizon: Column, open_only: Column, closes_on_sundays: Column) -> Column:

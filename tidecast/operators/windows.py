@@ -102,25 +102,33 @@ def latest_window(feat: DataFrame, lookback: int = 30, key: str = "Store", order
     return feat.filter(F.col("row_position") >= F.col("n_rows") - lookback)
 
 
-def latest_state(feat: DataFrame, key: str = "Store") -> DataFrame:
-    """Per series: latest date, its rolling values and promo counter, and the
-    mean of the last 7 Sales (one aggregation, no sort of the whole table)."""
+def latest_state(feat: DataFrame, key: str = "Store", with_tail: bool = False) -> DataFrame:
+    """Per series, ONE aggregation (reusing the feature partitioning): latest
+    date, its rolling values, promo counter and Sales, the mean of the last 7
+    Sales, the Sunday rule; with ``with_tail`` also the last 8 (Date, Sales)
+    pairs — the only rows a calendar lag-7 from the horizon can hit."""
     last = F.col("row_position") == F.col("n_rows") - 1
     tail7 = F.col("row_position") >= F.col("n_rows") - 7
+    tail8 = F.col("row_position") >= F.col("n_rows") - 8
 
     def at_last(c: str) -> Column:
         return F.max(F.when(last, F.col(c)))
 
-    return feat.groupBy(key).agg(
+    aggs = [
         F.max("Date").alias("latest_date"),
         at_last("rolling_7_sales").alias("last_rolling_7_sales"),
         at_last("rolling_14_sales").alias("last_rolling_14_sales"),
         at_last("rolling_7_std_sales").alias("last_rolling_7_std_sales"),
         at_last("days_since_last_promo").alias("last_days_since_promo"),
+        at_last("Sales").cast("double").alias("last_sales"),
         F.avg(F.when(tail7, F.col("Sales"))).alias("tail7_mean"),
-        F.max((F.col("DayOfWeek") == 7).cast("int")).alias("_has_sunday"),
-        F.max("n_rows").alias("n_rows"),
-    ).withColumn("closes_on_sundays", F.col("_has_sunday") == 0).drop("_has_sunday")
+        (F.max((F.col("DayOfWeek") == 7).cast("int")) == 0).alias("closes_on_sundays"),
+    ]
+    if with_tail:
+        aggs.append(F.collect_list(F.when(tail8, F.struct(F.col("Date").alias("d"),
+                                                          F.col("Sales").cast("double").alias("s"))))
+                    .alias("tail"))
+    return feat.groupBy(key).agg(*aggs)
 
 
 def with_positions(df: DataFrame, key: str, order: str) -> DataFrame:
