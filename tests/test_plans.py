@@ -44,3 +44,9 @@ def test_scan_prunes_and_pushes(spark, capsys):
     assert "BroadcastHashJoin" in plan
     # the leakage column's distinct count is pruned away
     assert "count(distinct" not in plan.lower()
+
+
+def test_store_filter_reaches_the_scan(spark, capsys):
+    plan = _plan(spark, capsys, "filter_store")
+    sup = [b for b in plan.split("\n\n") if "supplier.parquet" in b][0]
+    assert "In(s_nationkey, [1,3,7])" in sup
