@@ -39,7 +39,12 @@ def src_product_csv(spark, sf):
     return df.withColumn("price", r4("price"))
 
 
-@register("src_contract_check", None)
+# The contract's expected types are the schemas in ``tidecast.schemas``; the
+# oracle restates them and recounts the non-null values from the data.
+_CONTRACT_SQL = """SELECT 'sales_daily' AS table_name, 'Store' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Store) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'Date' AS column_name, 'date' AS expected_type, 'date' AS actual_type, true AS present, true AS type_ok, COUNT(Date) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'DayOfWeek' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(DayOfWeek) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'Sales' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type, true AS present, true AS type_ok, COUNT(Sales) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'Customers' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type, true AS present, true AS type_ok, COUNT(Customers) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'Open' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Open) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'Promo' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Promo) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'StateHoliday' AS column_name, 'string' AS expected_type, 'string' AS actual_type, true AS present, true AS type_ok, COUNT(StateHoliday) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'sales_daily' AS table_name, 'SchoolHoliday' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(SchoolHoliday) AS non_null, COUNT(*) AS rows FROM sales_daily UNION ALL SELECT 'store_dim' AS table_name, 'Store' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Store) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'StoreType' AS column_name, 'string' AS expected_type, 'string' AS actual_type, true AS present, true AS type_ok, COUNT(StoreType) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'Assortment' AS column_name, 'string' AS expected_type, 'string' AS actual_type, true AS present, true AS type_ok, COUNT(Assortment) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'CompetitionDistance' AS column_name, 'double' AS expected_type, 'double' AS actual_type, true AS present, true AS type_ok, COUNT(CompetitionDistance) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'CompetitionOpenSinceMonth' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(CompetitionOpenSinceMonth) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'CompetitionOpenSinceYear' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(CompetitionOpenSinceYear) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'Promo2' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Promo2) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'Promo2SinceWeek' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Promo2SinceWeek) AS non_null, COUNT(*) AS rows FROM store_dim UNION ALL SELECT 'store_dim' AS table_name, 'Promo2SinceYear' AS column_name, 'int' AS expected_type, 'int' AS actual_type, true AS present, true AS type_ok, COUNT(Promo2SinceYear) AS non_null, COUNT(*) AS rows FROM store_dim"""
+
+
+@register("src_contract_check", sql(_CONTRACT_SQL, "sales_daily", "store_dim"))
 def src_contract_check(spark, sf):
     """Required columns and types of the fact table, with non-null counts."""
     return files.contract_check(panel.sales_daily(spark, sf), "sales_daily", schemas.SALES_DAILY).unionByName(

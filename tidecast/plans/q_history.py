@@ -4,6 +4,7 @@ helpers (2.8) and report exports (2.1)."""
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import calendar as cal
 from ..operators import decisions as dc
@@ -213,15 +214,31 @@ def json_cast(spark, sf):
                     F.col("reorder_needed").cast("int").alias("reorder_needed_int"))
 
 
-@register("report_json_export", None)
+_REPORT = T.StructType([
+    T.StructField("report_type", T.StringType()), T.StructField("generated_at", T.StringType()),
+    T.StructField("insights", hs.INSIGHTS), T.StructField("forecast_data", T.ArrayType(hs.DAY))])
+
+
+@register("report_json_export", sql("""
+SELECT l.id, 'Executive Forecast Report' AS report_type, strftime(l.created_at, '%Y-%m-%dT%H:%M:%S.000Z') AS generated_at,
+       l.total_predicted_sales, l.stockout_risk, CAST(l.n AS INTEGER) AS n_forecast_days, f.first_date
+FROM log l JOIN (SELECT Store, strftime(min(date), '%Y-%m-%d') AS first_date FROM future_pred GROUP BY Store) f
+  ON l.store_id = f.Store""", "log", "future_pred"))
 def report_json_export(spark, sf):
-    """Forecast report documents {report_type, generated_at, insights, forecast_data} as pretty JSON."""
+    """Forecast report documents {report_type, generated_at, insights,
+    forecast_data} written as pretty JSON text, checked by parsing them back."""
     p = hs.parse_response(_log_table(spark, sf))
     doc = F.struct(F.lit("Executive Forecast Report").alias("report_type"),
                    F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("generated_at"),
                    F.col("response.business_insights").alias("insights"),
                    F.col("response.forecast").alias("forecast_data"))
-    return p.select("id", F.to_json(doc, {"pretty": "true"}).alias("report_json"))
+    text = p.select("id", F.to_json(doc, {"pretty": "true"}).alias("report_json"))
+    back = text.select("id", F.from_json("report_json", _REPORT).alias("r"))
+    return back.select("id", "r.report_type", "r.generated_at",
+                       F.col("r.insights.total_predicted_sales").alias("total_predicted_sales"),
+                       F.col("r.insights.stockout_risk").alias("stockout_risk"),
+                       F.size("r.forecast_data").alias("n_forecast_days"),
+                       F.col("r.forecast_data")[0]["date"].alias("first_date"))
 
 
 @register("report_csv_export", sql("""
