@@ -23,9 +23,10 @@ MODEL_NAME = "WeeklySeasonalNaive"
 MODEL_VERSION = "v1"
 
 
-def history_state(feat: DataFrame, key: str = "Store") -> DataFrame:
-    """``windows.latest_state`` with the tail (Date, Sales) array for the calendar lag."""
-    return latest_state(feat, key, with_tail=True)
+def history_state(feat: DataFrame, key: str = "Store", extra_aggs: list[Column] | None = None) -> DataFrame:
+    """``windows.latest_state`` with the tail (Date, Sales) array for the
+    calendar lag (``extra_aggs``: e.g. scaler fits, in the same aggregation)."""
+    return latest_state(feat, key, with_tail=True, extra_aggs=extra_aggs)
 
 
 def future_dates(latest: Column, horizon: Column, open_only: Column, closes_on_sundays: Column) -> Column:

@@ -102,7 +102,8 @@ def latest_window(feat: DataFrame, lookback: int = 30, key: str = "Store", order
     return feat.filter(F.col("row_position") >= F.col("n_rows") - lookback)
 
 
-def latest_state(feat: DataFrame, key: str = "Store", with_tail: bool = False) -> DataFrame:
+def latest_state(feat: DataFrame, key: str = "Store", with_tail: bool = False,
+                 extra_aggs: list[Column] | None = None) -> DataFrame:
     """Per series, ONE aggregation (reusing the feature partitioning): latest
     date, its rolling values, promo counter and Sales, the mean of the last 7
     Sales, the Sunday rule; with ``with_tail`` also the last 8 (Date, Sales)
@@ -128,7 +129,7 @@ def latest_state(feat: DataFrame, key: str = "Store", with_tail: bool = False) -
         aggs.append(F.collect_list(F.when(tail8, F.struct(F.col("Date").alias("d"),
                                                           F.col("Sales").cast("double").alias("s"))))
                     .alias("tail"))
-    return feat.groupBy(key).agg(*aggs)
+    return feat.groupBy(key).agg(*aggs, *(extra_aggs or []))
 
 
 def with_positions(df: DataFrame, key: str, order: str) -> DataFrame:

@@ -116,8 +116,8 @@ SELECT method, {_MET} FROM (
   UNION ALL SELECT 'weekly_seasonal' AS method, {_AGG} FROM preds_weekly)""", "preds_last", "preds_weekly"))
 def union_methods(spark, sf):
     """Per-method metric rows stacked with unionByName (the shared window
-    exchange is reused by both branches)."""
-    h = _h(spark, sf)
+    horizon table is checkpointed once and read by both branches)."""
+    h = tables.reused(spark, _h(spark, sf))
     parts = [ev.error_metrics(ev.prediction_records(h, col), []).withColumn("method", F.lit(m))
              for m, col in METHODS.items()]
     out = parts[0]
@@ -196,8 +196,9 @@ SELECT Store, sample_index, forecast_day, actual_sales, predicted_sales, absolut
        ROUND(percentage_error, 4) AS percentage_error, {_CTX} FROM context""", "context"))
 def join_error_context(spark, sf):
     """Every test prediction with its target row's context (equi join on
-    (Store, row_position), not positional)."""
-    feat = tables.feature_table(spark, sf)
+    (Store, row_position), not positional). The feature table feeds both
+    sides, so it is checkpointed once."""
+    feat = tables.reused(spark, tables.feature_table(spark, sf))
     p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
     return _ctx_out(ev.join_error_context(p, feat))
 
@@ -207,7 +208,7 @@ SELECT Store, sample_index, forecast_day, actual_sales, predicted_sales, absolut
        ROUND(percentage_error, 4) AS percentage_error, {_CTX} FROM context WHERE Date IS NOT NULL""", "context"))
 def drop_unmatched_context(spark, sf):
     """Predictions whose context row exists."""
-    feat = tables.feature_table(spark, sf)
+    feat = tables.reused(spark, tables.feature_table(spark, sf))
     p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
     return _ctx_out(ev.drop_unmatched_context(ev.join_error_context(p, feat)))
 
@@ -292,23 +293,26 @@ FROM preds_weekly p JOIN (
   FROM features GROUP BY Store) s ON p.Store = s.Store
 GROUP BY p.Store""", "preds_weekly", "features"))
 def test_mse_scaled(spark, sf):
-    """MSE of the scaled predictions per store (target scaler fitted per store)."""
-    from ..operators import scaling
-    feat = tables.feature_table(spark, sf)
-    params = scaling.fit_minmax(feat, ["Sales"])
-    p = ev.prediction_records(windows.horizon_rows(feat), "weekly_seasonal")
-    j = p.join(params, "Store")
-    za = scf.minmax_transform(F.col("actual_sales"), F.col("min"), F.col("max"))
-    zp = scf.minmax_transform(F.col("predicted_sales"), F.col("min"), F.col("max"))
-    return j.groupBy("Store").agg(F.round(F.avg((za - zp) * (za - zp)), 6).alias("test_mse"))
+    """MSE of the scaled predictions per store (target scaler fitted per store
+    with window aggregates on the feature partitioning: no join)."""
+    w = Window.partitionBy("Store")
+    feat = tables.feature_table(spark, sf).select(
+        "*", F.min(F.col("Sales").cast("double")).over(w).alias("_lo"),
+        F.max(F.col("Sales").cast("double")).over(w).alias("_hi"))
+    p = ev.prediction_records(windows.horizon_rows(feat, extra=["_lo", "_hi"]), "weekly_seasonal",
+                              extra=["_lo", "_hi"])
+    za = scf.minmax_transform(F.col("actual_sales"), F.col("_lo"), F.col("_hi"))
+    zp = scf.minmax_transform(F.col("predicted_sales"), F.col("_lo"), F.col("_hi"))
+    return p.groupBy("Store").agg(F.round(F.avg((za - zp) * (za - zp)), 6).alias("test_mse"))
 
 
 @register("concat_columns", sql("""
 SELECT w.Store, w.sample_index, w.forecast_day, w.predicted_sales AS weekly_pred, l.predicted_sales AS last_value_pred
 FROM preds_weekly w JOIN preds_last l USING (Store, sample_index, forecast_day)""", "preds_weekly", "preds_last"))
 def concat_columns(spark, sf):
-    """Two aligned prediction frames side by side, joined on explicit keys."""
-    h = _h(spark, sf)
+    """Two aligned prediction frames side by side, joined on explicit keys
+    (both from one checkpointed horizon table)."""
+    h = tables.reused(spark, _h(spark, sf))
     k = ["Store", "sample_index", "forecast_day"]
     w = ev.prediction_records(h, "weekly_seasonal").select(*k, F.col("predicted_sales").alias("weekly_pred"))
     lv = ev.prediction_records(h, "last_value").select(*k, F.col("predicted_sales").alias("last_value_pred"))

@@ -11,7 +11,7 @@ from ..functions.metrics import demand_level as level_expr
 from ..functions.metrics import risk_normalise as risk_expr
 from ..operators import decisions as dc
 from ..operators import forecast as fc
-from ..operators import scaling
+from ..functions import scaling as scf
 from ..params import DemandThresholds
 from . import tables
 from . import requests as rq
@@ -149,13 +149,21 @@ JOIN (SELECT Store, {fit} FROM features GROUP BY Store) p ON f.Store = p.Store""
 
 
 def _future_scaled(spark, sf, clip):
-    feat, st = _state(spark, sf)
-    rows = fc.forecast_rows(fc.forecast_joined(rq.default_requests(st)))
-    rows = rows.select("Store", "step", *[F.col(k).alias(v) for k, v in _RENAME.items()], "lag_7_sales",
-                       "days_since_last_promo", "days_until_next_promo")
-    params = scaling.fit_minmax(feat, _SCALED)
-    out = scaling.apply_minmax(rows, params, _SCALED, clip=clip)
-    return out.select("Store", "step", *[r4(c + "_scaled").alias(c + "_scaled") for c in _SCALED])
+    """Future rows scaled with per-store min/max of the history, fitted IN the
+    state aggregation (one pass over the features, no params join)."""
+    feat = tables.feature_table(spark, sf)
+    fit = [a for c in _SCALED for a in (F.min(F.col(c).cast("double")).alias(f"{c}_lo"),
+                                        F.max(F.col(c).cast("double")).alias(f"{c}_hi"))]
+    st = fc.history_state(feat, extra_aggs=fit)
+    f = fc.forecast_joined(rq.default_requests(st))
+    rows = f.select("Store", *[F.col(f"{c}_lo") for c in _SCALED], *[F.col(f"{c}_hi") for c in _SCALED],
+                    F.inline("days"))
+    source = {v: k for k, v in _RENAME.items()}   # feature name -> day-struct field
+    out = []
+    for c in _SCALED:
+        z = scf.minmax_transform(F.col(source.get(c, c)).cast("double"), F.col(f"{c}_lo"), F.col(f"{c}_hi"))
+        out.append(r4(clip_expr(z) if clip else z).alias(c + "_scaled"))
+    return rows.select("Store", "step", *out)
 
 
 @register("scale_future", sql(_scale_sql(True), "future_pred", "future_dates", "features"))

@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, features, joins
+from ..session import shared_dir
 from ..sources import panel
 
 
@@ -40,3 +41,11 @@ def feature_table(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None
 
 def synthetic_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.synthetic_features(panel.product_daily(spark, sf_dir))
+
+
+def reused(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """A table read by several branches of one query: reliably checkpointed
+    to the shared ``spark.checkpoint.dir`` (computed once, lineage cut, the
+    store partitioning and ordering are kept for the branches)."""
+    shared_dir(spark)
+    return df.checkpoint(eager=True)
