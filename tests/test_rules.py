@@ -81,3 +81,15 @@ def test_request_rules(spark):
     assert got[2] == ["forecast_days", "promo_dates", "current_stock", "unit_price", "reorder_lead_time_days",
                       "safety_stock_percentage"]
     assert got[3] == ["promo_dates", "reorder_lead_time_days"]
+
+
+def test_contract_fails_fast(spark):
+    import pytest
+
+    from tidecast import schemas
+    from tidecast.sources import files
+    good = spark.createDataFrame([], schemas.SALES_DAILY)
+    assert files.require_contract(good, "sales", schemas.SALES_DAILY) is good
+    bad = good.drop("Promo").withColumn("Sales", F.col("Sales").cast("string"))
+    with pytest.raises(files.ContractError, match=r"missing \['Promo'\].*Sales: string != bigint"):
+        files.require_contract(bad, "sales", schemas.SALES_DAILY)

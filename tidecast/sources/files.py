@@ -71,3 +71,19 @@ def contract_check(df: DataFrame, table: str, expected: T.StructType) -> DataFra
             (F.col(f"_nn{i}") if have else F.lit(0).cast("bigint")).alias("non_null"),
             F.col("_rows").alias("rows")))
     return counts.select(F.inline(F.array(*rows)))
+
+
+class ContractError(ValueError):
+    """An input table lacks required columns or has the wrong types."""
+
+
+def require_contract(df: DataFrame, table: str, expected: T.StructType) -> DataFrame:
+    """Fail fast (schema only, no job) when required columns are missing or
+    mistyped; returns ``df`` unchanged otherwise."""
+    actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    missing = [f.name for f in expected.fields if f.name not in actual]
+    wrong = [f"{f.name}: {actual[f.name]} != {f.dataType.simpleString()}" for f in expected.fields
+             if f.name in actual and actual[f.name] != f.dataType.simpleString()]
+    if missing or wrong:
+        raise ContractError(f"{table}: missing {missing}, wrong types {wrong}; has {sorted(actual)}")
+    return df
