@@ -61,14 +61,13 @@ def impute_zero(df: DataFrame, cols: Iterable[str] = ZERO_FILL_COLUMNS) -> DataF
 
 def one_hot(df: DataFrame, categories: dict[str, list[str]] = CATEGORIES) -> DataFrame:
     """Indicator ints ``col_value`` for an explicit category list (stable
-    schema); NULL -> 0 in every indicator; the original column is dropped."""
-    out = df
-    for col, values in categories.items():
-        if col not in out.columns:
-            continue
-        out = out.select("*", *[F.coalesce(F.col(col) == v, F.lit(False)).cast("int").alias(f"{col}_{v}")
-                                for v in values]).drop(col)
-    return out
+    schema); NULL -> 0 in every indicator; the original column is dropped.
+    One projection for all categorical columns."""
+    present = {c: v for c, v in categories.items() if c in df.columns}
+    keep = [c for c in df.columns if c not in present]
+    dummies = [F.coalesce(F.col(c) == v, F.lit(False)).cast("int").alias(f"{c}_{v}")
+               for c, values in present.items() for v in values]
+    return df.select(*keep, *dummies)
 
 
 def add_calendar(df: DataFrame, date_col: str = "Date", dow_col: str = "DayOfWeek") -> DataFrame:
