@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import q_decontaminate, q_quality
+from . import q_decontaminate, q_pii, q_quality
 
 _QUERIES = {
+    "op9_pii": (q_pii.op9_pii, None),
     "op3_benchmark_decontamination": (q_decontaminate.op3_benchmark_decontamination, q_decontaminate.SQL),
     "op6_quality_rules": (q_quality.op6_quality_rules, q_quality.SQL),
 }

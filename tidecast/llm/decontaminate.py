@@ -11,7 +11,7 @@ disagree by at most that many words: a proximity match). What survives is
 compared word by word with the document, which makes phrase matches exact.
 
 Plan. DataFrame functions only. The benchmark side is broadcast only after its
-rows have been counted against ``BROADCAST_ROWS``; beyond that the same joins are
+rows have been counted (``tables.small``); beyond that the same joins are
 shuffle joins. Map-side combine reduces the word counts to one row per word and
 task. A word that is in every document is a list head only of windows that have
 no rarer word. Documents are shuffled once, for the final comparison, by doc_id.
@@ -30,12 +30,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import small, stored
 
 #: Separators: every ASCII character that is no digit and no lower-case letter.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: A benchmark-side table is broadcast up to so many rows (about 100 bytes each), else joined by shuffle.
-BROADCAST_ROWS = 200_000
 
 
 @dataclass(frozen=True)
@@ -51,12 +49,6 @@ def words(text: Column) -> Column:
     return F.coalesce(F.array_remove(F.split(lower, SEPARATORS), ""), F.array().cast("array<string>"))
 
 
-def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if a count shows that it is small, else unchanged."""
-    n = df.limit(BROADCAST_ROWS + 1).count()
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
-
-
 def item_windows(benchmark: DataFrame, n: int = 10) -> DataFrame:
     """(wid, words, item_ids): the distinct windows and the items that have them."""
     items = benchmark.select("item_id", words(F.col("text")).alias("w")).filter(F.size("w") > 0)

@@ -7,6 +7,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
 
@@ -15,6 +16,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+#: A table is broadcast up to so many rows (keys and short strings, some 100 bytes each), else joined by shuffle.
+BROADCAST_ROWS = 200_000
+
+
+def small(df: DataFrame) -> DataFrame:
+    """Marked for broadcast if a count shows at most ``BROADCAST_ROWS`` rows, else
+    unchanged, so that Spark plans a shuffle join."""
+    n = df.limit(BROADCAST_ROWS + 1).count()
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write to a new folder under ``spark.checkpoint.dir`` and read it back.
 
