@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from . import q_decontaminate, q_pii, q_quality
+from . import q_decontaminate, q_langid, q_packing, q_pii, q_quality, q_substrings, q_tokencount, q_urlfilter, q_warc
 
 _QUERIES = {
-    "op9_pii": (q_pii.op9_pii, None),
+    "op1_token_counts": (q_tokencount.op1_token_counts, None),
     "op3_benchmark_decontamination": (q_decontaminate.op3_benchmark_decontamination, q_decontaminate.SQL),
+    "op4_language_id": (q_langid.op4_language_id, None),
+    "op5_substring_dedup": (q_substrings.op5_substring_dedup, q_substrings.SQL),
     "op6_quality_rules": (q_quality.op6_quality_rules, q_quality.SQL),
+    "op7_warc": (q_warc.op7_warc, q_warc.SQL),
+    "op8_packing": (q_packing.op8_packing, None),
+    "op9_pii": (q_pii.op9_pii, None),
+    "op10_url_filters": (q_urlfilter.op10_url_filters, q_urlfilter.SQL),
 }
 
 
