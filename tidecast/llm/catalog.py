@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import q_decontaminate, q_langid, q_packing, q_pii, q_quality, q_substrings, q_tokencount, q_urlfilter, q_warc
+from . import q_decontaminate, q_langid, q_neardup, q_packing, q_pii, q_quality, q_substrings, q_tokencount, q_urlfilter, q_warc
 
 _QUERIES = {
     "op1_token_counts": (q_tokencount.op1_token_counts, None),
+    "op2_minhash_near_dedup": (q_neardup.op2_minhash_near_dedup, q_neardup.SQL),
     "op3_benchmark_decontamination": (q_decontaminate.op3_benchmark_decontamination, q_decontaminate.SQL),
     "op4_language_id": (q_langid.op4_language_id, None),
     "op5_substring_dedup": (q_substrings.op5_substring_dedup, q_substrings.SQL),
