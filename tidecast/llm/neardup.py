@@ -11,13 +11,15 @@ sets reaches the threshold. Links give groups; a group's smallest doc_id stays.
 
 Plan. Documents of one and the same shingle set are one node from the start, so a
 group of exact copies costs one row. Within a band bucket no pairs are made:
-every node is compared with the bucket's centre only (a different centre each
-round), at most ``CENTRES`` per node and round, preferring centres met in many
-bands. After each round linked nodes share a component, and buckets that lie
-within one component are done. For the buckets that are still mixed, the last
-round compares the pairs of nodes of different components that could still be
-linked; see ``remaining_pairs``. Texts of candidates are stored once and joined
-to the pairs by key; links and components never leave the executors.
+every node is compared with the bucket's centre only (first the node that shares
+most buckets with others, then another draw), at most ``CENTRES`` per node and
+round, preferring centres met in many bands. After each round linked nodes share
+a component, and buckets that lie within one component are done. What is still
+mixed is settled exactly in a last round: shingles that few other open nodes have
+bound the similarity of a node to the others (``remaining_pairs``), and only pairs
+of different components above that bound are compared. Texts of candidates are
+stored once and joined to the pairs by key; links and components never leave
+the executors.
 
 A pair at the threshold escapes all bands with probability (1 - t^rows)^bands:
 4e-7 for 0.85 (25 bands of 5 rows), 5e-8 for 0.8 (32 bands of 4 rows).
@@ -41,11 +43,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .tables import arrow_map, small, stored
+from .tables import arrow_map, stored
 
 UNIVERSE = 1 << 20
 CENTRES = 3
-ROUNDS = 3
+ROUNDS = 2
+RARE = 8
 SEED = 20
 
 
@@ -152,22 +155,26 @@ def sketches(docs: DataFrame, s: Similar) -> DataFrame:
 
 
 def buckets(nodes: DataFrame) -> DataFrame:
-    """Stored (bucket, node) of the buckets with two nodes or more."""
+    """Stored (bucket, node, met) of the buckets with two nodes or more; met: how
+    often the node stands in a bucket with another, over all its buckets."""
     rows = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("bucket")
-    return stored(rows.join(shared, "bucket", "left_semi"), "neardup_buckets")
+    shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    open_ = stored(rows.join(shared, "bucket"), "neardup_shared")
+    met = open_.groupBy("node").agg(F.sum("n").alias("met"))
+    return stored(open_.drop("n").join(met, "node").select("bucket", "node", "met"), "neardup_buckets")
 
 
 def centre_pairs(members: DataFrame, round_no: int) -> DataFrame:
     """(a, b): nodes and the centres of their buckets, where node and centre are
     in different components; per node the ``CENTRES`` centres met in most bands."""
-    order = F.struct(F.xxhash64("node", F.lit(round_no)).alias("p"), "node", "component")
+    rank = -F.col("met") if round_no == 0 else F.xxhash64("node", F.lit(round_no))
+    order = F.struct(rank.alias("p"), "node", "component")
     centre = members.groupBy("bucket").agg(F.min(order).alias("c"), F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .filter("lo < hi").select("bucket", F.col("c.node").alias("b"), F.col("c.component").alias("cb"))
-    met = members.join(centre, "bucket").filter("component <> cb").groupBy(F.col("node").alias("a"), "b") \
+    shared = members.join(centre, "bucket").filter("component <> cb").groupBy(F.col("node").alias("a"), "b") \
         .agg(F.count(F.lit(1)).alias("n"))
     best = Window.partitionBy("a").orderBy(F.desc("n"), "b")
-    return met.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= CENTRES).select("a", "b")
+    return shared.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= CENTRES).select("a", "b")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
@@ -203,19 +210,54 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(bucket, node, component) of the buckets that still hold nodes of different components."""
-    m = members.select("bucket", "node").join(labels.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left")
-    m = m.select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    """Stored (bucket, node, met, component) of the buckets that still hold nodes of different components."""
+    m = members.select("bucket", "node", "met") \
+        .join(labels.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left") \
+        .select("bucket", "node", "met", F.coalesce("component", "node").alias("component"))
     mixed = m.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
     return stored(m.join(mixed.select("bucket"), "bucket", "left_semi"), "neardup_mixed")
 
 
-def remaining_pairs(members: DataFrame, tested: DataFrame) -> DataFrame:
-    """(a, b), a < b: nodes of different components that share a bucket and were not compared yet."""
-    x = members.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-    y = members.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-    pairs = x.join(y, "bucket").filter("a < b AND ca <> cb").select("a", "b").distinct()
-    return pairs.join(tested, ["a", "b"], "left_anti")
+def _shingle_batches(s: Similar):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column(batch.schema.names.index("node"))
+            for i, text in enumerate(ta.texts_of(batch.column(batch.schema.names.index("text")))):
+                items = shingles(ta.word_hashes(text, lower=True), s.shingle)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node[i].as_py(), dtype=np.int64)),
+                                                  pa.array(items.view(np.int64))], names=["node", "item"])
+    return run
+
+
+def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s: Similar) -> DataFrame:
+    """(a, b), a < b: nodes of different components that were not compared yet and
+    can still reach the threshold; nothing that could be linked is left out.
+
+    A shingle is rare if at most ``RARE`` open nodes have it. Pairs that share a rare
+    shingle are listed from the shingle (at most RARE^2 / 2 pairs each). Any other
+    pair of a bucket shares no rare shingle, so of its n shingles a node shares at
+    most m = n - (its rare ones), and the similarity of a and b is at most
+    m / (na + nb - m) with the smaller m; pairs below the threshold are not made.
+    """
+    homes = members.select("node", "component").distinct()
+    items = arrow_map(texts.join(homes.select("node"), "node", "left_semi"), _shingle_batches(s), "node bigint, item bigint")
+    items = stored(items, "neardup_items")
+    scarce = items.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= RARE)
+    rare = stored(items.join(scarce, "item").join(homes, "node"), "neardup_rare")
+    size = items.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    own = rare.groupBy("node").agg(F.count(F.lit(1)).alias("r"))
+    able = size.join(own, "node", "left").select("node", "n", (F.col("n") - F.coalesce("r", F.lit(0))).alias("m")) \
+        .filter(F.col("m") * 100 >= F.col("n") * s.percent)
+    rows = stored(members.join(able, "node"), "neardup_able")
+    x = rows.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("m").alias("ma"))
+    y = rows.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
+    most = F.least("ma", "mb")
+    reach = most * 100 >= (F.col("na") + F.col("nb") - most) * s.percent
+    common = x.join(y, (x.bucket == y.bucket) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reach).select("a", "b")
+    u = rare.filter("k > 1").select("item", F.col("node").alias("a"), F.col("component").alias("ca"))
+    v = rare.filter("k > 1").select("item", F.col("node").alias("b"), F.col("component").alias("cb"))
+    scarce_pairs = u.join(v, (u.item == v.item) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
+    return common.unionByName(scarce_pairs).distinct().join(tested, ["a", "b"], "left_anti")
 
 
 def groups(docs: DataFrame, s: Similar = Similar()) -> DataFrame:
@@ -258,7 +300,7 @@ def linked(members: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
             if tested is not None:
                 pairs = pairs.join(tested, ["a", "b"], "left_anti")
         else:
-            pairs = remaining_pairs(now, tested)
+            pairs = remaining_pairs(now, texts, tested, s)
         pairs = stored(pairs, "neardup_pairs")
         found = stored(verified(pairs, texts, s), "neardup_links")
         both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
