@@ -16,11 +16,10 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions.metrics import demand_level
-from ..params import FUTURE_PROMO_CAP, DemandThresholds
+from ..params import FUTURE_PROMO_CAP, DemandThresholds, LinearPlan
 from .windows import latest_state
 
-MODEL_NAME = "WeeklySeasonalNaive"
-MODEL_VERSION = "v1"
+NAIVE = ("WeeklySeasonalNaive", "v1")
 
 
 def history_state(feat: DataFrame, key: str = "Store", extra_aggs: list[Column] | None = None) -> DataFrame:
@@ -56,19 +55,29 @@ def _until_promo(flags: Column, cap: int) -> Column:
     return F.transform(flags, at)
 
 
+def planned_sales(lag7: Column, rolling7: Column, promo: Column, school: Column, weekend: Column,
+                  plan: LinearPlan) -> Column:
+    """The linear model on one future day, never negative."""
+    raw = (lag7 * F.lit(plan.lag) + rolling7 * F.lit(plan.rolling) + rolling7 * F.lit(plan.promo) * promo
+           + rolling7 * F.lit(plan.school_holiday) * school + rolling7 * F.lit(plan.promo_weekend) * promo * weekend)
+    return F.greatest(raw, F.lit(0.0))
+
+
 def build_forecasts(state: DataFrame, requests: DataFrame, th: DemandThresholds = DemandThresholds(),
-                    cap: int = FUTURE_PROMO_CAP, model_name: str = MODEL_NAME,
-                    model_version: str = MODEL_VERSION) -> DataFrame:
+                    cap: int = FUTURE_PROMO_CAP, plan: LinearPlan | None = LinearPlan()) -> DataFrame:
     """One row per (Store, request): ``days`` (array of day structs with the
-    known-future features and the seasonal-naive prediction) and the response
-    summary fields. ``requests`` needs Store, request_id and the request fields
-    (promo_dates / school_holiday_dates as ARRAY<DATE>)."""
-    return forecast_joined(requests.join(state, "Store"), th, cap, model_name, model_version)
+    known-future features and the prediction) and the response summary fields.
+    ``requests`` needs Store, request_id and the request fields (promo_dates /
+    school_holiday_dates as ARRAY<DATE>). A request for a store without history
+    stays in the result: its ``latest_date``, ``days`` and totals are null."""
+    return forecast_joined(requests.join(state, "Store", "left"), th, cap, plan)
 
 
 def forecast_joined(j: DataFrame, th: DemandThresholds = DemandThresholds(), cap: int = FUTURE_PROMO_CAP,
-                    model_name: str = MODEL_NAME, model_version: str = MODEL_VERSION) -> DataFrame:
-    """``build_forecasts`` on rows that already carry state + request fields."""
+                    plan: LinearPlan | None = LinearPlan()) -> DataFrame:
+    """``build_forecasts`` on rows that already carry state + request fields.
+    ``plan``: the linear model; None: the weekly-seasonal naive value."""
+    model_name, model_version = (plan.name, plan.version) if plan else NAIVE
     h = F.coalesce(F.col("forecast_days"), F.lit(7))
     dates = future_dates(F.col("latest_date"), h, F.col("forecast_open_days_only"), F.col("closes_on_sundays"))
     promo_dates = F.coalesce(F.col("promo_dates"), F.array().cast("array<date>"))
@@ -86,7 +95,8 @@ def forecast_joined(j: DataFrame, th: DemandThresholds = DemandThresholds(), cap
         open_ = F.when(F.col("closes_on_sundays") & (dow == 7), 0).otherwise(1)
         hit = F.filter(F.col("tail"), lambda t: t["d"] == F.date_sub(d, 7))
         lag7 = F.coalesce(F.try_element_at(hit, F.lit(1))["s"], F.col("tail7_mean"))
-        raw = F.when(open_ == 0, F.lit(0.0)).otherwise(lag7)
+        value = planned_sales(lag7, F.col("last_rolling_7_sales"), promo, school, wkend, plan) if plan else lag7
+        raw = F.when(open_ == 0, F.lit(0.0)).otherwise(value)
         pred = F.bround(raw, 0).cast("bigint")
         month = F.month(d)
         return F.struct(

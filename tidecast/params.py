@@ -29,6 +29,17 @@ FUTURE_FEATURES = [
     "promo_schoolholiday", "weekend_schoolholiday", "promo_weekend",
     "days_since_last_promo", "days_until_next_promo",
 ]
+# The other feature sets (fixed values): first real set, synthetic sets.
+PAST_FEATURES_V1 = ["Sales", "Promo", "SchoolHoliday", "DayOfWeek", "Month", "Day", "IsWeekend",
+                    "lag_7_sales", "rolling_7_sales"]
+FUTURE_FEATURES_V1 = ["Promo", "SchoolHoliday", "DayOfWeek", "Month", "Day", "IsWeekend",
+                      "lag_7_sales", "rolling_7_sales"]
+SYNTHETIC_PAST = ["units_sold", "price", "stock", "promotion", "day_of_week", "month"]
+SYNTHETIC_FUTURE = ["price", "promotion", "day_of_week", "month"]
+SYNTHETIC_PAST_V3 = ["units_sold", "price", "stock", "promotion", "day_of_week", "month", "is_weekend",
+                     "rolling_7_day_average"]
+SYNTHETIC_FUTURE_V3 = ["price", "promotion", "day_of_week", "month", "is_weekend",
+                       "same_day_last_week_sales", "rolling_7_day_average"]
 LAG_COLUMNS = ["lag_7_sales", "rolling_7_sales", "rolling_14_sales",
                "rolling_7_std_sales", "sales_vs_lag7"]
 
@@ -78,6 +89,20 @@ class DemandThresholds:
     medium: int = DEMAND_MEDIUM
 
 
+@dataclass(frozen=True)
+class LinearPlan:
+    """A linear forecast of a future day from its lag, the frozen rolling mean and
+    the planned events (our own coefficients: the published models' weights are
+    not available). Event effects are shares of the rolling mean."""
+    lag: float = 0.6
+    rolling: float = 0.4
+    promo: float = 0.25
+    school_holiday: float = -0.1
+    promo_weekend: float = 0.05
+    name: str = "LinearPlan"
+    version: str = "v1"
+
+
 @dataclass(frozen=True)
 class Request:
     """One forecast request (defaults of the service)."""

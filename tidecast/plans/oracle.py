@@ -4,6 +4,8 @@ a query depends on (transitively, in dependency order)."""
 
 from __future__ import annotations
 
+from ..params import LinearPlan
+
 _W = "PARTITION BY Store ORDER BY Date"
 
 
@@ -247,16 +249,24 @@ def sql(final: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][1]}\n)" for n in order) + "\n" + final.strip()
 
 
-def _future_pred(src: str) -> str:
+_PLAN = LinearPlan()
+
+
+def _future_pred(src: str, promo: str = "0", school: str = "0") -> str:
+    """Future days with the linear model; ``promo`` / ``school``: the day's planned flags."""
+    d = lambda x: f"CAST({x} AS DOUBLE)"
     return f"""
-SELECT fd.*, CAST(isodow(fd.date) AS INTEGER) AS day_of_week,
+SELECT *, CASE WHEN open = 0 THEN 0.0 ELSE GREATEST(linear, 0.0) END AS raw_prediction,
+       CAST(round_even(CASE WHEN open = 0 THEN 0.0 ELSE GREATEST(linear, 0.0) END, 0) AS BIGINT) AS predicted_sales
+FROM (SELECT *, lag_7_sales * {d(_PLAN.lag)} + last_rolling_7_sales * {d(_PLAN.rolling)}
+                + last_rolling_7_sales * {d(_PLAN.promo)} * promo_flag
+                + last_rolling_7_sales * {d(_PLAN.school_holiday)} * school_flag
+                + last_rolling_7_sales * {d(_PLAN.promo_weekend)} * promo_flag * CAST(day_of_week IN (6, 7) AS INTEGER) AS linear
+FROM (SELECT fd.*, CAST(isodow(fd.date) AS INTEGER) AS day_of_week,
        CAST(CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0 ELSE 1 END AS INTEGER) AS open,
        COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) AS lag_7_sales,
-       CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0.0
-            ELSE COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) END AS raw_prediction,
-       CAST(round_even(CASE WHEN fd.closes_on_sundays AND isodow(fd.date) = 7 THEN 0.0
-            ELSE COALESCE(CAST(h.Sales AS DOUBLE), fd.tail7_mean) END, 0) AS BIGINT) AS predicted_sales
-FROM {src} fd LEFT JOIN features h ON h.Store = fd.Store AND h.Date = fd.date - 7"""
+       CAST({promo} AS INTEGER) AS promo_flag, CAST({school} AS INTEGER) AS school_flag
+FROM {src} fd LEFT JOIN features h ON h.Store = fd.Store AND h.Date = fd.date - 7))"""
 
 
 cte("future_pred", ["future_dates", "features"], _future_pred("future_dates"))
@@ -269,14 +279,17 @@ FROM (VALUES (0, 'Normal', false, 300, 12.5, 3, 0.15), (1, 'Promo', true, 300, 1
              (2, 'Lean', false, 50, 12.5, 7, 0.30), (3, 'NoStock', false, NULL, NULL, 3, 0.15),
              (4, 'Twin of Normal', false, 300, 12.5, 3, 0.15)) v(position, name, promo, stock, price, lead, safety)""")
 
-cte("scen_ins0", ["future_pred", "scenarios"], """
+cte("scen_future", ["future_dates", "features", "scenarios"], _future_pred(
+    "(SELECT f.*, s.position, s.promo AS promoted FROM future_dates f CROSS JOIN scenarios s)", "fd.promoted AND fd.step <= 2"))
+
+cte("scen_ins0", ["scen_future", "scenarios"], """
 SELECT t.Store, s.*, t.total, t.n,
        CAST(round_even(CAST(t.total AS DOUBLE) / t.n, 0) AS BIGINT) AS avg_ins,
        CAST(t.total AS DOUBLE) * s.unit_price AS expected_revenue,
        s.current_stock - t.total AS projected,
        CASE WHEN s.current_stock IS NOT NULL THEN CAST(t.total AS DOUBLE) * s.safety_stock_percentage END AS safety_stock
-FROM (SELECT Store, CAST(SUM(predicted_sales) AS BIGINT) AS total, COUNT(*) AS n FROM future_pred GROUP BY Store) t
-CROSS JOIN scenarios s""")
+FROM (SELECT Store, position, CAST(SUM(predicted_sales) AS BIGINT) AS total, COUNT(*) AS n FROM scen_future GROUP BY 1, 2) t
+JOIN scenarios s ON s.position = t.position""")
 
 cte("scen_ins", ["scen_ins0"], """
 SELECT *, CASE WHEN current_stock IS NULL THEN NULL WHEN projected < 0 THEN 'high'

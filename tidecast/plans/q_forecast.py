@@ -237,7 +237,7 @@ FROM future_pred GROUP BY Store"""
 
 
 @register("forecast_response", sql(f"""
-SELECT Store, 'WeeklySeasonalNaive' AS model_name, 'v1' AS model_version, 'open days only' AS forecast_mode,
+SELECT Store, 'LinearPlan' AS model_name, 'v1' AS model_version, 'open days only' AS forecast_mode,
        latest_historical_date, 7 AS forecast_days, total_predicted_sales, average_predicted_sales,
        highest_demand_day, lowest_demand_day, CAST(n_days AS INTEGER) AS n_days
 FROM ({_RESP})""", "future_pred"))
@@ -432,8 +432,8 @@ def scenario_report_rows(spark, sf):
 
 
 @register("merge_scenarios_by_date", sql(f"""
-SELECT f.Store, f.date, {', '.join(f"max(CASE WHEN s.position = {p} THEN f.predicted_sales END) AS s{p}" for p in range(5))}
-FROM future_pred f CROSS JOIN scenarios s GROUP BY f.Store, f.date""", "future_pred", "scenarios"))
+SELECT Store, date, {', '.join(f"max(CASE WHEN position = {p} THEN predicted_sales END) AS s{p}" for p in range(5))}
+FROM scen_future GROUP BY Store, date""", "scen_future"))
 def merge_scenarios_by_date(spark, sf):
     """All scenario forecasts of a store aligned by date (one column per scenario)."""
     rows = fc.forecast_rows(_scen(spark, sf), ("Store", "position"))

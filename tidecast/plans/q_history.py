@@ -15,7 +15,7 @@ from ..session import scratch_path
 from ..sources import files
 from . import tables
 from . import requests as rq
-from .oracle import cte, sql
+from .oracle import _future_pred, cte, sql
 from .registry import register
 
 
@@ -23,34 +23,69 @@ def _state(spark, sf):
     return fc.history_state(tables.feature_table(spark, sf))
 
 
-def _variants_sql() -> str:
-    vals = []
-    for v, (name, days, promo, stock, price, lead, safety) in enumerate(rq.REQUEST_VARIANTS):
-        def lit(x):
-            return "NULL" if x is None else (f"'{x}'" if isinstance(x, str) else str(x))
-        vals.append(f"({v}, {lit(name)}, {lit(days)}, {lit(promo)}, {lit(stock)}, {lit(price)}, {lit(lead)}, {lit(safety)})")
-    return ", ".join(vals)
+def _text_rows(texts) -> str:
+    return ", ".join("({}, '{}')".format(i, t.replace("'", "''")) for i, t in enumerate(texts))
 
 
-cte("req_variants", ["state"], f"""
-SELECT s.Store, CAST(s.Store * 100 + v.variant AS BIGINT) AS request_id, v.variant, v.name,
-       CAST(v.days AS INTEGER) AS forecast_days,
-       CASE WHEN v.promo IS NULL THEN []::VARCHAR[]
-            WHEN v.promo = '+1' THEN [strftime(s.latest_date + 1, '%Y-%m-%d')] ELSE [v.promo] END AS promo_dates,
-       CAST(v.stock AS BIGINT) AS current_stock, CAST(v.price AS DOUBLE) AS unit_price,
-       CAST(v.lead AS INTEGER) AS reorder_lead_time_days, CAST(v.safety AS DOUBLE) AS safety_stock_percentage,
-       s.latest_date
-FROM state s CROSS JOIN (VALUES {_variants_sql()}) v(variant, name, days, promo, stock, price, lead, safety)""")
+_NUM_RE = "[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?"
 
-_YMD = "COALESCE(list_bool_and(list_transform(promo_dates, lambda x: COALESCE(strftime(try_strptime(x, '%Y-%m-%d'), '%Y-%m-%d') = x, false))), true)"
-_ERRS = f"""concat_ws(',', CASE WHEN forecast_days IS NULL OR forecast_days <> 7 THEN 'forecast_days' END,
-                 CASE WHEN NOT {_YMD} THEN 'promo_dates' END,
-                 CASE WHEN current_stock < 0 THEN 'current_stock' END,
-                 CASE WHEN unit_price < 0 THEN 'unit_price' END,
-                 CASE WHEN reorder_lead_time_days < 1 OR reorder_lead_time_days > 30 THEN 'reorder_lead_time_days' END,
-                 CASE WHEN safety_stock_percentage < 0 OR safety_stock_percentage > 1 THEN 'safety_stock_percentage' END)"""
 
-cte("req_validated", ["req_variants"], f"SELECT *, {_ERRS} AS errors FROM req_variants")
+def _field(f: str, rule: str, kind: str) -> tuple[str, str]:
+    """DuckDB: (typed value, wrong type) of a JSON field of the object ``j``."""
+    t, x = f"json_type(j, '$.{f}')", f"(j ->> '$.{f}')"
+    if rule == "text":
+        ok, value = f"{t} = 'VARCHAR'", x
+    elif rule == "dates":
+        ok = f"{t} = 'ARRAY'"
+        value = f"CASE WHEN {ok} THEN list_transform(json_extract(j, '$.{f}[*]'), lambda e: e ->> '$') END"
+    elif rule == "boolean":
+        ok = f"(({t} = 'BOOLEAN') OR ({t} IN ('UBIGINT', 'VARCHAR') AND {x} IN ('0', '1')))"
+        value = f"({x} IN ('true', '1'))"
+    elif rule == "integer":
+        ok = (f"(({t} IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match({x}, '[+-]?[0-9]{{1,18}}')) "
+              f"OR ({t} = 'DOUBLE' AND TRY_CAST({x} AS DOUBLE) = floor(TRY_CAST({x} AS DOUBLE))))")
+        value = f"TRY_CAST(TRY_CAST({x} AS DOUBLE) AS BIGINT)"
+    else:
+        ok = f"({t} IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'VARCHAR') AND regexp_full_match({x}, '{_NUM_RE}'))"
+        value = f"TRY_CAST({x} AS DOUBLE)"
+    null = "false" if f in vd.NULLABLE else "true"
+    cast = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}.get(kind)
+    value = f"CASE WHEN {t} <> 'NULL' AND {ok} THEN {value} END"
+    return (f"CAST({value} AS {cast})" if cast else value), f"CASE WHEN {t} IS NULL THEN false WHEN {t} = 'NULL' THEN {null} ELSE NOT {ok} END"
+
+
+_TYPED = ", ".join(f"{_field(f, *spec)[0]} AS {f}, {_field(f, *spec)[1]} AS bad_{f}" for f, spec in vd.FIELDS.items())
+
+cte("req_bodies", ["state"], f"""
+SELECT s.Store, CAST(s.Store AS BIGINT) * 100 + v.variant AS request_id, v.variant, s.latest_date,
+       replace(v.body, '{{d1}}', strftime(s.latest_date + 1, '%Y-%m-%d')) AS body
+FROM state s CROSS JOIN (VALUES {_text_rows(rq.REQUEST_VARIANTS)}) v(variant, body)""")
+
+cte("req_variants", ["req_bodies"], f"""
+SELECT *, {_TYPED} FROM (
+  SELECT *, CASE WHEN whole THEN CAST(body AS JSON) ELSE CAST('{{}}' AS JSON) END AS j FROM (
+    SELECT *, CASE WHEN json_valid(body) THEN json_type(body) = 'OBJECT' ELSE false END AS whole FROM req_bodies))""")
+
+
+def _ymd(f: str) -> str:
+    return (f"COALESCE(list_bool_and(list_transform({f}, lambda x: "
+            f"COALESCE(strftime(try_strptime(x, '%Y-%m-%d'), '%Y-%m-%d') = x, false))), true)")
+
+
+def _errs(first: str = "") -> str:
+    return f"""concat_ws(',', {first}
+                 CASE WHEN bad_forecast_days OR forecast_days IS NULL OR forecast_days <> 7 THEN 'forecast_days' END,
+                 CASE WHEN bad_forecast_open_days_only THEN 'forecast_open_days_only' END,
+                 CASE WHEN bad_promo_dates OR NOT {_ymd('promo_dates')} THEN 'promo_dates' END,
+                 CASE WHEN bad_school_holiday_dates OR NOT {_ymd('school_holiday_dates')} THEN 'school_holiday_dates' END,
+                 CASE WHEN bad_current_stock OR current_stock < 0 THEN 'current_stock' END,
+                 CASE WHEN bad_unit_price OR unit_price < 0 THEN 'unit_price' END,
+                 CASE WHEN bad_reorder_lead_time_days OR reorder_lead_time_days < 1 OR reorder_lead_time_days > 30 THEN 'reorder_lead_time_days' END,
+                 CASE WHEN bad_safety_stock_percentage OR safety_stock_percentage < 0 OR safety_stock_percentage > 1 THEN 'safety_stock_percentage' END)"""
+
+
+_REQ_FIRST = "CASE WHEN NOT whole THEN 'body' END, CASE WHEN bad_name THEN 'name' END,"
+cte("req_validated", ["req_variants"], f"SELECT *, {_errs(_REQ_FIRST)} AS errors FROM req_variants")
 
 
 @register("validate_requests", sql("""
@@ -61,28 +96,35 @@ def validate_requests(spark, sf):
     return v.select("Store", "request_id", "name", F.array_join("errors", ",").alias("errors"), "is_valid")
 
 
-_SCEN_ERRS = """concat_ws(',', CASE WHEN length(name) > 100 THEN 'name' END,
-                 CASE WHEN cnt < 1 OR cnt > 5 THEN 'scenarios' END)"""
+_SCEN_FIRST = "CASE WHEN bad_name OR name IS NULL OR length(name) > 100 THEN 'name' END,"
 
 
 @register("validate_scenarios", sql(f"""
-SELECT Store, comparison_id, position, {_SCEN_ERRS} AS errors, {_SCEN_ERRS} = '' AS is_valid,
-       cnt AS scenario_count
-FROM (SELECT s.Store, c.comparison_id, c.position, c.name, COUNT(*) OVER (PARTITION BY s.Store, c.comparison_id) AS cnt
-      FROM state s CROSS JOIN (
-        SELECT 0 AS comparison_id, position, name FROM scenarios
-        UNION ALL SELECT 1, position, name FROM scenarios UNION ALL SELECT 1, 5, 'Sixth'
-        UNION ALL SELECT 2, 0, repeat('x', 101)) c)""", "state", "scenarios"))
+SELECT Store, comparison_id, position,
+       concat_ws(',', CASE WHEN position IS NOT NULL AND own <> '' THEN own END,
+                 CASE WHEN scenario_count < 1 OR scenario_count > 5 THEN 'scenarios' END) AS errors,
+       (position IS NULL OR own = '') AND scenario_count BETWEEN 1 AND 5 AS is_valid, scenario_count
+FROM (SELECT *, {_errs(_SCEN_FIRST)} AS own FROM (SELECT Store, comparison_id, position, scenario_count, {_TYPED} FROM (
+  SELECT Store, comparison_id, scenario_count, CAST(p.p - 1 AS INTEGER) AS position,
+         CASE WHEN json_type(l[p.p]) = 'OBJECT' THEN l[p.p] ELSE CAST('{{}}' AS JSON) END AS j
+  FROM (SELECT *, CAST(COALESCE(len(l), 0) AS INTEGER) AS scenario_count FROM (
+    SELECT Store, comparison_id, CASE WHEN json_valid(body) AND json_type(CASE WHEN json_valid(body) THEN body END, '$.scenarios') = 'ARRAY'
+           THEN json_extract(CASE WHEN json_valid(body) THEN body END, '$.scenarios[*]') END AS l
+    FROM (SELECT s.Store, c.comparison_id, replace(c.body, '{{d1}}', strftime(s.latest_date + 1, '%Y-%m-%d')) AS body
+          FROM state s CROSS JOIN (VALUES {_text_rows(rq.COMPARISONS)}) c(comparison_id, body)))) x
+  LEFT JOIN range(1, 20) p(p) ON p.p <= scenario_count)))""", "state"))
 def validate_scenarios(spark, sf):
-    """Scenario rules (name <= 100 chars) and 1..5 scenarios per comparison."""
-    v = vd.validate_scenarios(rq.comparison_variants(_state(spark, sf)))
+    """Scenario rules on the JSON text (types, name <= 100 chars, dates, ranges)
+    and 1..5 scenarios per comparison, empty and broken comparisons included."""
+    v = vd.validate_scenarios(rq.comparison_bodies(_state(spark, sf)))
     return v.select("Store", "comparison_id", "position", F.array_join("errors", ",").alias("errors"), "is_valid",
                     "scenario_count")
 
 
 @register("request_defaults", sql("""
-SELECT Store, request_id, COALESCE(forecast_days, 7) AS forecast_days, true AS forecast_open_days_only,
-       CAST(len(promo_dates) AS INTEGER) AS n_promo_dates, COALESCE(reorder_lead_time_days, 3) AS reorder_lead_time_days,
+SELECT Store, request_id, COALESCE(forecast_days, 7) AS forecast_days,
+       COALESCE(forecast_open_days_only, true) AS forecast_open_days_only,
+       CAST(COALESCE(len(promo_dates), 0) AS INTEGER) AS n_promo_dates, COALESCE(reorder_lead_time_days, 3) AS reorder_lead_time_days,
        COALESCE(safety_stock_percentage, 0.15) AS safety_stock_percentage
 FROM req_variants""", "req_variants"))
 def request_defaults(spark, sf):
@@ -124,21 +166,27 @@ def _log_table(spark, sf):
     return spark.read.parquet(path)
 
 
-cte("log_src", ["req_validated", "future_pred"], """
-SELECT CAST(r.request_id AS BIGINT) AS id, CAST(r.Store AS INTEGER) AS store_id, r.variant,
-       r.current_stock, t.total, t.n,
+cte("req_future", ["req_validated", "future_dates", "features"], _future_pred(
+    "(SELECT f.*, r.request_id, r.promo_dates, r.school_holiday_dates FROM future_dates f "
+    "JOIN req_validated r ON r.Store = f.Store AND r.errors = '')",
+    "COALESCE(list_contains(fd.promo_dates, strftime(fd.date, '%Y-%m-%d')), false)",
+    "COALESCE(list_contains(fd.school_holiday_dates, strftime(fd.date, '%Y-%m-%d')), false)"))
+
+cte("log_src", ["req_validated", "req_future"], """
+SELECT r.request_id AS id, CAST(r.Store AS INTEGER) AS store_id, r.variant,
+       r.current_stock, t.total, t.n, COALESCE(r.reorder_lead_time_days, 3) AS lead, COALESCE(r.safety_stock_percentage, 0.15) AS safety,
        CAST(round_even(CAST(t.total AS DOUBLE) / t.n, 0) AS BIGINT) AS avg_ins,
        CAST(r.latest_date AS TIMESTAMP) + INTERVAL (r.variant) HOUR AS created_at
-FROM req_validated r JOIN (SELECT Store, CAST(SUM(predicted_sales) AS BIGINT) AS total, COUNT(*) AS n
-                           FROM future_pred GROUP BY Store) t ON r.Store = t.Store
+FROM req_validated r JOIN (SELECT request_id, CAST(SUM(predicted_sales) AS BIGINT) AS total, COUNT(*) AS n
+                           FROM req_future GROUP BY 1) t ON r.request_id = t.request_id
 WHERE r.errors = ''""")
 
 cte("log", ["log_src"], """
 SELECT id, store_id, total AS total_predicted_sales, avg_ins AS average_predicted_sales,
        CASE WHEN current_stock IS NULL THEN NULL WHEN current_stock - total < 0 THEN 'high'
-            WHEN current_stock <= avg_ins * 3 + total * 0.15 THEN 'medium' ELSE 'low' END AS stockout_risk,
+            WHEN current_stock <= avg_ins * lead + CAST(total AS DOUBLE) * safety THEN 'medium' ELSE 'low' END AS stockout_risk,
        CASE WHEN current_stock IS NULL THEN NULL
-            WHEN current_stock - total < 0 OR current_stock <= avg_ins * 3 + total * 0.15 THEN true ELSE false END
+            WHEN current_stock - total < 0 OR current_stock <= avg_ins * lead + CAST(total AS DOUBLE) * safety THEN true ELSE false END
          AS reorder_needed,
        created_at, n
 FROM log_src""")
@@ -154,7 +202,7 @@ def _summary(df):
 @register("log_append", sql(f"SELECT {_LOG_COLS} FROM log", "log"))
 def log_append(spark, sf):
     """One log row per valid request: payload JSON + 4 extracted columns,
-    appended to a parquet table partitioned by store_id."""
+    appended to a parquet table partitioned by day."""
     return _summary(_log_table(spark, sf))
 
 
@@ -170,8 +218,9 @@ SELECT {_LOG_COLS}, 'open days only' AS forecast_mode, CAST(n AS INTEGER) AS n_f
 def log_get(spark, sf):
     """One full record by id (payloads parsed back from JSON)."""
     rec = hs.parse_response(hs.log_get(_log_table(spark, sf), 300))
-    return _summary(rec).join(rec.select("id", F.col("response.forecast_mode").alias("forecast_mode"),
-                                         F.size("response.forecast").alias("n_forecast_days")), "id")
+    return rec.select("id", "store_id", "total_predicted_sales", "average_predicted_sales", "stockout_risk",
+                      "reorder_needed", "created_at", F.col("response.forecast_mode").alias("forecast_mode"),
+                      F.size("response.forecast").alias("n_forecast_days"))
 
 
 @register("log_delete", sql(f"SELECT {_LOG_COLS} FROM log WHERE id NOT IN (300, 301)", "log"))
@@ -184,7 +233,7 @@ def log_delete(spark, sf):
 
 @register("log_explode", sql("""
 SELECT l.id, l.store_id, strftime(f.date, '%Y-%m-%d') AS date, f.predicted_sales, f.day_of_week
-FROM log l JOIN future_pred f ON l.store_id = f.Store""", "log", "future_pred"))
+FROM log l JOIN req_future f ON l.id = f.request_id""", "log", "req_future"))
 def log_explode(spark, sf):
     """Stored forecasts re-opened as day rows."""
     return hs.log_explode(_log_table(spark, sf)).select("id", "store_id", "date", "predicted_sales", "day_of_week")
@@ -202,8 +251,8 @@ def json_extract_insights(spark, sf):
 
 
 @register("json_cast", sql("""
-SELECT l.id, CAST(CASE WHEN s.variant = 1 THEN 1 ELSE 0 END AS INTEGER) AS n_promo_dates,
-       CASE WHEN s.variant = 1 THEN CAST(r.latest_date + 1 AS DATE) END AS first_promo_date,
+SELECT l.id, CAST(COALESCE(len(r.promo_dates), 0) AS INTEGER) AS n_promo_dates,
+       CAST(r.promo_dates[1] AS DATE) AS first_promo_date,
        CAST(l.reorder_needed AS INTEGER) AS reorder_needed_int
 FROM log l JOIN log_src s ON l.id = s.id JOIN req_variants r ON r.request_id = l.id""", "log", "log_src", "req_variants"))
 def json_cast(spark, sf):

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import forecast as fc
+from ..operators import validate as vd
 
 # Scenario fixture (fixed values): name, promo (first two future dates?),
 # current_stock, unit_price, lead time, safety share.
@@ -34,7 +35,7 @@ def scenario_requests(state: DataFrame, scenarios=SCENARIOS, comparison_id: int
     comparisons = {comparison_id: scenarios, **(more or {})}
     structs = [s for cid, sc in comparisons.items() for s in _scenario_structs(sc, cid)]
     out = state.select("*", F.inline(F.array(*structs)))
-    return out.withColumn("request_id", (F.col("Store") * 1000 + F.col("comparison_id") * 10
+    return out.withColumn("request_id", (F.col("Store").cast("bigint") * 1000 + F.col("comparison_id") * 10
                                          + F.col("position")).cast("bigint"))
 
 
@@ -52,56 +53,73 @@ def _scenario_structs(scenarios, comparison_id: int) -> list[Column]:
     return structs
 
 
-# Raw request variants for validation (fixed values): name, forecast_days,
-# promo date text ('+1' = the day after the store's latest date), stock,
-# price, lead time, safety share.
+# Raw request texts for validation (fixed values), numbered from 0; {d1} = the day
+# after the store's latest date.
 REQUEST_VARIANTS = [
-    ("default", 7, None, None, None, None, None),
-    ("with stock", 7, "+1", 18000, 12.5, 3, 0.15),
-    ("fourteen days", 14, None, None, None, None, None),
-    ("no horizon", None, None, None, None, None, None),
-    ("slash date", 7, "2015/08/01", None, None, None, None),
-    ("negative stock", 7, None, -1, None, None, None),
-    ("lead zero", 7, None, None, None, 0, None),
-    ("lead 31", 7, None, None, None, 31, None),
-    ("safety 1.5", 7, None, None, None, None, 1.5),
-    ("x" * 101, 7, None, None, None, None, None),
+    '{"name": "default", "forecast_days": 7}',
+    '{"name": "with stock", "forecast_days": 7, "promo_dates": ["{d1}"], "current_stock": 18000, "unit_price": 12.5, '
+    '"reorder_lead_time_days": 3, "safety_stock_percentage": 0.15}',
+    '{"name": "fourteen days", "forecast_days": 14}',
+    '{"name": "no horizon"}',
+    '{"name": "slash date", "forecast_days": 7, "promo_dates": ["2015/08/01"]}',
+    '{"name": "negative stock", "forecast_days": 7, "current_stock": -1}',
+    '{"name": "lead zero", "forecast_days": 7, "reorder_lead_time_days": 0}',
+    '{"name": "lead 31", "forecast_days": 7, "reorder_lead_time_days": 31}',
+    '{"name": "safety 1.5", "forecast_days": 7, "safety_stock_percentage": 1.5}',
+    '{"name": "' + "x" * 101 + '", "forecast_days": 7}',
+    '{"name": "stock text", "forecast_days": 7, "current_stock": "abc"}',
+    '{"name": "stock half", "forecast_days": 7, "current_stock": 7.5}',
+    '{"name": "promo text", "forecast_days": 7, "promo_dates": "2015-08-01"}',
+    '{"name": "safety text", "forecast_days": 7, "safety_stock_percentage": "lots"}',
+    '{"name": "open text", "forecast_days": 7, "forecast_open_days_only": "maybe"}',
+    '{"name": "holiday slash", "forecast_days": 7, "school_holiday_dates": ["2015/08/01", "{d1}"]}',
+    '{"name": "promo null", "forecast_days": 7, "promo_dates": null}',
+    '{"name": "numbers as text", "forecast_days": "7", "current_stock": "120", "unit_price": "9.5"}',
+    '{"name": "null stock", "forecast_days": 7, "current_stock": null, "school_holiday_dates": ["{d1}"]}',
+    '{"name": "open one", "forecast_days": 7.0, "forecast_open_days_only": 1}',
+    '{"name": "price list", "forecast_days": 7, "unit_price": [1]}',
+    '{"forecast_days": 7, "broken',
+    '[7]',
 ]
 
 
-def request_variants(state: DataFrame, variants=REQUEST_VARIANTS) -> DataFrame:
-    """Raw requests (dates as text) per store, keyed request_id = Store*100+v;
-    the state columns ride along (no join back to the state later)."""
-    structs = []
-    for v, (name, days, promo, stock, price, lead, safety) in enumerate(variants):
-        if promo == "+1":
-            pd = F.array(F.date_format(F.date_add("latest_date", 1), "yyyy-MM-dd"))
-        elif promo is None:
-            pd = F.array().cast("array<string>")
-        else:
-            pd = F.array(F.lit(promo))
-        structs.append(F.struct(
-            F.lit(v).alias("variant"), F.lit(name).alias("name"), _lit(days, "int").alias("forecast_days"),
-            F.lit(True).alias("forecast_open_days_only"), pd.alias("promo_dates"),
-            F.array().cast("array<string>").alias("school_holiday_dates"),
-            _lit(stock, "bigint").alias("current_stock"), _lit(price, "double").alias("unit_price"),
-            _lit(lead, "int").alias("reorder_lead_time_days"), _lit(safety, "double").alias("safety_stock_percentage")))
+def request_bodies(state: DataFrame, variants=REQUEST_VARIANTS) -> DataFrame:
+    """Raw request texts per store, keyed request_id = Store * 100 + variant (the
+    state columns ride along: no join back to the state later)."""
+    if len(variants) > 100:
+        raise ValueError("request_id has room for 100 variants of a store")
+    day = F.date_format(F.date_add("latest_date", 1), "yyyy-MM-dd")
+    structs = [F.struct(F.lit(v).alias("variant"), F.replace(F.lit(body), F.lit("{d1}"), day).alias("body"))
+               for v, body in enumerate(variants)]
     out = state.select("*", F.inline(F.array(*structs)))
-    return out.withColumn("request_id", (F.col("Store") * 100 + F.col("variant")).cast("bigint"))
+    return out.withColumn("request_id", F.col("Store").cast("bigint") * 100 + F.col("variant"))
 
 
-def comparison_variants(state: DataFrame) -> DataFrame:
-    """Three comparisons per store: the 5 fixture scenarios (valid), six
-    scenarios (too many), one scenario with a 101-character name."""
-    allc = scenario_requests(state, SCENARIOS, 0, more={
-        1: SCENARIOS + [("Sixth", False, 300, 12.5, 3, 0.15)],
-        2: [("x" * 101, False, 300, 12.5, 3, 0.15)]})
-    cols = ["Store", "comparison_id", "position", "request_id", "name", "forecast_days", "forecast_open_days_only",
-            "promo_dates", "school_holiday_dates", "current_stock", "unit_price", "reorder_lead_time_days",
-            "safety_stock_percentage"]
+def request_variants(state: DataFrame, variants=REQUEST_VARIANTS) -> DataFrame:
+    """The request texts parsed: typed columns and ``type_errors`` beside the text."""
+    return vd.parse_requests(request_bodies(state, variants))
+
+
+_OK = '{"name": "A", "forecast_days": 7}'
+# Scenario comparison texts (fixed values), numbered from 0.
+COMPARISONS = [
+    '{"scenarios": [' + ", ".join([_OK] * 5) + "]}",
+    '{"scenarios": [' + ", ".join([_OK] * 6) + "]}",
+    '{"scenarios": [{"name": "' + "x" * 101 + '", "forecast_days": 7}]}',
+    '{"scenarios": []}',
+    '{"scenarios": [{"name": "B", "forecast_days": "x", "current_stock": "abc", "school_holiday_dates": ["2015/08/01"]}, ' + _OK + "]}",
+    '{"other": 1}',
+    '{"scenarios": [{"name": 5, "forecast_days": 7, "promo_dates": ["{d1}"]}, 7]}',
+    "broken {",
+]
+
 
-    return allc.select(*[F.transform(c, lambda x: F.date_format(x, "yyyy-MM-dd")).alias(c)
-                         if c in ("promo_dates", "school_holiday_dates") else F.col(c) for c in cols])
+def comparison_bodies(state: DataFrame) -> DataFrame:
+    """Raw scenario comparisons per store."""
+    day = F.date_format(F.date_add("latest_date", 1), "yyyy-MM-dd")
+    structs = [F.struct(F.lit(i).alias("comparison_id"), F.replace(F.lit(body), F.lit("{d1}"), day).alias("body"))
+               for i, body in enumerate(COMPARISONS)]
+    return state.select("Store", F.inline(F.array(*structs)))
 
 
 def default_requests(state: DataFrame, open_days_only: bool = True) -> DataFrame:
@@ -136,7 +154,7 @@ def plan_requests(state: DataFrame, plans=PLANS) -> DataFrame:
                for pid, p, h in plans]
     out = state.select("*", F.inline(F.array(*structs)))
     return out.select(
-        "*", (F.col("Store") * 10 + F.col("plan")).cast("bigint").alias("request_id"), F.lit(7).alias("forecast_days"),
+        "*", (F.col("Store").cast("bigint") * 10 + F.col("plan")).alias("request_id"), F.lit(7).alias("forecast_days"),
         F.lit(True).alias("forecast_open_days_only"), F.lit(None).cast("bigint").alias("current_stock"),
         F.lit(None).cast("double").alias("unit_price"), F.lit(3).alias("reorder_lead_time_days"),
         F.lit(0.15).alias("safety_stock_percentage"))
