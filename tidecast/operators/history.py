@@ -4,16 +4,15 @@ Payloads are JSON text columns (``to_json`` / ``from_json``) beside four
 extracted summary columns. Appends add files under a ``created_date``
 partition (an append-only log grows by day, not by store: the number of
 directories per append stays 1-2 however many stores there are, and
-"recent" reads can prune old days). A delete writes a NEW table version
-without the deleted ids (left-anti join) — the version being read is never
-overwritten.
+"recent" reads prune old days). A delete rewrites only the days that hold a
+deleted id, to a new folder; the files of the other days are read on.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -83,29 +82,52 @@ def log_rows(fc: DataFrame, id_col: str = "request_id", created_at: str = "creat
         F.to_date(F.col(created_at)).alias("created_date"))
 
 
+def log_write(rows: DataFrame, path: str, mode: str) -> str:
+    """Rows under their created_date partition; grouped by day first, so a day of
+    an append is written by few tasks (its hot days by several, as AQE splits them)."""
+    rows.hint("rebalance", "created_date").write.mode(mode).partitionBy("created_date").parquet(path)
+    return path
+
+
 def log_append(rows: DataFrame, path: str) -> str:
     """Append log rows (new files only) under their created_date partition."""
-    rows.write.mode("append").partitionBy("created_date").parquet(path)
-    return path
+    return log_write(rows, path, "append")
+
+
+def newest_days(log: DataFrame, limit: int) -> DataFrame:
+    """The newest created_date partitions that together hold ``limit`` rows (or all):
+    one count per day, a table of days."""
+    days = log.groupBy("created_date").agg(F.count(F.lit(1)).alias("n"))
+    newer = F.coalesce(F.sum("n").over(Window.orderBy(F.desc("created_date"))
+                                       .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return days.withColumn("newer", newer).filter(F.col("newer") < limit).select("created_date")
 
 
 def log_recent(log: DataFrame, limit: int = 20) -> DataFrame:
-    """7 summary columns, newest first (id breaks ties), first ``limit`` rows."""
-    return log.select("id", "store_id", "total_predicted_sales", "average_predicted_sales", "stockout_risk",
-                      "reorder_needed", "created_at").orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(limit)
+    """7 summary columns, newest first (id breaks ties), first ``limit`` rows. Only
+    the newest days that can hold them are read in full: their dates are found
+    first and become a partition filter."""
+    since = newest_days(log, limit).agg(F.min("created_date")).first()[0]
+    rows = log if since is None else log.filter(F.col("created_date") >= F.lit(since))
+    return rows.select("id", "store_id", "total_predicted_sales", "average_predicted_sales", "stockout_risk",
+                       "reorder_needed", "created_at").orderBy(F.col("created_at").desc(), F.col("id").desc()).limit(limit)
 
 
 def log_get(log: DataFrame, log_id: int) -> DataFrame:
     return log.filter(F.col("id") == log_id)
 
 
-def log_delete(spark: SparkSession, log: DataFrame, ids: Sequence[int] | DataFrame, name: str = "forecast_log") -> str:
-    """Remove ids by writing a new version of the table; returns its path."""
+def log_delete(spark: SparkSession, path: str, ids: Sequence[int] | DataFrame, name: str = "forecast_log") -> DataFrame:
+    """Remove ids; returns the log without them. Only days that hold one of the ids
+    are rewritten, to a new folder; the files of all other days stay as they are
+    and are read beside it (no file is overwritten or deleted)."""
+    log = spark.read.parquet(path)
     id_df = ids if isinstance(ids, DataFrame) else spark.createDataFrame([(int(i),) for i in ids], "id bigint")
-    kept = log.join(id_df, "id", "left_anti")
-    path = scratch_path(spark, name)
-    kept.write.mode("errorifexists").partitionBy("created_date").parquet(path)
-    return path
+    days = [r[0] for r in log.join(id_df, "id", "left_semi").select("created_date").distinct().collect()]
+    touched = F.col("created_date").isin(days) if days else F.lit(False)
+    new = log_write(log.filter(touched).join(id_df, "id", "left_anti"), scratch_path(spark, name), "errorifexists")
+    rewritten = spark.read.schema(log.schema).parquet(new)
+    return log.filter(~touched | F.col("created_date").isNull()).unionByName(rewritten)
 
 
 def parse_response(log: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from ..functions import calendar as cal
 from ..functions import scaling as scf
 from ..operators import features as fe
 from ..operators import scaling, windows
-from ..params import FUTURE_FEATURES, PAST_FEATURES
+from ..params import (FUTURE_FEATURES, FUTURE_FEATURES_V1, PAST_FEATURES, PAST_FEATURES_V1, SYNTHETIC_FUTURE,
+                      SYNTHETIC_FUTURE_V3, SYNTHETIC_PAST, SYNTHETIC_PAST_V3)
 from ..sources import files, panel
 from . import tables
 from .oracle import sql
@@ -159,49 +160,90 @@ def sliding_windows_univariate(spark, sf):
                     _join_str(F.col("y")).alias("target_units"))
 
 
-@register("sliding_windows_two_stream", sql(f"""
-SELECT Store, sample_index, past_sales, past_promo_gap, future_promo, future_dow, y FROM (
-  SELECT Store, CAST(row_position - 29 AS INTEGER) AS sample_index,
-         {_lst("Sales", "Store", "Date", _PAST30)} AS past_sales,
-         {_lst("days_since_last_promo", "Store", "Date", _PAST30)} AS past_promo_gap,
-         {_lst("Promo", "Store", "Date", _NEXT7)} AS future_promo,
-         {_lst("DayOfWeek", "Store", "Date", _NEXT7)} AS future_dow,
-         {_lst("Sales", "Store", "Date", _NEXT7)} AS y,
+def _z(c: str, key: str) -> str:
+    w = f"OVER (PARTITION BY {key})"
+    x = f"CAST({c} AS DOUBLE)"
+    return (f"({x} - MIN({x}) {w}) / CASE WHEN MAX({x}) {w} - MIN({x}) {w} = 0 THEN 1.0 ELSE MAX({x}) {w} - MIN({x}) {w} END")
+
+
+def _sum_sql(z: str, key: str, order: str, frame: str) -> str:
+    return (f"ROUND(list_sum(list_transform(list({z}) OVER (PARTITION BY {key} ORDER BY {order} {frame}), "
+            f"lambda x, i: x * sqrt(i))), 4)")
+
+
+def _window_sql(past, future, target, table, key, order, extra: str = "", label: str = "") -> str:
+    """Position-weighted sums of every array of every window."""
+    names = list(dict.fromkeys([*past, *future, target]))
+    zs = ", ".join(f"{_z(c, key)} AS z_{c}" for c in names)
+    cols = [f"{_sum_sql('z_' + c, key, order, _PAST30)} AS past_{c}" for c in past]
+    cols += [f"{_sum_sql('z_' + c, key, order, _NEXT7)} AS future_{c}" for c in future]
+    cols.append(f"{_sum_sql(label or 'z_' + target, key, order, _NEXT7)} AS y")
+    return f"""
+SELECT * EXCLUDE (n_windows) FROM (
+  SELECT {key}, CAST(row_position - 29 AS INTEGER) AS sample_index, {", ".join(cols)} {extra},
+         CASE WHEN row_position - 29 >= CAST(floor(GREATEST(n_rows - 36, 0) * 0.8) AS INTEGER) THEN 'test' ELSE 'train' END AS split,
          GREATEST(n_rows - 36, 0) AS n_windows
-  FROM features) x
-WHERE sample_index >= 0 AND sample_index < n_windows""", "features"))
+  FROM (SELECT *, {zs} FROM {table}) t) x
+WHERE sample_index >= 0 AND sample_index < n_windows"""
+
+
+def _weighted(values: Column) -> Column:
+    """Sum of the values times the roots of their 1-based places: one number that any
+    wrong, missing or moved element of an array changes (and no rounding tie)."""
+    return F.round(F.aggregate(F.transform(values, lambda x, i: x * F.sqrt(i + 1)), F.lit(0.0), lambda acc, x: acc + x), 4)
+
+
+def _window_digest(w, past, future, key, extra=()):
+    column = lambda arr, i: F.transform(arr, lambda r: r[i])
+    cols = [_weighted(column("past", i)).alias(f"past_{c}") for i, c in enumerate(past)]
+    cols += [_weighted(column("future", i)).alias(f"future_{c}") for i, c in enumerate(future)]
+    return w.select(key, "sample_index", *cols, _weighted(F.col("y")).alias("y"),
+                    *[_weighted(F.col(c).cast("array<double>")).alias(c) for c in extra], "split")
+
+
+@register("sliding_windows_two_stream", sql(_window_sql(PAST_FEATURES, FUTURE_FEATURES, "Sales", "features", "Store", "Date"),
+                                            "features"))
 def sliding_windows_two_stream(spark, sf):
-    """Windows with a past stream and a known-future stream (shown as text)."""
-    w = windows.sliding_windows(_feat(spark, sf), ["Sales", "days_since_last_promo"],
-                                future_cols=["Promo", "DayOfWeek"])
-    return w.select("Store", "sample_index",
-                    _join_str(F.col("past.Sales")).alias("past_sales"),
-                    _join_str(F.col("past.days_since_last_promo")).alias("past_promo_gap"),
-                    _join_str(F.col("future.Promo")).alias("future_promo"),
-                    _join_str(F.col("future.DayOfWeek")).alias("future_dow"),
-                    _join_str(F.col("y")).alias("y"))
-
-
-@register("sliding_windows_residual", sql(f"""
-SELECT product, sample_index, baseline, actual, residual, split FROM (
-  SELECT product, CAST(row_position - 29 AS INTEGER) AS sample_index,
-         {_lst("CAST(same_day_last_week_sales AS BIGINT)", "product", "date", _NEXT7)} AS baseline,
-         {_lst("units_sold", "product", "date", _NEXT7)} AS actual,
-         {_lst("CAST(residual AS BIGINT)", "product", "date", _NEXT7)} AS residual,
-         GREATEST(n_rows - 36, 0) AS n_windows,
-         CASE WHEN row_position - 29 >= CAST(floor(GREATEST(n_rows - 36, 0) * 0.8) AS INTEGER)
-              THEN 'test' ELSE 'train' END AS split
-  FROM syn_features) x
-WHERE sample_index >= 0 AND sample_index < n_windows""", "syn_features"))
+    """All 20 past and 18 known-future features and the target of every window,
+    scaled per store; each array shown as its position-weighted sum."""
+    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES, FUTURE_FEATURES)
+    return _window_digest(w, PAST_FEATURES, FUTURE_FEATURES, "Store")
+
+
+@register("sliding_windows_two_stream_v1", sql(
+    _window_sql(PAST_FEATURES_V1, FUTURE_FEATURES_V1, "Sales", "features", "Store", "Date"), "features"))
+def sliding_windows_two_stream_v1(spark, sf):
+    """The same with the first real feature set (9 past, 8 future)."""
+    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES_V1, FUTURE_FEATURES_V1)
+    return _window_digest(w, PAST_FEATURES_V1, FUTURE_FEATURES_V1, "Store")
+
+
+@register("sliding_windows_synthetic", sql(_window_sql(
+    SYNTHETIC_PAST, SYNTHETIC_FUTURE, "units_sold",
+    "(SELECT *, ROW_NUMBER() OVER (PARTITION BY product ORDER BY date) - 1 AS row_position, "
+    "COUNT(*) OVER (PARTITION BY product) AS n_rows FROM product_daily)", "product", "date"), "product_daily"))
+def sliding_windows_synthetic(spark, sf):
+    """Product series with 6 past and 4 known-future features (no derived features)."""
+    df = windows.with_positions(panel.product_daily(spark, sf), "product", "date")
+    w = windows.scaled_windows(df, SYNTHETIC_PAST, SYNTHETIC_FUTURE, key="product", order="date", target="units_sold")
+    return _window_digest(w, SYNTHETIC_PAST, SYNTHETIC_FUTURE, "product")
+
+
+_RES_EXTRA = (", " + _sum_sql("same_day_last_week_sales", "product", "date", _NEXT7) + " AS baseline, "
+              + _sum_sql("CAST(units_sold AS DOUBLE)", "product", "date", _NEXT7) + " AS actual")
+_RES_LABEL = ("(SELECT *, (residual - AVG(residual) OVER (PARTITION BY product)) / CASE WHEN STDDEV_POP(residual) OVER "
+              "(PARTITION BY product) = 0 THEN 1.0 ELSE STDDEV_POP(residual) OVER (PARTITION BY product) END AS z_label FROM syn_features)")
+
+
+@register("sliding_windows_residual", sql(_window_sql(
+    SYNTHETIC_PAST_V3, SYNTHETIC_FUTURE_V3, "units_sold", _RES_LABEL, "product", "date", _RES_EXTRA, "z_label"), "syn_features"))
 def sliding_windows_residual(spark, sf):
-    """Residual windows: weekly baseline, actual and residual of the 7 targets."""
-    f = _syn(spark, sf).withColumn("baseline_i", F.col("same_day_last_week_sales").cast("bigint")) \
-                       .withColumn("residual_i", F.col("residual").cast("bigint"))
-    w = windows.sliding_windows(f, ["units_sold"], key="product", order="date",
-                                future_cols=["baseline_i", "units_sold", "residual_i"], target="units_sold")
-    return w.select("product", "sample_index", _join_str(F.col("future.baseline_i")).alias("baseline"),
-                    _join_str(F.col("future.units_sold")).alias("actual"),
-                    _join_str(F.col("future.residual_i")).alias("residual"), "split")
+    """The five arrays of the residual variant: 8 past and 7 future features
+    (min-max), the standard-scaled residual, the weekly baseline and the actual."""
+    w = windows.scaled_windows(_syn(spark, sf), SYNTHETIC_PAST_V3, SYNTHETIC_FUTURE_V3, key="product", order="date",
+                               target="units_sold", raw={"baseline": "same_day_last_week_sales", "actual": "units_sold"},
+                               residual="residual")
+    return _window_digest(w, SYNTHETIC_PAST_V3, SYNTHETIC_FUTURE_V3, "product", ("baseline", "actual"))
 
 
 @register("chronological_split", sql("""
@@ -224,13 +266,13 @@ def validation_split(spark, sf):
     return windows.window_index(_feat(spark, sf)).select("Store", "sample_index", "split3")
 
 
-@register("sink_windows", sql("""
-SELECT Store, sample_index, anchor_date, CASE WHEN sample_index >= train_size THEN 'test' ELSE 'train' END AS split
-FROM window_index""", "window_index"))
+@register("sink_windows", sql(_window_sql(PAST_FEATURES, FUTURE_FEATURES, "Sales", "features", "Store", "Date"), "features"))
 def sink_windows(spark, sf):
-    """The window index written partitioned by split and read back."""
-    idx = windows.window_index(_feat(spark, sf)).select("Store", "sample_index", "anchor_date", "split")
-    return files.materialize(spark, idx, "windows", ["split"])
+    """The window arrays (past 30 x 20, future 7 x 18, y 7) written partitioned by
+    split and read back."""
+    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES, FUTURE_FEATURES)
+    back = files.materialize(spark, w, "windows", ["split"])
+    return _window_digest(back, PAST_FEATURES, FUTURE_FEATURES, "Store")
 
 
 @register("latest_window", sql("""
@@ -281,36 +323,29 @@ def sink_scaler(spark, sf):
     return back.select("Store", "feature", "kind", r4("shift").alias("shift"), r4("scale").alias("scale"))
 
 
-@register("src_scaler", sql("""
-SELECT f.Store, f.Date,
-       ROUND((CAST(f.Sales AS DOUBLE) - p.min) / CASE WHEN p.max - p.min = 0 THEN 1.0 ELSE p.max - p.min END, 4) AS Sales_scaled
-FROM features f JOIN (SELECT Store, MIN(CAST(Sales AS DOUBLE)) AS min, MAX(CAST(Sales AS DOUBLE)) AS max
-                      FROM features GROUP BY Store) p ON f.Store = p.Store""", "features"))
-def src_scaler(spark, sf):
-    """Persisted params re-read and applied with a (size-checked) broadcast join."""
-    feat = _feat(spark, sf)
-    back = files.materialize(spark, scaling.fit_minmax(feat, ["Sales"]), "scaler_minmax")
-    out = scaling.apply_minmax(feat.select("Store", "Date", "Sales"), back, ["Sales"])
-    return out.select("Store", "Date", r4("Sales_scaled").alias("Sales_scaled"))
+def _mm_sql(c: str) -> str:
+    return _z(c, "Store")
 
 
-_SC = ["Sales", "lag_7_sales", "days_since_last_promo", "rolling_7_std_sales"]
+_ALL_SCALED = "SELECT Store, Date, " + ", ".join(f"ROUND({_mm_sql(c)}, 4) AS {c}_scaled" for c in PAST_FEATURES) + " FROM features"
 
 
-def _mm_sql(c: str) -> str:
-    return (f"(CAST({c} AS DOUBLE) - MIN(CAST({c} AS DOUBLE)) OVER (PARTITION BY Store)) / "
-            f"CASE WHEN MAX(CAST({c} AS DOUBLE)) OVER (PARTITION BY Store) - MIN(CAST({c} AS DOUBLE)) OVER "
-            f"(PARTITION BY Store) = 0 THEN 1.0 ELSE MAX(CAST({c} AS DOUBLE)) OVER (PARTITION BY Store) - "
-            f"MIN(CAST({c} AS DOUBLE)) OVER (PARTITION BY Store) END")
+@register("src_scaler", sql(_ALL_SCALED, "features"))
+def src_scaler(spark, sf):
+    """Persisted params of all past features re-read and applied with a join on the
+    store; the feature table is written once and read by both steps."""
+    feat = files.materialize(spark, _feat(spark, sf).select("Store", "Date", *PAST_FEATURES), "scaler_features")
+    back = files.materialize(spark, scaling.fit_minmax(feat, PAST_FEATURES), "scaler_minmax")
+    out = scaling.apply_minmax(feat, back, PAST_FEATURES)
+    return out.select("Store", "Date", *[r4(f"{c}_scaled").alias(f"{c}_scaled") for c in PAST_FEATURES])
 
 
-@register("minmax_transform", sql("SELECT Store, Date, " + ", ".join(
-    f"ROUND({_mm_sql(c)}, 4) AS {c}_scaled" for c in _SC) + " FROM features", "features"))
+@register("minmax_transform", sql(_ALL_SCALED, "features"))
 def minmax_transform(spark, sf):
-    """(x - min) / (max - min), divisor 1 for a constant feature; fitted per store
-    with window aggregates on the feature partitioning."""
-    out = scaling.minmax_over_partition(_feat(spark, sf), _SC)
-    return out.select("Store", "Date", *[r4(c + "_scaled").alias(c + "_scaled") for c in _SC])
+    """(x - min) / (max - min), divisor 1 for a constant feature, of all past
+    features; fitted per store with window aggregates on the feature partitioning."""
+    out = scaling.minmax_over_partition(_feat(spark, sf), PAST_FEATURES)
+    return out.select("Store", "Date", *[r4(c + "_scaled").alias(c + "_scaled") for c in PAST_FEATURES])
 
 
 @register("minmax_inverse", sql(f"""

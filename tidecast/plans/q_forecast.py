@@ -12,7 +12,7 @@ from ..functions.metrics import risk_normalise as risk_expr
 from ..operators import decisions as dc
 from ..operators import forecast as fc
 from ..functions import scaling as scf
-from ..params import DemandThresholds
+from ..params import FUTURE_FEATURES, DemandThresholds
 from . import tables
 from . import requests as rq
 from .oracle import sql
@@ -127,24 +127,31 @@ def join_holiday_plan(spark, sf):
     return _planned(spark, sf).select("Store", "plan", "step", "date", "school_holiday")
 
 
-_SCALED = ["DayOfWeek", "Day", "lag_7_sales", "days_since_last_promo", "days_until_next_promo"]
-_RENAME = {"day_of_week": "DayOfWeek", "day": "Day"}
+_SCALED = FUTURE_FEATURES
+#: Feature -> field of a forecast day, and its SQL, where the names differ.
+_RENAME = {"day_of_week": "DayOfWeek", "day": "Day", "month": "Month", "is_weekend": "IsWeekend", "promo": "Promo",
+           "school_holiday": "SchoolHoliday"}
+_DAY_SQL = {"DayOfWeek": "isodow(date)", "Day": "day(date)", "Month": "month(date)", "IsWeekend": "isodow(date) IN (6, 7)",
+            "Promo": "pl_promo", "SchoolHoliday": "pl_school", "is_month_start": "day(date) = 1",
+            "is_month_end": "date = last_day(date)", "is_april": "month(date) = 4",
+            "promo_schoolholiday": "pl_promo * pl_school", "weekend_schoolholiday": "CAST(isodow(date) IN (6, 7) AS INTEGER) * pl_school",
+            "promo_weekend": "pl_promo * CAST(isodow(date) IN (6, 7) AS INTEGER)", "rolling_7_sales": "last_rolling_7_sales",
+            "rolling_14_sales": "last_rolling_14_sales", "rolling_7_std_sales": "last_rolling_7_std_sales"}
 
 
 def _scale_sql(clip: bool) -> str:
     cols = []
     for c in _SCALED:
-        src = {"DayOfWeek": "CAST(isodow(date) AS DOUBLE)", "Day": "CAST(day(date) AS DOUBLE)"}.get(
-            c, f"CAST(f.{c} AS DOUBLE)")
+        src = f"CAST({_DAY_SQL[c]} AS DOUBLE)" if c in _DAY_SQL else f"CAST(f.{c} AS DOUBLE)"
         z = f"({src} - p.{c}_lo) / CASE WHEN p.{c}_hi - p.{c}_lo = 0 THEN 1.0 ELSE p.{c}_hi - p.{c}_lo END"
         if clip:
             z = f"LEAST(GREATEST({z}, 0.0), 1.0)"
         cols.append(f"ROUND({z}, 4) AS {c}_scaled")
     fit = ", ".join(f"MIN(CAST({c} AS DOUBLE)) AS {c}_lo, MAX(CAST({c} AS DOUBLE)) AS {c}_hi" for c in _SCALED)
     return f"""
-SELECT f.Store, f.step, {', '.join(cols)}
-FROM (SELECT fp.*, pl.days_since_last_promo, pl.days_until_next_promo
-      FROM future_pred fp JOIN ({_PLANNED}) pl ON fp.Store = pl.Store AND fp.step = pl.step AND pl.plan = 0) f
+SELECT f.Store, f.plan, f.step, {', '.join(cols)}
+FROM (SELECT fp.*, pl.plan, pl.promo AS pl_promo, pl.school_holiday AS pl_school, pl.days_since_last_promo, pl.days_until_next_promo
+      FROM future_pred fp JOIN ({_PLANNED}) pl ON fp.Store = pl.Store AND fp.step = pl.step) f
 JOIN (SELECT Store, {fit} FROM features GROUP BY Store) p ON f.Store = p.Store"""
 
 
@@ -155,30 +162,30 @@ def _future_scaled(spark, sf, clip):
     fit = [a for c in _SCALED for a in (F.min(F.col(c).cast("double")).alias(f"{c}_lo"),
                                         F.max(F.col(c).cast("double")).alias(f"{c}_hi"))]
     st = fc.history_state(feat, extra_aggs=fit)
-    f = fc.forecast_joined(rq.default_requests(st))
-    rows = f.select("Store", *[F.col(f"{c}_lo") for c in _SCALED], *[F.col(f"{c}_hi") for c in _SCALED],
+    f = fc.forecast_joined(rq.plan_requests(st))
+    rows = f.select("Store", "plan", *[F.col(f"{c}_lo") for c in _SCALED], *[F.col(f"{c}_hi") for c in _SCALED],
                     F.inline("days"))
     source = {v: k for k, v in _RENAME.items()}   # feature name -> day-struct field
     out = []
     for c in _SCALED:
         z = scf.minmax_transform(F.col(source.get(c, c)).cast("double"), F.col(f"{c}_lo"), F.col(f"{c}_hi"))
         out.append(r4(clip_expr(z) if clip else z).alias(c + "_scaled"))
-    return rows.select("Store", "step", *out)
+    return rows.select("Store", "plan", "step", *out)
 
 
 @register("scale_future", sql(_scale_sql(True), "future_pred", "future_dates", "features"))
 def scale_future(spark, sf):
-    """Known-future features scaled with the history's per-store min/max, clipped to [0, 1]."""
+    """All 18 known-future features of every plan scaled with the history's per-store min/max, clipped to [0, 1]."""
     return _future_scaled(spark, sf, clip=True)
 
 
 @register("clip_unit", sql("""
-SELECT Store, step, lag_7_sales_scaled AS raw_scaled, LEAST(GREATEST(lag_7_sales_scaled, 0.0), 1.0) AS clipped
+SELECT Store, plan, step, lag_7_sales_scaled AS raw_scaled, LEAST(GREATEST(lag_7_sales_scaled, 0.0), 1.0) AS clipped
 FROM (""" + _scale_sql(False) + ")", "future_pred", "future_dates", "features"))
 def clip_unit(spark, sf):
     """Scaled values before / after clipping to [0, 1]."""
     s = _future_scaled(spark, sf, clip=False)
-    return s.select("Store", "step", F.col("lag_7_sales_scaled").alias("raw_scaled"),
+    return s.select("Store", "plan", "step", F.col("lag_7_sales_scaled").alias("raw_scaled"),
                     clip_expr(F.col("lag_7_sales_scaled")).alias("clipped"))
 
 
@@ -487,20 +494,19 @@ UNION ALL
 SELECT Store, 'calendar' AS mode, date, day_of_week, predicted_sales, open FROM future_pred_cal""",
                                    "future_pred", "future_pred_cal"))
 def sink_forecast_csv(spark, sf):
-    """7-day forecasts written as CSV; the Open column only in calendar mode
-    (read back with one schema, where the open-days file has it empty)."""
+    """7-day forecasts of both modes written as CSV in one job, a folder per mode;
+    the open column is filled in calendar mode only."""
     from ..session import scratch_path
     from ..sources import files
-    out = []
-    for mode, open_only in (("open", True), ("calendar", False)):
-        rows = _rows(spark, sf, open_only).select("Store", "date", "day_of_week", "predicted_sales", "open")
-        if open_only:
-            rows = rows.drop("open")
-        path = files.write_csv(rows, scratch_path(spark, f"forecast_csv_{mode}"))
-        schema = "Store int, date date, day_of_week int, predicted_sales bigint" + (
-            "" if open_only else ", open int")
-        back = spark.read.schema(schema).option("header", True).csv(path)
-        if open_only:
-            back = back.withColumn("open", F.lit(None).cast("int"))
-        out.append(back.withColumn("mode", F.lit(mode)))
-    return out[0].unionByName(out[1]).select("Store", "mode", "date", "day_of_week", "predicted_sales", "open")
+    _, st = _state(spark, sf)
+    # both modes from one state row per store, written as text lines of their own column lists
+    modes = F.inline(F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(o).alias("_open_only")) for m, o in (("open", True), ("calendar", False))]))
+    both = rq.default_requests(st).drop("forecast_open_days_only").select("*", modes) \
+        .withColumnRenamed("_open_only", "forecast_open_days_only")
+    rows = fc.forecast_rows(fc.forecast_joined(both), ("Store", "mode")).select(
+        "Store", "date", "day_of_week", "predicted_sales", "open", "mode")
+    path = scratch_path(spark, "forecast_csv")
+    rows.withColumn("open", F.when(F.col("mode") == "calendar", F.col("open"))) \
+        .write.partitionBy("mode").option("header", True).csv(path)
+    back = files.read_csv(spark, path, rows.drop("mode").schema)
+    return back.select("Store", "mode", "date", "day_of_week", "predicted_sales", "open")

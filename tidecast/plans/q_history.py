@@ -225,10 +225,9 @@ def log_get(spark, sf):
 
 @register("log_delete", sql(f"SELECT {_LOG_COLS} FROM log WHERE id NOT IN (300, 301)", "log"))
 def log_delete(spark, sf):
-    """Delete ids 300 and 301: a new table version without them (left-anti)."""
-    log = _log_table(spark, sf)
-    path = hs.log_delete(spark, log, [300, 301])
-    return _summary(spark.read.parquet(path))
+    """Delete ids 300 and 301: only their days are rewritten, without them."""
+    path = hs.log_append(_log_source(spark, sf), scratch_path(spark, "forecast_log"))
+    return _summary(hs.log_delete(spark, path, [300, 301]))
 
 
 @register("log_explode", sql("""

@@ -16,6 +16,8 @@ from ..sources import files
 from ..streaming import intake
 from . import tables
 from . import requests as rq
+from . import q_history  # noqa: F401  (its SQL parts are used here)
+from .oracle import sql
 from .registry import r4, register
 
 
@@ -80,20 +82,34 @@ def champion_models(spark, sf):
                                            r4("gain_pp").alias("gain_pp"), "champion_beats")
 
 
-@register("stream_request_intake", None)
+_UNKNOWN = 1_000_000   # added to a store number for a request of a store without history
+
+_STREAM_SQL = f"""
+SELECT id, store_id, total_predicted_sales, stockout_risk, true AS accepted, '' AS errors FROM log
+UNION ALL
+SELECT CASE WHEN whole THEN request_id END, CASE WHEN whole THEN CAST(Store AS INTEGER) END, NULL, NULL, false,
+       errors FROM req_validated WHERE errors <> ''
+UNION ALL
+SELECT CAST(Store AS BIGINT) * 100 + {_UNKNOWN * 100}, CAST(Store + {_UNKNOWN} AS INTEGER), NULL, NULL, false, 'Store' FROM state"""
+
+
+@register("stream_request_intake", sql(_STREAM_SQL, "log", "req_validated", "state"))
 def stream_request_intake(spark, sf):
-    """Request files drained by a Structured Streaming query (availableNow):
-    validation, stream-static join with the feature snapshot, forecasts and
-    insights appended to the history table; rejected rows to their own sink."""
+    """Request files drained by a Structured Streaming query (availableNow): every
+    line ends in the history or, with its text and errors, in the rejected sink."""
     state = fc.history_state(tables.feature_table(spark, sf))
     snapshot = files.materialize(spark, state, "feature_snapshot")
-    raw = rq.request_variants(snapshot).withColumn(
+    raw = rq.request_bodies(snapshot).withColumn(
         "submitted_at", F.col("latest_date").cast("timestamp_ntz") + F.make_interval(hours=F.col("variant")))
-    cols = [f.name for f in intake.RAW_REQUEST.fields]
+    lost = raw.filter("variant = 0").withColumn("Store", F.col("Store") + _UNKNOWN) \
+        .withColumn("request_id", F.col("request_id") + _UNKNOWN * 100)
+    head = F.format_string('{"request_id": %d, "Store": %d, "submitted_at": "%s", ', "request_id", "Store",
+                           F.date_format("submitted_at", "yyyy-MM-dd HH:mm:ss"))
     inbox = scratch_path(spark, "intake_inbox")
-    # requests arrive as JSON files, one file per request variant
-    raw.select(*cols).repartition(4, "request_id") \
-       .write.mode("errorifexists").json(inbox)
+    lines = raw.select("variant", "Store", "request_id", "submitted_at", "body") \
+        .unionByName(lost.select("variant", "Store", "request_id", "submitted_at", "body"))
+    # requests arrive as text files of JSON lines, spread over four files
+    lines.repartition(4, "request_id").select(F.concat(head, F.substring("body", 2, 100_000))).write.text(inbox)
     out = intake.run_intake(spark, inbox, snapshot, max_files_per_trigger=1)  # one batch per file
     hist = spark.read.parquet(out["history"])
     rej = spark.read.parquet(out["rejected"])
@@ -103,6 +119,3 @@ def stream_request_intake(spark, sf):
                    F.lit(None).cast("bigint").alias("total_predicted_sales"),
                    F.lit(None).cast("string").alias("stockout_risk"), F.lit(False).alias("accepted"),
                    F.array_join("errors", ",").alias("errors")))
-
-
-
