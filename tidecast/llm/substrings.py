@@ -16,8 +16,9 @@ equal anchors at equal places. Consecutive windows with one anchor form a run,
 one row: its key (the anchor with its extent) and a 128-bit name of all its
 words. Then
 
-1. runs of equal name hold the same windows: all but those of the smallest
-   doc_id are repeats, found by one minimum per name;
+1. keys that stand in one document only are dropped; runs of equal name hold the
+   same windows: all but those of the smallest doc_id are repeats, found by one
+   minimum per name;
 2. only where different runs share a key (the ends and edits of a repeated
    passage) are the windows of the smallest document of each run written out one
    by one and compared by their 128-bit names.
@@ -45,11 +46,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .tables import arrow_map, stored
+from .tables import arrow_map, small, stored
 
-ROUNDS = 4
+ROUNDS = 3
 #: Words handled at once; longer documents go in overlapping segments.
-SEGMENT = 300_000
+SEGMENT = 60_000
 
 _U = np.uint64
 
@@ -264,33 +265,42 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
 
 
+def _ends(doc: str) -> list:
+    """Smallest and largest document of a group, and whether it has one without an id."""
+    return [F.min(doc).alias("lo"), F.max(doc).alias("hi"), F.max(F.col(doc).isNull()).alias("nul")]
+
+
+#: Two documents at least, of which one is smaller.
+_TWO = "lo < hi OR (nul AND lo IS NOT NULL)"
+
+
 def repeated(docs: DataFrame, n: int = 50) -> DataFrame:
     """(doc_id, text_key, a, b): stretches of words covered by repeated windows."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = stored(arrow_map(_keyed(docs), _run_batches(n), RUN_FIELDS.format(id=kind)), "substr_runs")
-    names = rows.groupBy("key", "n1", "n2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
-                                                F.max(F.col("doc_id").isNull()).alias("has_null"))
-    names = stored(names, "substr_names")
-    shared = names.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("first_doc").alias("d0"),
-                                      F.max("last_doc").alias("d1"), F.max("has_null").alias("nul"))
-    shared = shared.filter("n > 1 AND (d1 > d0 OR nul)").select("key")
+    # only keys that stand in two documents matter from here on
+    shared = stored(rows.groupBy("key").agg(*_ends("doc_id")).filter(_TWO).select("key"), "substr_keys")
+    rows = stored(rows.join(shared, "key", "left_semi"), "substr_shared")
+    names = stored(rows.groupBy("key", "n1", "n2").agg(F.min("doc_id").alias("first_doc")), "substr_names")
+    spread = names.groupBy("key").agg(*_ends("first_doc")).filter(_TWO).select("key", F.lit(True).alias("varied"))
+    names = stored(names.join(spread, "key", "left"), "substr_named")
+    marked = stored(rows.join(names, ["key", "n1", "n2"]).drop("key", "n1", "n2"), "substr_marked")
     # whole runs that stand in a smaller document too
-    twice = names.filter("last_doc > first_doc OR (has_null AND first_doc IS NOT NULL)").select("key", "n1", "n2", "first_doc")
-    whole = rows.join(twice, ["key", "n1", "n2"]).filter("doc_id > first_doc OR doc_id IS NULL")
-    whole = whole.select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + F.col("count") + (n - 1)).alias("b"))
-    # the others of a shared key: window by window
-    some = names.join(shared, "key", "left_semi").select("key", "n1", "n2", "first_doc")
-    open_ = rows.join(some, ["key", "n1", "n2"]).filter(F.col("doc_id").eqNullSafe(F.col("first_doc")))
-    per_doc = open_.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).agg(
-        F.collect_set(F.struct("start", "count")).alias("runs"))
+    whole = marked.filter("doc_id > first_doc OR (doc_id IS NULL AND first_doc IS NOT NULL)") \
+        .select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + F.col("count") + (n - 1)).alias("b"))
+    # the others of a key with different runs: window by window
+    open_ = marked.filter(F.col("varied") & F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    per_doc = stored(open_.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).agg(
+        F.collect_set(F.struct("start", "count")).alias("runs")), "substr_open")
     d = _keyed(docs)
+    few = small(per_doc.select(F.col("__k").alias("text_key")).distinct())  # most documents have none: drop them first
+    d = d.join(few, "text_key", "left_semi")
     texts = d.join(per_doc, d.doc_id.eqNullSafe(F.col("__id")) & (d.text_key == F.col("__k"))) \
         .select("doc_id", "text_key", "text", "runs")
     wins = stored(arrow_map(texts, _window_batches(n), f"{_KEYS.format(id=kind)}, start bigint, g1 bigint, g2 bigint"),
                   "substr_windows")
-    firsts = wins.groupBy("g1", "g2").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"),
-                                          F.max(F.col("doc_id").isNull()).alias("has_null"))
-    firsts = firsts.filter("last_doc > first_doc OR (has_null AND first_doc IS NOT NULL)").select("g1", "g2", "first_doc")
+    firsts = stored(wins.groupBy("g1", "g2").agg(*_ends("doc_id")).filter(_TWO).select("g1", "g2", F.col("lo").alias("first_doc")),
+                    "substr_firsts")
     single = wins.join(firsts, ["g1", "g2"]).filter("doc_id > first_doc OR doc_id IS NULL") \
         .select("doc_id", "text_key", F.col("start").alias("a"), (F.col("start") + n).alias("b"))
     return whole.unionByName(single)
@@ -299,8 +309,8 @@ def repeated(docs: DataFrame, n: int = 50) -> DataFrame:
 def deduplicated(docs: DataFrame, n: int = 50) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256, kept_text of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    gone = repeated(docs, n).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).agg(
-        F.collect_list(F.struct("a", "b")).alias("gone"))
+    gone = stored(repeated(docs, n).groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).agg(
+        F.collect_list(F.struct("a", "b")).alias("gone")), "substr_gone")
     d = _keyed(docs)
     rows = d.join(gone, d.doc_id.eqNullSafe(F.col("__id")) & (d.text_key == F.col("__k")), "left") \
         .select("doc_id", "text", "gone")
