@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import scratch_path
-from .decisions import INSIGHT_FIELDS
+from .decisions import insights_struct
 
 DAY = T.StructType([
     T.StructField("date", T.StringType()), T.StructField("day_of_week", T.IntegerType()),
@@ -53,14 +53,19 @@ def _dates_text(c: str):
     return F.transform(F.col(c), lambda d: F.date_format(d, "yyyy-MM-dd"))
 
 
-def log_rows(fc: DataFrame, id_col: str = "request_id", created_at: str = "created_at") -> DataFrame:
-    """Forecast + insights rows -> log rows (one per forecast)."""
-    day = F.transform(F.col("days"), lambda d: F.struct(
+def day_records() -> Column:
+    """The forecast days of a row as records of the response."""
+    return F.transform(F.col("days"), lambda d: F.struct(
         F.date_format(d["date"], "yyyy-MM-dd").alias("date"), d["day_of_week"].alias("day_of_week"),
         d["weekday"].alias("weekday"), d["is_weekend"].alias("is_weekend"), d["promo"].alias("promo"),
         d["school_holiday"].alias("school_holiday"), d["predicted_sales"].alias("predicted_sales"),
         d["demand_level"].alias("demand_level")))
-    insights = F.struct(*[F.col(c) for c in INSIGHT_FIELDS])
+
+
+def log_rows(fc: DataFrame, id_col: str = "request_id", created_at: str = "created_at") -> DataFrame:
+    """Forecast + insights rows -> log rows (one per forecast)."""
+    day = day_records()
+    insights = insights_struct()
     response = F.struct(
         F.col("Store").alias("store_id"), "model_name", "model_version", "forecast_mode",
         F.date_format("latest_date", "yyyy-MM-dd").alias("latest_historical_date"), "forecast_days",

@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..params import FUTURE_PROMO_CAP
+from ..functions import scaling as sc
 
 KNOWN_AHEAD = ["Promo", "SchoolHoliday", "DayOfWeek", "IsWeekend", "Month", "is_month_start", "is_month_end",
                "is_april", "promo_schoolholiday", "weekend_schoolholiday", "promo_weekend",
@@ -22,19 +22,26 @@ KNOWN_AHEAD = ["Promo", "SchoolHoliday", "DayOfWeek", "IsWeekend", "Month", "is_
 MODEL_FEATURES = ["last_value", "weekly_seasonal", "forecast_day"] + KNOWN_AHEAD
 
 
-def training_rows(h: DataFrame) -> DataFrame:
-    """Horizon rows -> model rows: promo counters capped as at inference,
-    doubles everywhere, residual label, validation indicator."""
-    capped = {c: F.least(F.col(c), F.lit(FUTURE_PROMO_CAP)) for c in ("days_since_last_promo", "days_until_next_promo")}
+def training_rows(h: DataFrame, promo_cap: int | None = None, key: str = "Store") -> DataFrame:
+    """Horizon rows -> model rows: doubles everywhere, the residual label standard-
+    scaled per series over its train rows, the validation indicator. Promo counters
+    are as in the history (uncapped) unless ``promo_cap`` is given."""
+    capped = {} if promo_cap is None else {
+        c: F.least(F.col(c), F.lit(promo_cap)) for c in ("days_since_last_promo", "days_until_next_promo")}
     cols = [capped.get(c, F.col(c)).cast("double").alias(c) for c in MODEL_FEATURES]
-    return h.select("Store", "sample_index", "forecast_day_i", "target_date", "split", "split3", "actual_sales", *cols) \
-            .withColumn("residual", F.col("actual_sales") - F.col("weekly_seasonal")) \
+    residual = F.col("actual_sales") - F.col("weekly_seasonal")
+    fitted = F.when(F.col("split") == "train", residual)
+    whole = Window.partitionBy(key)
+    mean, std = F.avg(fitted).over(whole), F.stddev_pop(fitted).over(whole)
+    return h.select(key, "sample_index", "forecast_day_i", "target_date", "split", "split3", "actual_sales", *cols,
+                    sc.standard_transform(residual, mean, std).alias("residual"),
+                    mean.alias("residual_mean"), std.alias("residual_std")) \
             .withColumn("is_val", F.col("split3") == "val")
 
 
 def linear_pipeline(label: str = "actual_sales", reg: float = 0.1) -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features", handleInvalid="error"),
         # normal equations: ONE distributed pass (a small feature Gram matrix)
         # instead of one pass per L-BFGS iteration
         LinearRegression(featuresCol="features", labelCol=label, regParam=reg, elasticNetParam=0.0,
@@ -43,22 +50,27 @@ def linear_pipeline(label: str = "actual_sales", reg: float = 0.1) -> Pipeline:
 
 def gbt_pipeline(label: str = "actual_sales", max_iter: int = 30, seed: int = 42) -> Pipeline:
     return Pipeline(stages=[
-        VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features", handleInvalid="skip"),
+        VectorAssembler(inputCols=MODEL_FEATURES, outputCol="features", handleInvalid="error"),
         GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=4, stepSize=0.1,
                      subsamplingRate=0.8, seed=seed, validationIndicatorCol="is_val", validationTol=0.001,
                      predictionCol="prediction")])
 
 
+def fit_rows(rows: DataFrame) -> DataFrame:
+    """The rows a fit may see: train + val (val drives GBT early stopping), never test."""
+    return rows.filter(F.col("split") == "train")
+
+
 def fit(rows: DataFrame, pipeline: Pipeline) -> PipelineModel:
-    """Fit on train + val rows (val drives GBT early stopping); never on test."""
-    return pipeline.fit(rows.filter(F.col("split") == "train"))
+    return pipeline.fit(fit_rows(rows))
 
 
 def score(model: PipelineModel, rows: DataFrame, residual: bool = False) -> DataFrame:
-    """Score rows; a residual model adds its output to the weekly baseline.
-    Predictions are clipped at 0 (demand is never negative)."""
+    """Score rows; a residual model adds its output, scaled back, to the weekly
+    baseline. Predictions are clipped at 0 (demand is never negative)."""
     out = model.transform(rows)
-    pred = F.col("weekly_seasonal") + F.col("prediction") if residual else F.col("prediction")
+    back = sc.standard_inverse(F.col("prediction"), F.col("residual_mean"), F.col("residual_std"))
+    pred = F.col("weekly_seasonal") + back if residual else F.col("prediction")
     return out.withColumn("model_prediction", F.greatest(pred, F.lit(0.0))).drop("features", "prediction")
 
 
@@ -94,3 +106,15 @@ def linear_predict_fn(model: PipelineModel):
             return x @ w + intercept
         return predict
     return make
+
+
+def fixed_predict_fn(weights: list[float], intercept: float = 0.0):
+    """A ``make_predict_fn`` for given linear weights (one per feature column)."""
+    def make():
+        import numpy as np
+        w = np.asarray(weights, dtype="float64")
+
+        def predict(x):
+            return x @ w + intercept
+        return predict
+    return make

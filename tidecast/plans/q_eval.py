@@ -322,7 +322,7 @@ def concat_columns(spark, sf):
 @register("sink_predictions", sql(f"SELECT {_PRED_COLS} FROM preds_weekly", "preds_weekly"))
 def sink_predictions(spark, sf):
     """Prediction records written to the shared folder and read back."""
-    return _out(files.materialize(spark, _preds(spark, sf), "predictions", ["Store"]))
+    return _out(files.materialize(spark, _preds(spark, sf), "predictions"))
 
 
 @register("src_predictions", sql("""
@@ -342,10 +342,11 @@ SELECT 'by_horizon' AS report, Store, forecast_day, metric, ROUND(value, 4) AS v
                               "preds_weekly"))
 def sink_metrics(spark, sf):
     """Metric report as a long (report, Store, forecast_day, metric, value) table."""
-    p = _preds(spark, sf)
-    overall = ev.error_metrics(p, ["Store"]).withColumn("forecast_day", F.lit(0)).withColumn("report", F.lit("overall"))
-    by_h = ev.error_metrics(p, ["Store", "forecast_day"]).withColumn("report", F.lit("by_horizon"))
-    both = overall.unionByName(by_h)
+    # both reports from one pass over the predictions
+    both = _preds(spark, sf).groupingSets([["Store"], ["Store", "forecast_day"]], "Store", "forecast_day").agg(
+        *ev.metric_aggs(), F.grouping("forecast_day").alias("_all"))
+    both = both.withColumn("report", F.when(F.col("_all") == 1, "overall").otherwise("by_horizon")) \
+        .withColumn("forecast_day", F.coalesce("forecast_day", F.lit(0)))
     long = both.unpivot(["report", "Store", "forecast_day"], ["mae", "rmse", "mape"], "metric", "value")
     long = long.select("report", "Store", F.col("forecast_day").cast("int").alias("forecast_day"), "metric",
                        r4("value").alias("value"))

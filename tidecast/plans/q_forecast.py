@@ -11,6 +11,7 @@ from ..functions.metrics import demand_level as level_expr
 from ..functions.metrics import risk_normalise as risk_expr
 from ..operators import decisions as dc
 from ..operators import forecast as fc
+from ..operators import history as hs
 from ..functions import scaling as scf
 from ..params import FUTURE_FEATURES, DemandThresholds
 from . import tables
@@ -234,6 +235,7 @@ def forecast_rows(spark, sf):
                                    "school_holiday", "predicted_sales", "demand_level")
 
 
+_REC_FREE = f"'{dc.TEXT_NO_STOCK}'"
 _RESP = """
 SELECT Store, CAST(SUM(predicted_sales) AS BIGINT) AS total_predicted_sales,
        CAST(trunc(SUM(predicted_sales) / COUNT(*)) AS BIGINT) AS average_predicted_sales,
@@ -244,17 +246,27 @@ FROM future_pred GROUP BY Store"""
 
 
 @register("forecast_response", sql(f"""
-SELECT Store, 'LinearPlan' AS model_name, 'v1' AS model_version, 'open days only' AS forecast_mode,
+SELECT r.Store, 'LinearPlan' AS model_name, 'v1' AS model_version, 'open days only' AS forecast_mode,
        latest_historical_date, 7 AS forecast_days, total_predicted_sales, average_predicted_sales,
-       highest_demand_day, lowest_demand_day, CAST(n_days AS INTEGER) AS n_days
-FROM ({_RESP})""", "future_pred"))
+       highest_demand_day, lowest_demand_day, CAST(n_days AS INTEGER) AS n_days, d.forecast, {_REC_FREE} AS recommendation
+FROM ({_RESP}) r JOIN (
+  SELECT Store, string_agg(strftime(date, '%Y-%m-%d') || ' ' || {_WD} || ' ' || predicted_sales || ' ' ||
+         CASE WHEN predicted_sales >= 4500 THEN 'high' WHEN predicted_sales >= 3500 THEN 'medium' ELSE 'low' END, ', ' ORDER BY step) AS forecast
+  FROM future_pred GROUP BY Store) d ON d.Store = r.Store""", "future_pred"))
 def forecast_response(spark, sf):
-    """Response summary per store: mode, latest date, totals, peak / trough."""
-    r = _default(spark, sf)
-    return r.select("Store", "model_name", "model_version", "forecast_mode",
-                    F.col("latest_date").alias("latest_historical_date"), "forecast_days",
-                    "total_predicted_sales", "average_predicted_sales", "highest_demand_day", "lowest_demand_day",
-                    F.size("days").alias("n_days"))
+    """The whole response per store: mode, latest date, totals, peak / trough, the day
+    records (nested, parsed back from the stored JSON and shown as text) and the
+    insights' recommendation."""
+    f = dc.with_insights(_default(spark, sf))
+    f = f.withColumn("response_average", (F.col("total_predicted_sales") / F.size("days")).cast("bigint")).withColumn("created_at", F.col("latest_date").cast("timestamp_ntz"))
+    r = hs.parse_response(hs.log_rows(f)).select("response.*")
+    days = F.array_join(F.transform("forecast", lambda d: F.concat_ws(
+        " ", d["date"], d["weekday"], d["predicted_sales"], d["demand_level"])), ", ")
+    return r.select(F.col("store_id").alias("Store"), "model_name", "model_version", "forecast_mode",
+                    F.to_date("latest_historical_date").alias("latest_historical_date"), "forecast_days",
+                    "total_predicted_sales", "average_predicted_sales", F.to_date("highest_demand_day").alias("highest_demand_day"),
+                    F.to_date("lowest_demand_day").alias("lowest_demand_day"), F.size("forecast").alias("n_days"),
+                    days.alias("forecast"), F.col("business_insights.recommendation").alias("recommendation"))
 
 
 @register("forecast_totals", sql(f"SELECT Store, total_predicted_sales, average_predicted_sales FROM ({_RESP})",

@@ -310,3 +310,58 @@ def report_csv_export(spark, sf):
                            nullValue="", emptyValue="")
     header = ",".join(rows.columns)
     return spark.read.text(path).filter(F.col("value") != header).select(F.col("value").alias("line"))
+
+
+_SCENARIO_REPORT = T.StructType([
+    T.StructField("report_type", T.StringType()), T.StructField("generated_at", T.StringType()),
+    T.StructField("best_scenario", T.StructType([T.StructField("scenario_name", T.StringType()), T.StructField("reason", T.StringType())])),
+    T.StructField("scenarios", T.ArrayType(T.StructType([
+        T.StructField("scenario_name", T.StringType()), T.StructField("business_insights", hs.INSIGHTS),
+        T.StructField("forecast_data", T.ArrayType(hs.DAY))])))])
+
+
+@register("report_scenario_json", sql("""
+SELECT b.Store, 'Scenario Comparison Report' AS report_type, b.name AS best_scenario, CAST(5 AS INTEGER) AS n_scenarios,
+       t.names AS scenario_names, t.total AS total_all_scenarios, CAST(35 AS INTEGER) AS n_days
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY Store ORDER BY score DESC, position) AS r FROM scen_score) b
+JOIN (SELECT Store, string_agg(name, '|' ORDER BY position) AS names, CAST(sum(total) AS BIGINT) AS total FROM scen_ins GROUP BY 1) t
+  ON t.Store = b.Store WHERE b.r = 1""", "scen_score", "scen_ins"))
+def report_scenario_json(spark, sf):
+    """Scenario comparison reports {report_type, generated_at, best_scenario,
+    scenarios} written as JSON files, one document per store, and read back."""
+    s = dc.with_insights(fc.forecast_joined(rq.scenario_requests(_state(spark, sf))))
+    scored = dc.score_scenarios(s)
+    one = F.struct("position", F.col("name").alias("scenario_name"), dc.insights_struct().alias("business_insights"),
+                   hs.day_records().alias("forecast_data"))
+    per = scored.groupBy("Store").agg(F.array_sort(F.collect_list(one)).alias("scenarios"), F.max("latest_date").alias("latest"))
+    best = dc.best_scenario(scored).select(F.col("Store").alias("_s"), F.struct(
+        F.col("best_scenario").alias("scenario_name"), "reason").alias("best"))
+    doc = per.join(best, F.col("Store") == F.col("_s")).select(
+        "Store", F.lit("Scenario Comparison Report").alias("report_type"),
+        F.date_format(F.col("latest").cast("timestamp_ntz"), "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("generated_at"),
+        F.col("best").alias("best_scenario"), F.transform("scenarios", lambda x: x.dropFields("position")).alias("scenarios"))
+    path = scratch_path(spark, "scenario_report_json")
+    doc.write.json(path)
+    back = spark.read.schema(T.StructType([T.StructField("Store", T.IntegerType()), *_SCENARIO_REPORT.fields])).json(path)
+    total = F.aggregate("scenarios", F.lit(0).cast("bigint"), lambda a, x: a + x["business_insights"]["total_predicted_sales"])
+    days = F.aggregate("scenarios", F.lit(0), lambda a, x: a + F.size(x["forecast_data"]))
+    return back.select("Store", "report_type", F.col("best_scenario.scenario_name").alias("best_scenario"),
+                       F.size("scenarios").alias("n_scenarios"), F.array_join("scenarios.scenario_name", "|").alias("scenario_names"),
+                       total.alias("total_all_scenarios"), days.alias("n_days"))
+
+
+_FALLBACK = f"""CASE WHEN position % 2 = 0 THEN {{rec}}
+            WHEN COALESCE(needed, false) THEN '{dc.TEXT_REPORT_REORDER.split("{qty}")[0]}' || COALESCE(CAST(qty AS VARCHAR), '') || '{dc.TEXT_REPORT_REORDER.split("{qty}")[1]}'
+            ELSE '{dc.TEXT_REPORT_SUFFICIENT}' END"""
+
+
+@register("report_recommendation", sql("SELECT Store, position, " + _FALLBACK.format(rec=f"""CASE WHEN current_stock IS NULL THEN '{dc.TEXT_NO_STOCK}'
+            WHEN risk = 'high' THEN '{dc.TEXT_HIGH}' WHEN risk = 'medium' THEN '{dc.TEXT_MEDIUM}' ELSE '{dc.TEXT_LOW}' END""")
+                                       + " AS recommendation FROM scen_ins", "scen_ins"))
+def report_recommendation(spark, sf):
+    """The report's recommendation: the service text, or a text by the reorder flag
+    where it is missing (here: taken away from every second scenario)."""
+    s = dc.with_insights(fc.forecast_joined(rq.scenario_requests(_state(spark, sf))))
+    text = F.when(F.col("position") % 2 == 0, F.col("recommendation"))
+    return s.select("Store", "position", dc.report_recommendation(
+        text, F.col("reorder_needed"), F.col("recommended_reorder_quantity")).alias("recommendation"))

@@ -24,19 +24,25 @@ def processed(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = N
     the scans; the store dimension is read once."""
     dim = panel.store_dim(spark, sf_dir, grain)
     df = joins.join_sales_store(panel.sales_daily(spark, sf_dir, grain), dim)
-    df = clean.filter_store(df, stores)
-    df = clean.filter_open_days(df)
-    df = clean.drop_leakage_columns(df)
-    df = clean.select_present(df)
+    df = open_days(df, stores)
     df = clean.impute_median(df, dim)
     df = clean.impute_zero(df)
     df = clean.one_hot(df)
     return clean.add_calendar(df)
 
 
+def open_days(daily: DataFrame, stores: Iterable[int] | None = None) -> DataFrame:
+    """Filters and column selection that every table of open days starts with."""
+    df = clean.filter_open_days(clean.filter_store(daily, stores))
+    return clean.select_present(clean.drop_leakage_columns(df))
+
+
 def feature_table(spark: SparkSession, sf_dir: str, stores: Iterable[int] | None = None,
                   grain: str = "nation") -> DataFrame:
-    return features.engineer_features(processed(spark, sf_dir, stores, grain))
+    """Features of the daily fact alone: no feature reads the store dimension, so
+    it is not joined."""
+    df = open_days(panel.sales_daily(spark, sf_dir, grain), stores)
+    return features.engineer_features(clean.add_calendar(df))
 
 
 def synthetic_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import iso_day_of_week
 from ..schemas import INPUTS
+from .files import require_contract
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A testdata table with its explicit schema (no inference job)."""
-    reader = spark.read.schema(INPUTS[name]) if name in INPUTS else spark.read
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """An input table; the columns we rely on are checked against their expected
+    types from the file footer, so a changed table fails at once and by name."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return require_contract(df, name, INPUTS[name]) if name in INPUTS else df
 
 
 def _closed_sunday(store: Column, dow: Column) -> Column:
@@ -71,7 +73,7 @@ def store_dim(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFr
         n.alias("Store"),
         F.element_at(F.array(*[F.lit(c) for c in "abcd"]), (n % 4 + 1).cast("int")).alias("StoreType"),
         F.element_at(F.array(*[F.lit(c) for c in "abc"]), (n % 3 + 1).cast("int")).alias("Assortment"),
-        F.when(~no_comp, (100 * (n + 1)).cast("double")).alias("CompetitionDistance"),
+        F.when(~no_comp, 100 * (n.cast("double") + 1)).alias("CompetitionDistance"),
         F.when(~no_comp, n % 12 + 1).alias("CompetitionOpenSinceMonth"),
         F.when(~no_comp, n + 1990).alias("CompetitionOpenSinceYear"),
         (n % 2).alias("Promo2"),
