@@ -1,4 +1,4 @@
-"""Property checks: promo counters equal the reference's row loops, windows
+"""Property checks: promo counters equal plain row loops, windows
 never cross a store, window counts are max(0, n - 36), no past feature reads
 a later row."""
 
