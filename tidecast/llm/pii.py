@@ -169,11 +169,17 @@ def disclosing(docs: DataFrame, near: DataFrame, d: Disclosure) -> DataFrame:
     """(entity, term, share): the words that disclose an entity and the share PMI / IC."""
     pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_et")) \
         .filter(F.col("n_et") >= d.min_support)
-    pairs = stored(pairs, "pii_pairs")
     entities = near.groupBy("entity").agg(F.count_distinct("text_key").alias("n_e"))
-    freq = term_frequencies(docs, pairs.select("term").distinct())
     total = docs.agg(F.count_distinct(F.xxhash64(F.coalesce("text", F.lit("")))).alias("n"))
-    j = pairs.join(entities, "entity").join(freq, "term").withColumn("n", total.scalar())
+    # PMI >= alpha * IC holds only up to this corpus frequency of the word; words that stand
+    # near more entities than that are out before the corpus is asked
+    most = F.col("n_et") * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - d.alpha))
+    nearby = near.groupBy("term").agg(F.count_distinct("text_key").alias("n_near"))
+    open_ = pairs.join(entities, "entity").join(nearby, "term").withColumn("n", total.scalar()) \
+        .filter(F.col("n_near") <= most * 1.000001).drop("n_near")
+    open_ = stored(open_, "pii_pairs")
+    freq = term_frequencies(docs, open_.select("term").distinct())
+    j = open_.join(freq, "term")
     pmi = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
     share = F.try_divide(pmi, F.log(F.col("n") / F.col("n_e")))
     return j.select("entity", "term", share.alias("share")).filter(F.col("share") >= d.alpha)
