@@ -13,7 +13,7 @@ _QUERIES = {
     "op6_quality_rules": (q_quality.op6_quality_rules, q_quality.SQL),
     "op7_warc": (q_warc.op7_warc, q_warc.SQL),
     "op8_packing": (q_packing.op8_packing, None),
-    "op9_pii": (q_pii.op9_pii, None),
+    "op9_pii": (q_pii.op9_pii, q_pii.SQL),
     "op10_url_filters": (q_urlfilter.op10_url_filters, q_urlfilter.SQL),
 }
 
