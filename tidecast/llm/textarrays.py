@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 MASK64 = (1 << 64) - 1
 
 _SPACE = np.zeros(256, dtype=bool)

@@ -34,6 +34,8 @@ WORD_MARK = "▁"
 BYTE_COST = 14.0
 #: Terminal counts kept per worker; when full the table starts anew (results do not change).
 TERMINALS = 300_000
+#: Bytes of text whose distinct words share one trie.
+GROUP = 4 << 20
 
 
 class Unigram:
@@ -94,7 +96,7 @@ def _count_batches(model_path: str):
         model, known = _LOADED[model_path]
         for batch in batches:
             ids = batch.column(batch.schema.names.index("doc_id"))
-            for group in ta.groups(enumerate(ta.texts_of(batch.column(batch.schema.names.index("text"))))):
+            for group in ta.groups(enumerate(ta.texts_of(batch.column(batch.schema.names.index("text")))), GROUP):
                 rows = [(t or b"").split() for _, t in group]
                 fresh = {w for r in rows for w in r}.difference(known)
                 if len(known) + len(fresh) > TERMINALS:
