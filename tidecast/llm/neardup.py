@@ -11,10 +11,10 @@ sets reaches the threshold. Links give groups; a group's smallest doc_id stays.
 
 Plan. Documents of one and the same shingle set are one node from the start, so a
 group of exact copies costs one row. Within a band bucket no pairs are made:
-every node is compared with the bucket's centre only (first the node that shares
-most buckets with others, then another draw), at most ``CENTRES`` per node and
-round, preferring centres met in many bands. After each round linked nodes share
-a component, and buckets that lie within one component are done. What is still
+every node is compared with the bucket's centre only (the node that shares most
+buckets with others; another draw in later rounds), at most ``CENTRES`` per node
+and round, preferring centres met in many bands. Linked nodes then share a
+component, and buckets that lie within one component are done. What is still
 mixed is settled exactly in a last round: shingles that few other open nodes have
 bound the similarity of a node to the others (``remaining_pairs``), and only pairs
 of different components above that bound are compared. Texts of candidates are
@@ -47,7 +47,8 @@ from .tables import arrow_map, stored
 
 UNIVERSE = 1 << 20
 CENTRES = 3
-ROUNDS = 2
+#: Rounds against bucket centres before the last round; one finds nearly all links.
+ROUNDS = 1
 RARE = 8
 SEED = 20
 
@@ -195,15 +196,12 @@ def components(links: DataFrame) -> DataFrame:
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node"))
     while not edges.isEmpty():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        step = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("to"))
-        step = stored(step, "neardup_step")
-        jump = step.select(F.col("v").alias("to"), F.col("to").alias("far"))
-        step2 = step.join(jump, "to", "left").select("v", F.coalesce("far", "to").alias("to"))
-        step2 = stored(step2, "neardup_step")
-        labels = stored(labels.join(step2, F.col("component") == F.col("v"), "left")
+        step = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("to")),
+                      "neardup_step")
+        labels = stored(labels.join(step, F.col("component") == F.col("v"), "left")
                         .select("node", F.coalesce("to", "component").alias("component")), "neardup_labels")
-        ends = edges.join(step2.select(F.col("v").alias("a"), F.col("to").alias("ta")), "a") \
-            .join(step2.select(F.col("v").alias("b"), F.col("to").alias("tb")), "b")
+        ends = edges.join(step.select(F.col("v").alias("a"), F.col("to").alias("ta")), "a") \
+            .join(step.select(F.col("v").alias("b"), F.col("to").alias("tb")), "b")
         edges = stored(ends.filter("ta <> tb").select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct(),
                        "neardup_edges")
     return labels
@@ -219,13 +217,22 @@ def with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _shingle_batches(s: Similar):
+    def rows(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.repeat([n for n, _ in found], [len(x) for _, x in found])),
+                                           pa.array(np.concatenate([x for _, x in found]))], names=["node", "item"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = []
         for batch in batches:
             node = batch.column(batch.schema.names.index("node"))
             for i, text in enumerate(ta.texts_of(batch.column(batch.schema.names.index("text")))):
                 items = shingles(ta.word_hashes(text, lower=True), s.shingle)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(items), node[i].as_py(), dtype=np.int64)),
-                                                  pa.array(items.view(np.int64))], names=["node", "item"])
+                found.append((node[i].as_py(), items.view(np.int64)))
+                if sum(len(x) for _, x in found[-64:]) >= 50_000 or len(found) >= 64:
+                    yield rows(found)
+                    found = []
+        if found:
+            yield rows(found)
     return run
 
 
@@ -233,31 +240,39 @@ def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s:
     """(a, b), a < b: nodes of different components that were not compared yet and
     can still reach the threshold; nothing that could be linked is left out.
 
-    A shingle is rare if at most ``RARE`` open nodes have it. Pairs that share a rare
-    shingle are listed from the shingle (at most RARE^2 / 2 pairs each). Any other
-    pair of a bucket shares no rare shingle, so of its n shingles a node shares at
-    most m = n - (its rare ones), and the similarity of a and b is at most
-    m / (na + nb - m) with the smaller m; pairs below the threshold are not made.
+    A shingle is rare if at most ``RARE`` open nodes have it. Of its n shingles a node
+    shares at most m = n - (its rare ones) that are not rare; the rare ones that two
+    nodes share are counted from the shingles (at most RARE^2 / 2 pairs each). So
+    with c shared rare shingles the intersection is at most q = c + min(ma, mb) and
+    the similarity at most q / (na + nb - q). Pairs without a common rare shingle
+    come from the buckets, each pair from the smallest bucket it shares.
     """
-    homes = members.select("node", "component").distinct()
+    homes = members.groupBy("node").agg(F.max("component").alias("component"), F.collect_list("bucket").alias("all"))
+    homes = stored(homes, "neardup_homes")
     items = arrow_map(texts.join(homes.select("node"), "node", "left_semi"), _shingle_batches(s), "node bigint, item bigint")
     items = stored(items, "neardup_items")
-    scarce = items.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= RARE)
-    rare = stored(items.join(scarce, "item").join(homes, "node"), "neardup_rare")
+    scarce = stored(items.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= RARE), "neardup_scarce")
+    rare = stored(items.join(scarce, "item"), "neardup_rare")
     size = items.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
     own = rare.groupBy("node").agg(F.count(F.lit(1)).alias("r"))
-    able = size.join(own, "node", "left").select("node", "n", (F.col("n") - F.coalesce("r", F.lit(0))).alias("m")) \
-        .filter(F.col("m") * 100 >= F.col("n") * s.percent)
-    rows = stored(members.join(able, "node"), "neardup_able")
-    x = rows.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"), F.col("n").alias("na"), F.col("m").alias("ma"))
-    y = rows.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"), F.col("m").alias("mb"))
-    most = F.least("ma", "mb")
-    reach = most * 100 >= (F.col("na") + F.col("nb") - most) * s.percent
-    common = x.join(y, (x.bucket == y.bucket) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reach).select("a", "b")
-    u = rare.filter("k > 1").select("item", F.col("node").alias("a"), F.col("component").alias("ca"))
-    v = rare.filter("k > 1").select("item", F.col("node").alias("b"), F.col("component").alias("cb"))
-    scarce_pairs = u.join(v, (u.item == v.item) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b")
-    return common.unionByName(scarce_pairs).distinct().join(tested, ["a", "b"], "left_anti")
+    able = size.join(own, "node", "left").select("node", "n", (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
+    able = stored(homes.join(able, "node"), "neardup_able")
+    side = lambda df, x: df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
+    other = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+
+    def reach(q):
+        return q * 100 >= (F.col("n_a") + F.col("n_b") - q) * s.percent
+
+    rows = members.select("bucket", "node").join(able.filter(F.col("m") * 100 >= F.col("n") * s.percent), "node")
+    common = side(rows, "a").join(side(rows, "b"), (F.col("bucket_a") == F.col("bucket_b")) & other
+                                  & reach(F.least("m_a", "m_b"))
+                                  & (F.col("bucket_a") == F.array_min(F.array_intersect("all_a", "all_b"))))
+    shared = rare.filter("k > 1").join(able.drop("all"), "node").drop("k")
+    scarce_pairs = side(shared, "a").join(side(shared, "b"), (F.col("item_a") == F.col("item_b")) & other) \
+        .groupBy("node_a", "node_b", "n_a", "n_b", "m_a", "m_b").agg(F.count(F.lit(1)).alias("c")) \
+        .filter(reach(F.col("c") + F.least("m_a", "m_b")))
+    pairs = common.select("node_a", "node_b").unionByName(scarce_pairs.select("node_a", "node_b")).distinct()
+    return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).join(tested, ["a", "b"], "left_anti")
 
 
 def groups(docs: DataFrame, s: Similar = Similar()) -> DataFrame:
@@ -315,6 +330,13 @@ def linked(members: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
 
 
 def representatives(docs: DataFrame, s: Similar = Similar()) -> DataFrame:
-    """One document (all columns) of every group: the one of the smallest doc_id, once."""
-    keep = groups(docs, s).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).distinct()
-    return docs.join(keep, docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k"))).select(docs.columns)
+    """One document (all columns) of every group: the one of the smallest doc_id.
+    Of repeated rows of that document one stays."""
+    keep = groups(docs, s).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")) \
+        .agg(F.count(F.lit(1)).alias("__n"))
+    keep = stored(keep, "neardup_keep")
+    rows = docs.join(keep, docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k")))
+    once = rows.filter("__n = 1").select(docs.columns)
+    if keep.filter("__n > 1").isEmpty():
+        return once
+    return once.unionByName(rows.filter("__n > 1").dropDuplicates(["__id", "__k"]).select(docs.columns))
