@@ -109,18 +109,18 @@ def candidates(index: Index, slop: int = 0) -> DataFrame:
 
 
 def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
-    """Per document: doc_id, w (its words) and hits, the verified occurrences
+    """Per document: doc_id, text_key, w (its words) and hits, the verified occurrences
     (start, len, item_ids) in order of start."""
     found = candidates(index).filter("start >= 0").join(small(index.windows), "wid")
     per_doc = found.groupBy(F.col("doc_id").alias("hit_doc")).agg(
         F.collect_set(F.struct("start", "words", "item_ids")).alias("cand"))
     rows = docs.select("doc_id", "text").join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit_doc")), "left")
-    rows = rows.select("doc_id", words(F.col("text")).alias("w"), "cand")
+    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"), "cand")
     same = F.filter("cand", lambda c: F.slice("w", c["start"] + 1, F.size(c["words"])) == c["words"])
     hits = F.when(F.col("cand").isNull(), None).otherwise(
         F.array_sort(F.transform(same, lambda c: F.struct(c["start"].alias("start"), F.size(c["words"]).alias("len"),
                                                           c["item_ids"].alias("item_ids")))))
-    return rows.select("doc_id", "w", hits.alias("hits"))
+    return rows.select("doc_id", "text_key", "w", hits.alias("hits"))
 
 
 def proximity_matches(index: Index, slop: int) -> DataFrame:
@@ -131,7 +131,7 @@ def proximity_matches(index: Index, slop: int) -> DataFrame:
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items (sorted item_ids as strings), contaminated."""
+    """doc_id, text_key, n_words, n_hit, items (sorted item_ids as strings), contaminated."""
     m = phrase_matches(docs, build(docs, benchmark, n))
     zero = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n"))
 
@@ -143,11 +143,13 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     n_hit = F.coalesce(F.aggregate("hits", zero, cover)["n"], F.lit(0)).cast("bigint")
     items = F.coalesce(F.array_sort(F.array_distinct(F.transform(F.flatten("hits.item_ids"), lambda i: i.cast("string")))),
                        F.array().cast("array<string>"))
-    return (m.select("doc_id", F.size("w").cast("bigint").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"))
+    return (m.select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"))
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The documents (all columns) without those that hold a benchmark window."""
-    bad = report(docs, benchmark, n).filter("contaminated").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    bad = report(docs, benchmark, n).filter("contaminated") \
+        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).distinct()
+    bad = small(stored(bad, "decontam_bad"))
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k")), "left_anti")
