@@ -13,8 +13,7 @@ it) and host plus path prefixes. Intervals of one key are gathered into one row
 (their number is the number of list changes of that key, not of captures), so
 the join is an equi-join with unique keys on the list side: a host with a third
 of all captures is split by Spark's skew handling, and no pair of capture and
-entry outside its key is ever made. Captures are joined as distinct (url,
-fetched) keys only where they are few columns wide: page_id, key, fetch time.
+entry outside its key is ever made. Page contents are never moved.
 
 Defined results. Null or host-less URL: no keys, not blocked. Null fetch time:
 no entry is active. Entries with a null date, pattern, list or unknown action
