@@ -12,9 +12,9 @@ descending powers of two. Windows of one tier are dealt to step groups of
 
 Plan. One Arrow pass without a shuffle: a task packs the documents it reads; the
 pool holds at most ``POOL`` rests of under one window. Ids come from the public
-tokenizer, asked once per distinct word stem and worker (``STEMS`` stems are kept);
-this equals encoding the whole text, since the tokenizer never joins across
-white space and never joins a letter with a following ``,.;:!?``.
+tokenizer, asked once per distinct word and worker (``STEMS`` words are kept); this
+equals encoding the whole text, since the tokenizer never joins across white
+space and never joins a letter or digit with a following ``,.;:!?`` (``WordIds``).
 
 Defined results. Null or empty text: the end id alone. Rows are packed one by
 one, repeated and null doc_ids included. Sequence ids are unique in the result:
@@ -25,6 +25,7 @@ Empty table: no rows.
 from __future__ import annotations
 
 import os
+import unicodedata
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Iterator
@@ -41,52 +42,176 @@ from .tables import arrow_map
 TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 65_536
 POOL = 4096
-STEMS = 400_000
+#: Bytes of text whose new words are learned together.
+GROUP = 1 << 20
+STEMS = 800_000
 END_ID = 1
-_TAIL = ",.;:!?"
 
 
 class WordIds:
-    """Ids of a text as little-endian 32-bit bytes, by way of its words."""
+    """Token ids of texts by way of their words, in arrays.
+
+    The bytes of a group of texts are lower-cased (ASCII) and cut into words; a
+    ``.,;:!?`` that ends a word after an ASCII letter or digit is a token of its own.
+    The tokenizer lower-cases as well and keeps such a sign apart, so the ids are
+    those of the whole text; texts with combining marks or special-token signs, where
+    that could matter, are encoded whole. Words are known by a 64-bit hash. New words
+    of ASCII letters are encoded together, as one text, by the same tokenizer without
+    the normalising steps that leave such words as they are; each ends with one
+    closing id. Where the closing ids do not add up, and for all other words, the
+    tokenizer itself is asked word by word.
+    """
 
     def __init__(self, tokenizer_path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.words: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
-
-    @staticmethod
-    def stems_of(word: bytes) -> tuple[str, ...]:
-        """Parts of a word that the tokenizer keeps apart, in a form that has the same ids."""
-        s = word.decode("utf-8", "replace")
-        if len(s) > 1 and s[-1] in _TAIL and s[:-1].isalpha():
-            return (s[:-1].lower() if s.isascii() else s[:-1], s[-1])
-        return (s.lower() if s.isascii() and s.isalpha() else s,)
-
-    def learn(self, words: set[bytes]) -> None:
-        parts = {w: self.stems_of(w) for w in words}
-        new = sorted({p for ps in parts.values() for p in ps}.difference(self.stems))
-        for i in range(0, len(new), 8192):
-            some = new[i:i + 8192]
-            for stem, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.stems[stem] = np.array(e.ids, dtype="<u4").tobytes()
-        for w, ps in parts.items():
-            self.words[w] = self.stems[ps[0]] if len(ps) == 1 else self.stems[ps[0]] + self.stems[ps[1]]
-
-    def ids(self, text: bytes | None) -> bytes:
-        out = []
-        for piece in ta._pieces(text or b""):
-            words = piece.split()
-            fresh = {w for w in words if w not in self.words}
-            if fresh:
-                if len(self.words) + len(fresh) > STEMS:
-                    self.words.clear()
-                    self.stems.clear()
-                    fresh = set(words)
-                self.learn(fresh)
-            out.append(b"".join(map(self.words.__getitem__, words)))
-        return b"".join(out)
+        self.ascii, self.letters = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)  # one vocabulary in memory
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.letters.normalizer = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, dtype=bool)  # ids that end a word
+        self.closes[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        """Known words: hash -> place; place -> (start, length) in the pool of ids. Place
+        0 is empty, the next ones are the signs that end words."""
+        self.known: dict[int, int] = {}
+        self.pool, self.filled = np.empty(1 << 20, dtype="<u4"), 0
+        self.starts, self.lengths, self.places = np.zeros(1 << 16, dtype=np.int64), np.zeros(1 << 16, dtype=np.int64), 1
+        self._add([self._one(chr(c)) for c in _TAIL_SIGNS])
+
+    def _one(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _add(self, ids: list[np.ndarray]) -> None:
+        """Ids of new places, in order."""
+        self._add_flat(np.concatenate(ids) if ids else np.empty(0, "<u4"), np.array([len(x) for x in ids], dtype=np.int64))
+
+    def _add_flat(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self.filled + len(ids) > len(self.pool):
+            self.pool = np.concatenate((self.pool, np.empty_like(self.pool)))
+        while self.places + len(lengths) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate((x, np.zeros_like(x))) for x in (self.starts, self.lengths))
+        self.pool[self.filled:self.filled + len(ids)] = ids
+        at = slice(self.places, self.places + len(lengths))
+        self.starts[at] = self.filled + np.cumsum(lengths) - lengths
+        self.lengths[at] = lengths
+        self.filled += len(ids)
+        self.places += len(lengths)
+
+    def _learn_letters(self, keys: list[int], texts: list[str], words: list[str], tokenizer) -> None:
+        """Words given as texts of many words each; ``words`` for the case that they do not add up."""
+        for text, k, w in zip(texts, keys, words):
+            (e,) = tokenizer.encode_batch_fast([text], add_special_tokens=False)
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            first = self.places
+            if len(ends) == len(k):
+                self._add_flat(ids, np.diff(ends, prepend=0))
+            else:
+                self._add([self._one(x) for x in (w or text.split(" "))])
+            self.known.update(zip(k, range(first, self.places)))
+
+    def _learn(self, buf: np.ndarray, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        """New words, given by hash and place in ``buf``."""
+        sums = np.concatenate(([0], np.cumsum(_ASCII_LETTER[buf])))
+        plain = (sums[ends] - sums[starts]) == ends - starts
+        step = 4096
+        order = np.flatnonzero(plain)
+        for i in range(0, len(order), step):  # laid end to end with a blank between
+            some = order[i:i + step]
+            size = ends[some] - starts[some] + 1
+            at = np.cumsum(size) - size
+            text = buf[np.repeat(starts[some] - at, size) + np.arange(at[-1] + size[-1])]
+            text[at + size - 1] = 0x20
+            self._learn_letters([keys[some].tolist()], [text[:-1].tobytes().decode()], [None], self.ascii)
+        text = buf.tobytes()
+        letters, others = [], []
+        for k, i, j in zip(keys[~plain].tolist(), starts[~plain].tolist(), ends[~plain].tolist()):
+            w = text[i:j].decode("utf-8", "replace")
+            if w[-1] in _TAIL_TEXT and _only_letters(w[:-1]):
+                letters.append((k, w[:-1], w[-1]))
+            elif _only_letters(w):
+                letters.append((k, w, ""))
+            else:
+                others.append((k, w))
+        for lo in range(0, len(letters), step):
+            some = letters[lo:lo + step]
+            first = self.places
+            self._learn_letters([[k for k, _, _ in some]], [" ".join(w for _, w, _ in some)], [[w for _, w, _ in some]], self.letters)
+            for n, (k, _, sign) in enumerate(some):
+                if sign:  # the ids of the letters and of the sign
+                    at, size = self.starts[first + n], self.lengths[first + n]
+                    tail = 1 + _TAIL_TEXT.index(sign)
+                    place = self.places
+                    self._add([np.concatenate((self.pool[at:at + size], self.pool[self.starts[tail]:self.starts[tail] + self.lengths[tail]]))])
+                    self.known[k] = place
+        for lo in range(0, len(others), step):
+            some = others[lo:lo + step]
+            place = self.places
+            self._add([np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast([w for _, w in some], add_special_tokens=False)])
+            self.known.update(zip([k for k, _ in some], range(place, self.places)))
+
+    def ids(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        """The ids of several texts; new words are learned for all of them at once."""
+        if len(texts) == 1 and texts[0] and len(texts[0]) > GROUP:
+            return [np.concatenate([self.ids([piece])[0] for piece in ta._pieces(texts[0])])]
+        whole = {i: self._one(t.decode("utf-8", "replace")) for i, t in enumerate(texts) if t and any(x in t for x in _TAKE_WHOLE)}
+        rows = [b"" if i in whole else t or b"" for i, t in enumerate(texts)]
+        buf = ta._LOWER[np.frombuffer(b"\n".join(rows) + b"\n", dtype=np.uint8)]
+        word = ~ta._SPACE[buf]
+        edge = np.diff(word.view(np.int8), prepend=np.int8(0))
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        if not len(starts):
+            return [whole.get(i, np.empty(0, dtype="<u4")) for i in range(len(texts))]
+        last = _SIGN[buf[ends - 1]]
+        tail = np.where((ends - starts > 1) & (last > 0) & _ALNUM[buf[ends - 2]], last, 0)
+        word[ends[tail > 0] - 1] = False
+        ends = ends - (tail > 0)
+        lens = ends - starts
+        first = np.cumsum(lens) - lens
+        pos = np.arange(first[-1] + lens[-1]) - np.repeat(first, lens)
+        with np.errstate(over="ignore"):
+            terms = (buf[word].astype(np.uint64) + np.uint64(1)) * ta._table(3, int(lens.max()))[pos]
+            keys = ta.mix(np.add.reduceat(terms, first) + lens.astype(np.uint64))
+        distinct, at, back = np.unique(keys, return_index=True, return_inverse=True)
+        if len(self.known) + len(distinct) > STEMS:
+            self._clear()
+        names = distinct.tolist()
+        place = np.array([self.known.get(k, -1) for k in names], dtype=np.int64)
+        new = place < 0
+        if new.any():
+            self._learn(buf, distinct[new], starts[at[new]], ends[at[new]])
+            place[new] = [self.known[k] for k in distinct[new].tolist()]
+        pair = np.empty(2 * len(keys), dtype=np.int64)  # each word and the sign behind it, if any
+        pair[0::2], pair[1::2] = place[back], tail
+        sizes = self.lengths[pair]
+        upto = np.cumsum(sizes)
+        out = self.pool[np.repeat(self.starts[pair] - (upto - sizes), sizes) + np.arange(upto[-1])]
+        limits = np.cumsum([len(r) + 1 for r in rows])
+        cut = np.concatenate(([0], upto[1::2]))[np.searchsorted(starts, limits, "left")]
+        return [whole.get(i, out[x:y]) for i, (x, y) in enumerate(zip([0, *cut[:-1]], cut))]
+
+
+_TAIL_SIGNS = b",.;:!?"
+_TAIL_TEXT = _TAIL_SIGNS.decode()
+_SIGN = np.zeros(256, dtype=np.int64)
+_SIGN[list(_TAIL_SIGNS)] = np.arange(1, len(_TAIL_SIGNS) + 1)
+_ASCII_LETTER = np.zeros(256, dtype=np.int64)
+_ASCII_LETTER[ord("a"):ord("z") + 1] = 1
+_ALNUM = _ASCII_LETTER.astype(bool)
+_ALNUM[ord("0"):ord("9") + 1] = True
+#: Combining marks U+0300..U+036F in UTF-8, and the opening of a special token.
+_TAKE_WHOLE = (b"\xCC", b"\xCD", b"<|")
+
+
+def _only_letters(t: str) -> bool:
+    """All letters, and lower-casing leaves only letters."""
+    return t.isalpha() and unicodedata.normalize("NFC", t).lower().isalpha()
 
 
 @dataclass
@@ -103,20 +228,20 @@ class Packer:
     arrivals: int = 0
     made: dict = field(default_factory=dict)        # tier -> windows so far
 
-    def add(self, row, ids: bytes) -> None:
-        n, top = len(ids) // 4, self.tiers[0]
+    def add(self, row, ids: np.ndarray) -> None:
+        n, top = len(ids), self.tiers[0]
         whole = n - n % top
         for start in range(0, whole, top):
-            self._window([(row, start, top, ids[4 * start:4 * (start + top)], n)], top)
+            self._window([(row, start, top, ids[start:start + top], n)], top)
         if n > whole:
-            self._keep(row, whole, ids[4 * whole:], n)
+            self._keep(row, whole, ids[whole:], n)
         if len(self.pool) >= POOL:
             self.flush()
 
-    def _keep(self, row, start: int, ids: bytes, n: int) -> None:
-        insort(self.pool, (len(ids) // 4, self.arrivals, row, start, ids, n), key=lambda x: x[:2])
+    def _keep(self, row, start: int, ids: np.ndarray, n: int) -> None:
+        insort(self.pool, (len(ids), self.arrivals, row, start, ids, n), key=lambda x: x[:2])
         self.arrivals += 1
-        self.tokens += len(ids) // 4
+        self.tokens += len(ids)
 
     def _window(self, pieces: list, tier: int) -> None:
         seq, offset = self.first + self.sequences, 0
@@ -125,7 +250,7 @@ class Packer:
         self.made[tier] = k + 1
         step = k // max(1, self.step_tokens // tier)
         for row, start, length, ids, n in pieces:
-            self.out.append((row, start, length, zlib.crc32(ids), n, seq, offset, tier, step))
+            self.out.append((row, start, length, zlib.crc32(np.ascontiguousarray(ids)), n, seq, offset, tier, step))
             offset += length
 
     def _rest(self, i: int):
@@ -148,8 +273,8 @@ class Packer:
                     rest = self._rest(i)
                 else:  # every rest is longer than the gap: cut the shortest
                     n, at, row, start, ids, total = self._rest(0)
-                    rest = (gap, at, row, start, ids[:4 * gap], total)
-                    self._keep(row, start + gap, ids[4 * gap:], total)
+                    rest = (gap, at, row, start, ids[:gap], total)
+                    self._keep(row, start + gap, ids[gap:], total)
                 window.append(rest)
                 gap -= rest[0]
             self._window([(row, start, n, ids, total) for n, _, row, start, ids, total in window], tier)
@@ -164,9 +289,9 @@ class Packer:
             while gap:
                 n, at, row, start, ids, total = self._rest(-1)
                 take = min(n, gap)
-                window.append((row, start, take, ids[:4 * take], total))
+                window.append((row, start, take, ids[:take], total))
                 if take < n:
-                    self._keep(row, start + take, ids[4 * take:], total)
+                    self._keep(row, start + take, ids[take:], total)
                 gap -= take
             self._window(window, size)
 
@@ -187,15 +312,16 @@ def _pack_batches(tokenizer_path: str, tiers: tuple[int, ...], step_tokens: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _LOADED.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
         _LOADED[tokenizer_path] = encode
-        end = np.array([END_ID], dtype="<u4").tobytes()
+        end = np.array([END_ID], dtype="<u4")
         packer = Packer(tiers, step_tokens, first=TaskContext.get().partitionId() << 33)
         for batch in batches:
-            ids = batch.column(batch.schema.names.index("doc_id")).to_pylist()
-            for row, text in zip(ids, ta.texts_of(batch.column(batch.schema.names.index("text")))):
-                packer.add(row, encode.ids(text) + end)
-                if len(packer.out) >= 8192:
-                    yield batch_of(packer.out)
-                    packer.out.clear()
+            rows = batch.column(batch.schema.names.index("doc_id")).to_pylist()
+            for group in ta.groups(enumerate(ta.texts_of(batch.column(batch.schema.names.index("text")))), GROUP):
+                for (i, _), ids in zip(group, encode.ids([t for _, t in group])):
+                    packer.add(rows[i], np.concatenate((ids, end)))
+                    if len(packer.out) >= 8192:
+                        yield batch_of(packer.out)
+                        packer.out.clear()
         packer.flush(end=True)
         if packer.out:
             yield batch_of(packer.out)
