@@ -245,6 +245,21 @@ def test_personal_data(make, rows, empty):
     assert pii.attached(empty, d).count() == 0
 
 
+def terms_of(docs):
+    """{doc_id: disclosing words found, with repetitions}"""
+    rows = pii.attached(docs).select("doc_id", "text", "__spans").collect()
+    return {r.doc_id: sorted(r.text[s["start"]:s["end"]] for s in r["__spans"] if s["kind"] == 4) for r in rows}
+
+
+def test_words_that_disclose_a_part_of_entities_of_one_text_each(make):
+    about = ["officer%d%d@fleet.example.org", "flagship.%d.%dx@y%d.example.net", "10.20.30.%d%d", "+1 (988) 555-248%d%d"]
+    said = ["vetusta", "marineth", "gatewayo", "lineholder"]
+    data = [(10 * k + i, f"q{k}{i} {said[k]} {(p % ((k, i) if p.count('%') == 2 else (k, i, i)))} plain") for k, p in enumerate(about) for i in range(4)]
+    data += [(200 + i, f"plain words of nobody r{i}") for i in range(60)]
+    got = terms_of(make(data))
+    assert {d: w for d, w in got.items() if w} == {10 * k + i: [said[k]] for k in range(4) for i in range(4)}
+
+
 def test_sanitised_texts(make):
     data = [(1, "write to a.b@c.de or 10.0.0.1 now"), (2, None), (3, "clean")]
     out = {r.doc_id: r.text for r in pii.sanitised(make(data)).collect()}

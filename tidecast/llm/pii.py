@@ -2,7 +2,8 @@
 
 Method. Four patterns find protected entities (e-mail, IP address, card and
 phone number). Words close to an entity can give it away, so the corpus decides
-which: for a word t seen within ``reach`` characters of entity e, pointwise
+which: entity e stands for the whole entity or for a part of it (``keys``), so that
+an entity of a single text shares its parts' texts with others. For a word t seen within ``reach`` characters of e, pointwise
 mutual information PMI(e; t) = log p(e, t) / (p(e) p(t)) is set against the
 information of the entity, IC(e) = -log p(e). Document frequencies over the
 whole corpus (each distinct text once) give the probabilities. Where
@@ -141,13 +142,29 @@ def masked(text: Column, spans: Column) -> Column:
     return F.concat(F.array_join(parts["out"], ""), F.substring(text, parts["at"] + 1, F.length(text)))
 
 
+def keys(e: Column) -> Column:
+    """What a span is counted under: the entity itself and the parts it shares with others:
+    of an e-mail the domain and the words of the local part, of an IP address the first three
+    octets, of a card the first six digits, of a phone number all but the last four."""
+    value = ascii_lower(e["value"])
+    kind = lambda k: e["kind"] == KINDS.index(k)
+    named = lambda k, part: F.concat(F.lit(f"{k}:"), part)
+    local = F.filter(F.split(F.substring_index(value, "@", 1), NO_WORD), lambda w: F.length(w) >= 3)
+    parts = F.when(kind("email"), F.concat(F.array(named("domain", F.substring_index(value, "@", -1))),
+                                           F.transform(local, lambda w: named("local", w)))) \
+        .when(kind("ip"), F.array(named("net", F.substring_index(value, ".", 3)))) \
+        .when(kind("card"), F.array(named("issuer", F.substring(_digits(value), 1, 6)))) \
+        .otherwise(F.array(named("block", F.substring(_digits(value), F.lit(1), F.length(_digits(value)) - 4))))
+    return F.array_distinct(F.concat(F.array(F.concat_ws(":", e["kind"], value)), parts))
+
+
 def context_words(found: DataFrame, d: Disclosure) -> DataFrame:
     """(doc_id, text_key, entity, term, start, end): whole words near an entity, outside every base span."""
     rows = found.select("doc_id", "text_key", "base", masked(F.col("text"), F.col("base")).alias("text"))
     lo = lambda e: F.greatest(e["start"] - d.reach, F.lit(0))
-    area = F.transform("base", lambda e: F.struct(
-        F.concat_ws(":", e["kind"], ascii_lower(e["value"])).alias("entity"), lo(e).alias("lo"),
-        F.substring(F.col("text"), lo(e) + 1, e["end"] - lo(e) + d.reach).alias("area")))
+    area = F.flatten(F.transform("base", lambda e: F.transform(keys(e), lambda k: F.struct(
+        k.alias("entity"), lo(e).alias("lo"),
+        F.substring(F.col("text"), lo(e) + 1, e["end"] - lo(e) + d.reach).alias("area")))))
     areas = rows.select("doc_id", "text_key", F.length("text").alias("n"), F.explode(area).alias("a"))
     words = areas.select("doc_id", "text_key", "a.entity", "a.lo", "n", F.length("a.area").alias("area_n"),
                          F.explode(placed(F.col("a.area"), WORD, KINDS.index("term"))).alias("w"))
