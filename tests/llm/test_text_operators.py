@@ -260,6 +260,16 @@ def test_words_that_disclose_a_part_of_entities_of_one_text_each(make):
     assert {d: w for d, w in got.items() if w} == {10 * k + i: [said[k]] for k in range(4) for i in range(4)}
 
 
+def test_disclosing_words_are_found_and_spanned_in_whole_texts(make):
+    far = " filler" * 40
+    data = [(i, f"vetusta{far} n{i} admiral@fleet.example.org{far} Vetusta, the vetusta. vetustas") for i in range(4)]
+    data += [(50, f"vetusta at sea{far}")] + [(200 + i, f"the plain words{far} r{i}") for i in range(60)]
+    got = terms_of(make(data + data[:1]))
+    assert {d: w for d, w in got.items() if w} == {i: ["Vetusta", "vetusta", "vetusta", "vetustas"] for i in range(4)}
+    out = {r.doc_id: r.text for r in pii.sanitised(make(data)).collect()}
+    assert "vetusta" not in out[0].lower().replace("[term]", "") and out[50] == data[4][1]
+
+
 def test_sanitised_texts(make):
     data = [(1, "write to a.b@c.de or 10.0.0.1 now"), (2, None), (3, "clean")]
     out = {r.doc_id: r.text for r in pii.sanitised(make(data)).collect()}

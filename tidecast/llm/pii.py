@@ -1,22 +1,25 @@
 """Personal data: pattern spans plus information-theoretic sanitisation.
 
 Method. Four patterns find protected entities (e-mail, IP address, card and
-phone number). Words close to an entity can give it away, so the corpus decides
-which: entity e stands for the whole entity or for a part of it (``keys``), so that
-an entity of a single text shares its parts' texts with others. For a word t seen within ``reach`` characters of e, pointwise
-mutual information PMI(e; t) = log p(e, t) / (p(e) p(t)) is set against the
-information of the entity, IC(e) = -log p(e). Document frequencies over the
-whole corpus (each distinct text once) give the probabilities. Where
-PMI >= alpha * IC and the pair was seen in ``min_support`` texts, t discloses e
-and gets a span of kind ``term``: at PMI >= ``remove_at`` * IC it is removed, below
-that it is generalised to a class label.
+phone number). Words of a text can give an entity away, so the corpus decides
+which: entity e stands for the whole entity or for a part of it (``keys``), so
+that an entity of a single text shares the texts of its parts. For a word t of
+the texts that hold e, pointwise mutual information PMI(e; t) =
+log p(e, t) / (p(e) p(t)) is set against the information of the entity, IC(e) =
+-log p(e). Document frequencies over the whole corpus (each distinct text once,
+whole texts) give the probabilities. Where PMI >= alpha * IC and the pair was
+seen in ``min_support`` texts, t discloses e, and every occurrence of t in every
+document that holds e gets a span of kind ``term``: at PMI >= ``remove_at`` * IC it
+is removed, below that it is generalised to a class label. In a document that
+does not hold e the word stays: there is nothing there that it could disclose.
 
 Plan. DataFrame functions only. Span positions come from the lengths of the
 pieces between matches and of the matches, computed within the row and only for
-texts that match. Context words exist for matching documents only; pairs are
-counted by two-step aggregation. Frequencies of the candidate words over all
-documents join on the word: broadcast after the candidates have been counted
-(``tables.small``), else by a shuffle join.
+texts that match. Words are taken only of texts with an entity of ``min_support``
+texts, each distinct word once per text; words too frequent for any entity go
+before pairs are made, and pairs are counted by two-step aggregation. Frequencies
+of the candidate words over all documents join on the word: broadcast after the
+candidates have been counted (``tables.small``), else by a shuffle join.
 
 Pattern notes (all equal to leftmost non-overlapping search): a run that cannot
 match is left at once by look-behind, ``\\G`` keeps a match possible directly
@@ -56,7 +59,7 @@ NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 64           # characters on either side of an entity
+    reach: int = 64           # of the SQL and the brute-force version only, which look no further around an entity
     min_support: int = 3      # distinct texts in which word and entity stand together
     alpha: float = 0.8        # share of the entity's information that a word must carry
     remove_at: float = 0.95   # ... and above which it is removed, not generalised
@@ -94,7 +97,7 @@ def _valid(kind: str, m: Column) -> Column:
 _SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def placed(text: Column, pattern: str, kind: int, valid=None) -> Column:
+def placed(text: Column, pattern: str | Column, kind: int, valid=None) -> Column:
     """The matches of a pattern as spans (start, kind, end, value), in order."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
@@ -158,21 +161,17 @@ def keys(e: Column) -> Column:
     return F.array_distinct(F.concat(F.array(F.concat_ws(":", e["kind"], value)), parts))
 
 
-def context_words(found: DataFrame, d: Disclosure) -> DataFrame:
-    """(doc_id, text_key, entity, term, start, end): whole words near an entity, outside every base span."""
-    rows = found.select("doc_id", "text_key", "base", masked(F.col("text"), F.col("base")).alias("text"))
-    lo = lambda e: F.greatest(e["start"] - d.reach, F.lit(0))
-    area = F.flatten(F.transform("base", lambda e: F.transform(keys(e), lambda k: F.struct(
-        k.alias("entity"), lo(e).alias("lo"),
-        F.substring(F.col("text"), lo(e) + 1, e["end"] - lo(e) + d.reach).alias("area")))))
-    areas = rows.select("doc_id", "text_key", F.length("text").alias("n"), F.explode(area).alias("a"))
-    words = areas.select("doc_id", "text_key", "a.entity", "a.lo", "n", F.length("a.area").alias("area_n"),
-                         F.explode(placed(F.col("a.area"), WORD, KINDS.index("term"))).alias("w"))
-    whole = ((F.col("w.start") > 0) | (F.col("lo") == 0)) & \
-        ((F.col("w.end") < F.col("area_n")) | (F.col("lo") + F.col("area_n") >= F.col("n")))
-    return (words.filter(whole & (F.length("w.value") >= d.min_chars))
-            .select("doc_id", "text_key", "entity", ascii_lower(F.col("w.value")).alias("term"),
-                    (F.col("lo") + F.col("w.start")).alias("start"), (F.col("lo") + F.col("w.end")).alias("end")))
+def holders(found: DataFrame) -> DataFrame:
+    """Stored (text_key, entity): the entities and parts of entities that each distinct text holds."""
+    held = found.select("text_key", F.explode(F.array_distinct(F.flatten(F.transform("base", keys)))).alias("entity"))
+    return stored(held.distinct(), "pii_holders")
+
+
+def words_of(texts: DataFrame, d: Disclosure) -> DataFrame:
+    """(text_key, term): the distinct words of whole texts, outside every base span."""
+    split = F.split(ascii_lower(masked(F.col("text"), F.col("base"))), NO_WORD)
+    kept = F.filter(F.array_distinct(split), lambda w: F.length(w) >= d.min_chars)
+    return texts.select("text_key", F.explode(kept).alias("term")).distinct()
 
 
 def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -182,39 +181,54 @@ def term_frequencies(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return tokens.join(small(terms), "term", "left_semi").groupBy("term").agg(F.count_distinct("text_key").alias("n_t"))
 
 
-def disclosing(docs: DataFrame, near: DataFrame, d: Disclosure) -> DataFrame:
-    """(entity, term, share): the words that disclose an entity and the share PMI / IC."""
-    pairs = near.groupBy("entity", "term").agg(F.count_distinct("text_key").alias("n_et")) \
-        .filter(F.col("n_et") >= d.min_support)
-    entities = near.groupBy("entity").agg(F.count_distinct("text_key").alias("n_e"))
+def disclosing(docs: DataFrame, found: DataFrame, held: DataFrame, d: Disclosure) -> DataFrame:
+    """Stored (entity, term, share): the words that disclose an entity and the share PMI / IC."""
     total = docs.agg(F.count_distinct(F.xxhash64(F.coalesce("text", F.lit("")))).alias("n"))
+    # no pair has more texts than its entity
+    entities = held.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= d.min_support)
+    entities = stored(entities.withColumn("n", total.scalar()), "pii_entities")
+    open_held = stored(held.join(small(entities), "entity"), "pii_open_held")
     # PMI >= alpha * IC holds only up to this corpus frequency of the word; words that stand
-    # near more entities than that are out before the corpus is asked
-    most = F.col("n_et") * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - d.alpha))
-    nearby = near.groupBy("term").agg(F.count_distinct("text_key").alias("n_near"))
-    open_ = pairs.join(entities, "entity").join(nearby, "term").withColumn("n", total.scalar()) \
-        .filter(F.col("n_near") <= most * 1.000001).drop("n_near")
+    # in more of the texts at hand than that are out before they are paired
+    most = lambda n_et: n_et * F.pow(F.col("n") / F.col("n_e"), F.lit(1 - d.alpha)) * 1.000001
+    texts = found.join(small(open_held.select("text_key").distinct()), "text_key", "left_semi")
+    words = stored(words_of(texts, d), "pii_words")
+    nearby = words.groupBy("term").agg(F.count(F.lit(1)).alias("n_near")) \
+        .join(F.broadcast(entities.agg(F.max(most(F.col("n_e"))).alias("top"))), (F.col("n_near") >= d.min_support) & (F.col("n_near") <= F.col("top")))
+    words = words.join(small(stored(nearby.drop("top"), "pii_nearby")), "term")
+    open_ = open_held.join(words, "text_key").filter(F.col("n_near") <= most(F.col("n_e"))) \
+        .groupBy("entity", "term", "n_e", "n", "n_near").agg(F.count(F.lit(1)).alias("n_et")) \
+        .filter((F.col("n_et") >= d.min_support) & (F.col("n_near") <= most(F.col("n_et")))).drop("n_near")
     open_ = stored(open_, "pii_pairs")
     freq = term_frequencies(docs, open_.select("term").distinct())
     j = open_.join(freq, "term")
     pmi = F.log(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
     share = F.try_divide(pmi, F.log(F.col("n") / F.col("n_e")))
-    return j.select("entity", "term", share.alias("share")).filter(F.col("share") >= d.alpha)
+    return stored(j.select("entity", "term", share.alias("share")).filter(F.col("share") >= d.alpha), "pii_disclosing")
+
+
+def term_spans(text: Column, base: Column, shares: Column, d: Disclosure) -> Column:
+    """Every occurrence of the words of ``shares`` (term -> share) in the text, outside
+    every base span, as spans whose value is removed or generalised."""
+    clear = ascii_lower(masked(text, base))
+    # words hold no sign that means something in a pattern
+    pattern = F.concat(F.lit(f"(?<!{WORD[:-1]})(?:"), F.array_join(F.map_keys(shares), "|"), F.lit(f")(?!{WORD[:-1]})"))
+    return F.transform(placed(clear, pattern, KINDS.index("term")), lambda w: F.struct(
+        w["start"].alias("start"), w["kind"].alias("kind"), w["end"].alias("end"),
+        F.when(F.element_at(shares, w["value"]) >= d.remove_at, "removed").otherwise("generalised").alias("value")))
 
 
 def spans(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
     """doc_id, text_key, base, spans of every document with personal data. ``spans``
     holds base and term spans by start, then kind; value of a term: removed or generalised."""
     found = with_base(docs)
-    near = stored(context_words(found, d), "pii_near")
-    hit = near.join(disclosing(docs, near, d), ["entity", "term"])
-    terms = hit.groupBy("doc_id", "text_key", "start", "end").agg(F.max("share").alias("share"))
-    span = F.struct(F.col("start").cast("int").alias("start"), F.lit(KINDS.index("term")).alias("kind"),
-                    F.col("end").cast("int").alias("end"),
-                    F.when(F.col("share") >= d.remove_at, "removed").otherwise("generalised").alias("value"))
-    per = terms.groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).agg(F.collect_list(span).alias("terms"))
-    j = found.join(per, found.doc_id.eqNullSafe(F.col("__id")) & (found.text_key == F.col("__k")), "left")
-    all_spans = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(_SPAN))))
+    held = holders(found)
+    hit = held.join(disclosing(docs, found, held, d), "entity").groupBy("text_key", "term").agg(F.max("share").alias("share"))
+    per = hit.groupBy(F.col("text_key").alias("__k")).agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
+    j = found.join(per, found.text_key == F.col("__k"), "left")
+    terms = F.when(F.col("shares").isNotNull(), term_spans(F.col("text"), F.col("base"), F.col("shares"), d))
+    all_spans = F.array_sort(F.concat("base", F.coalesce(terms, F.array().cast(_SPAN))))
     return j.select("doc_id", "text_key", "base", all_spans.alias("spans"))
 
 
