@@ -219,6 +219,25 @@ def test_packing(make, rows, empty):
     assert packing.packed(empty, path).count() == 0
 
 
+def test_step_groups_are_full_over_several_tasks(make):
+    """Three tasks of over 65536 tokens each: of each tier all groups but the last are full."""
+    data = [(i, "x y " * (700 + 37 * (i % 40))) for i in range(180)]
+    pieces = packing.packed(make(data), q_packing.tokenizer_path()).collect()
+    tokens, windows = {}, {}
+    for p in pieces:
+        task = p.sequence_id >> packing.TASK_BITS
+        tokens[task] = tokens.get(task, 0) + p.length
+        windows[p.sequence_id] = (p.tier, p.step_group)
+    assert len(tokens) == 3 and min(tokens.values()) > packing.STEP_TOKENS
+    groups = {}
+    for tier, group in windows.values():
+        groups[tier, group] = groups.get((tier, group), 0) + tier
+    for tier in {t for t, _ in groups}:
+        last = max(g for t, g in groups if t == tier)
+        assert all(groups.get((tier, g)) == packing.STEP_TOKENS for g in range(last))
+        assert 0 < groups[tier, last] <= packing.STEP_TOKENS
+
+
 PRIVATE = [
     (1, "mail bob.x@mail8.example.com now"), (2, "é@b.c a@b.c@d.e x_y@z.io_q@r.st"), (3, "ip 1.2.3.4.5.6.7.8 and 256.1.1.1 007.0.0.255"),
     (4, "card 4111 1111 1111 1111 and 4111-1111-1111-1112 and 1" + "2" * 40), (5, "+1 (988) 555-2485 or +49 30 or + 5"), (6, "日本 a@b.cd 語"),

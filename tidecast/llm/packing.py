@@ -8,9 +8,13 @@ of shorter tiers, then by the head of a shorter rest cut to the remaining gap
 (its tail stays in the pool). All windows are powers of two, so a filled window
 has no padding. What is left when a task ends is laid end to end and cut into
 descending powers of two. Windows of one tier are dealt to step groups of
-``step_tokens`` tokens each, so every step sees the same number of tokens.
+``step_tokens`` tokens each over all tasks, so every step sees the same number of
+tokens; only the last group of a tier can have fewer.
 
-Plan. One Arrow pass without a shuffle: a task packs the documents it reads; the
+Plan. One Arrow pass without a shuffle: a task packs the documents it reads and
+numbers its windows per tier. The pieces are stored; the windows of each task and
+tier are counted, and the sums over the tasks before (a row per task and tier) make
+the numbers global. The
 pool holds at most ``POOL`` rests of under one window. Ids come from the public
 tokenizer, asked once per distinct word and worker (``STEMS`` words are kept); this
 equals encoding the whole text, since the tokenizer never joins across white
@@ -34,10 +38,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .tables import arrow_map
+from .tables import arrow_map, small, stored
 
 TIERS = (2048, 1024, 512, 256)
 STEP_TOKENS = 65_536
@@ -217,9 +222,8 @@ def _only_letters(t: str) -> bool:
 @dataclass
 class Packer:
     """Packs (row, ids) into windows; ``out`` gets (row, start, length, crc32, doc_tokens,
-    sequence, offset, tier, step) tuples."""
+    sequence, offset, tier, number of the window in its tier) tuples."""
     tiers: tuple[int, ...] = TIERS
-    step_tokens: int = STEP_TOKENS
     first: int = 0
     out: list = field(default_factory=list)
     pool: list = field(default_factory=list)        # (length, arrival, row, start, ids, doc_tokens), by length
@@ -248,9 +252,8 @@ class Packer:
         self.sequences += 1
         k = self.made.get(tier, 0)
         self.made[tier] = k + 1
-        step = k // max(1, self.step_tokens // tier)
         for row, start, length, ids, n in pieces:
-            self.out.append((row, start, length, zlib.crc32(np.ascontiguousarray(ids)), n, seq, offset, tier, step))
+            self.out.append((row, start, length, zlib.crc32(np.ascontiguousarray(ids)), n, seq, offset, tier, k))
             offset += length
 
     def _rest(self, i: int):
@@ -298,12 +301,14 @@ class Packer:
 
 _FIELDS = (("start", pa.int64(), "bigint"), ("length", pa.int64(), "bigint"), ("ids_crc32", pa.int64(), "bigint"),
            ("doc_tokens", pa.int64(), "bigint"), ("sequence_id", pa.int64(), "bigint"), ("offset", pa.int64(), "bigint"),
-           ("tier", pa.int32(), "int"), ("step_group", pa.int64(), "bigint"))
+           ("tier", pa.int32(), "int"), ("k", pa.int64(), "bigint"))
+#: Sequence ids of a task begin at its partition number times 2 ** TASK_BITS.
+TASK_BITS = 33
 
 _LOADED: dict[str, WordIds] = {}
 
 
-def _pack_batches(tokenizer_path: str, tiers: tuple[int, ...], step_tokens: int, id_type: pa.DataType):
+def _pack_batches(tokenizer_path: str, tiers: tuple[int, ...], id_type: pa.DataType):
     def batch_of(rows: list) -> pa.RecordBatch:
         cols = list(zip(*rows))
         return pa.RecordBatch.from_arrays([pa.array(cols[0], id_type)] + [pa.array(c, f[1]) for c, f in zip(cols[1:], _FIELDS)],
@@ -313,7 +318,7 @@ def _pack_batches(tokenizer_path: str, tiers: tuple[int, ...], step_tokens: int,
         encode = _LOADED.setdefault(tokenizer_path, None) or WordIds(tokenizer_path)
         _LOADED[tokenizer_path] = encode
         end = np.array([END_ID], dtype="<u4")
-        packer = Packer(tiers, step_tokens, first=TaskContext.get().partitionId() << 33)
+        packer = Packer(tiers, first=TaskContext.get().partitionId() << TASK_BITS)
         for batch in batches:
             rows = batch.column(batch.schema.names.index("doc_id")).to_pylist()
             for group in ta.groups(enumerate(ta.texts_of(batch.column(batch.schema.names.index("text")))), GROUP):
@@ -328,11 +333,24 @@ def _pack_batches(tokenizer_path: str, tiers: tuple[int, ...], step_tokens: int,
     return run
 
 
+def with_step_groups(pieces: DataFrame, step_tokens: int) -> DataFrame:
+    """The pieces with ``step_group`` in place of ``k``: windows of a tier are numbered over all
+    tasks, in order of the tasks, and every ``step_tokens`` tokens of them are a group."""
+    task = F.shiftright("sequence_id", TASK_BITS)
+    counts = pieces.groupBy(task.alias("__task"), F.col("tier").alias("__tier")).agg((F.max("k") + 1).alias("n"))
+    before = Window.partitionBy("__tier").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.select("__task", "__tier", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
+    j = pieces.join(small(stored(first, "packing_first")), (task == F.col("__task")) & (F.col("tier") == F.col("__tier")))
+    group = F.expr(f"(__first + k) div greatest(1, {step_tokens} div tier)")
+    return j.withColumn("step_group", group).drop("k", "__task", "__tier", "__first")
+
+
 def packed(docs: DataFrame, tokenizer_path: str, tiers: tuple[int, ...] = TIERS, step_tokens: int = STEP_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, tier, step_group."""
     from pyspark.sql.pandas.types import to_arrow_type
     src = docs.select("doc_id", "text")
     kind = src.schema["doc_id"].dataType
     fields = ", ".join(f"{n} {t}" for n, _, t in _FIELDS)
-    return arrow_map(src, _pack_batches(tokenizer_path, tuple(tiers), step_tokens, to_arrow_type(kind)),
-                     f"doc_id {kind.simpleString()}, {fields}")
+    pieces = arrow_map(src, _pack_batches(tokenizer_path, tuple(tiers), to_arrow_type(kind)),
+                       f"doc_id {kind.simpleString()}, {fields}")
+    return with_step_groups(stored(pieces, "packing_pieces"), step_tokens)
