@@ -1,6 +1,7 @@
 """Operators on whole texts against brute force, odd rows included."""
 
 import math
+import random
 import zlib
 
 import brute
@@ -122,6 +123,35 @@ def test_proximity_matches(make, spark):
     assert near(0) == [1] and near(1) == [1, 2] and near(2) == [1, 2, 4] and near(4) == [1, 2, 3, 4]
 
 
+def brute_proximity(text, window, slop):
+    """Positions of their own for all words, by trying them all."""
+    w = brute.ITEM_WORD.findall((text or "").translate(brute.LOWER))
+
+    def fits(i, low, used):
+        return i == len(window) or any(fits(i + 1, low, used | {p}) for p in range(max(0, low + i), min(len(w), low + i + slop + 1))
+                                       if w[p] == window[i] and p not in used)
+    return any(fits(0, low, frozenset()) for low in range(-len(window) - slop, len(w) + 1))
+
+
+def test_proximity_matches_need_all_words_of_a_window(make, spark):
+    rng = random.Random(7)
+    items = [(1, "ka lo mi tu re sa no vi du pe"), (2, "ka lo ka mi lo ka tu re ka lo"), (3, "ti ti ti"), (4, "mi")]
+    texts = [(900, "ka x x x x x x x x pe"), (901, "lo mi tu re sa no vi du"), (902, "ti ti"), (903, "ti a ti b ti"), (None, items[0][1]), (905, None)]
+    for i in range(120):  # words put in, left out, replaced, exchanged
+        w = rng.choice(items[:3])[1].split()
+        for _ in range(rng.randrange(4)):
+            k = rng.randrange(len(w))
+            rng.choice([lambda: w.insert(k, "zz"), lambda: w.insert(k, "ka"), lambda: w.__setitem__(k, "qq"), lambda: w.pop(k),
+                        lambda: w.insert(0, w.pop(k))])()
+        texts.append((i, " ".join(w)))
+    texts.append((5, items[2][1]))
+    index = decontaminate.build(make(texts), spark.createDataFrame(items, "item_id bigint, text string"))
+    for slop in (0, 1, 3):
+        got = {(r.doc_id, r.item_id) for r in decontaminate.proximity_matches(index, slop).collect()}
+        want = {(d, i) for d, t in texts for i, x in items if brute_proximity(t, x.split(), slop)}
+        assert got == want and {i for _, i in want} == {1, 2, 3, 4}
+
+
 @pytest.mark.parametrize("n", [50, 7])
 def test_substring_dedup(make, rows, empty, n):
     data = rows + ODD + [(None, rows[41][1]), (5000, rows[41][1]), (5000, rows[41][1])]

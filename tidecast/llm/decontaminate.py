@@ -7,8 +7,11 @@ list heads. The positions of exactly those words are stored as postings
 (term, doc_id, pos). The list of the rarest word, moved back by the word's place
 in the window, gives candidate starts; they are intersected with the list of the
 second-rarest word moved by its own place (``slop`` > 0 keeps starts that
-disagree by at most that many words: a proximity match). What survives is
-compared word by word with the document, which makes phrase matches exact.
+disagree by at most that many words). What survives is compared word by word with
+the document, which makes phrase and proximity matches exact. A proximity match
+has all words of the window, each at a position of its own, with
+max(p_i - i) - min(p_i - i) <= slop over the positions p_i of the words i: up to
+``slop`` words in between, or a change of order that moves words no further apart.
 
 Plan. DataFrame functions only. The benchmark side is broadcast only after its
 rows have been counted (``tables.small``); beyond that the same joins are
@@ -38,10 +41,12 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Index:
-    """The stored parts of one run: windows (wid, item_ids, words) and candidate starts per document."""
+    """The stored parts of one run: windows (wid, item_ids, words) and candidate starts per
+    document; docs are the documents themselves, as given."""
     windows: DataFrame
     heads: DataFrame
     postings: DataFrame
+    docs: DataFrame
 
 
 def words(text: Column) -> Column:
@@ -84,7 +89,7 @@ def postings(docs: DataFrame, heads: DataFrame) -> DataFrame:
 def build(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> Index:
     windows = stored(item_windows(benchmark, n), "decontam_windows")
     heads = stored(list_heads(windows, docs), "decontam_heads")
-    return Index(windows, heads, stored(postings(docs, heads), "decontam_postings"))
+    return Index(windows, heads, stored(postings(docs, heads), "decontam_postings"), docs)
 
 
 def candidates(index: Index, slop: int = 0) -> DataFrame:
@@ -123,11 +128,31 @@ def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
     return rows.select("doc_id", "text_key", "w", hits.alias("hits"))
 
 
+def near_window(w: Column, words: Column, start: Column, slop: int) -> Column:
+    """All of ``words`` stand in ``w``, each at a position of its own between its place and ``slop``
+    after it, for a first place of ``start`` - slop to ``start``. Equal words take the first free
+    position in order, which finds positions for all of them if there are any."""
+    none = F.array().cast("array<int>")
+
+    def placed(low):
+        def step(used, i):
+            span = F.sequence(low + i, low + i + slop)
+            free = F.filter(span, lambda p: (p >= 0) & (F.get(w, p) == F.get(words, i)) & ~F.array_contains(used, p))
+            return F.when(F.size(free) > 0, F.concat(used, F.slice(free, 1, 1))).otherwise(F.lit(None).cast("array<int>"))
+        return F.aggregate(F.sequence(F.lit(0), F.size(words) - 1), none, step).isNotNull()
+
+    return F.exists(F.sequence(start - slop, start), placed)
+
+
 def proximity_matches(index: Index, slop: int) -> DataFrame:
-    """(doc_id, item_id): items of which some window has its two rarest words in
-    a document at their distance, give or take ``slop`` words."""
-    return (candidates(index, slop).select("wid", "doc_id").distinct().join(small(index.windows), "wid")
-            .select("doc_id", F.explode("item_ids").alias("item_id")).distinct())
+    """(doc_id, item_id): items of which a document holds all words of some window, give or take ``slop`` words."""
+    found = candidates(index, slop).join(small(index.windows), "wid")
+    per_doc = found.groupBy(F.col("doc_id").alias("hit_doc")).agg(
+        F.collect_set(F.struct(F.col("start").cast("int").alias("start"), "words", "item_ids")).alias("cand"))
+    rows = index.docs.select("doc_id", "text").join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit_doc")))
+    rows = rows.select("doc_id", words(F.col("text")).alias("w"), "cand")
+    near = F.filter("cand", lambda c: near_window(F.col("w"), c["words"], c["start"], slop))
+    return rows.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(near, lambda c: c["item_ids"])))).alias("item_id")).distinct()
 
 
 def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
