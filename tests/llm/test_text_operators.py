@@ -82,6 +82,24 @@ def test_last_round_of_near_groups_loses_no_link(make, rows, monkeypatch):
     assert got == sorted(brute.near_groups(rows, 3, 85), key=repr)
 
 
+def test_last_round_of_near_groups_with_repeated_rows(make, monkeypatch):
+    """B is over the threshold to A, whose row is repeated; all their common shingles stand in more than RARE nodes."""
+    monkeypatch.setattr(neardup, "centre_pairs", lambda m, i: m.selectExpr("node a", "node b").limit(0))
+    base = [f"w{i}" for i in range(100)]
+    near = [(k, " ".join([*base[:100 - k], *[f"c{k}x{j}" for j in range(k)]])) for k in range(0, 14)]
+    for data in (near + near[:1], near + [(None, near[0][1])] * 3 + near[5:8] * 2):
+        got = tuples(neardup.groups(make(data), neardup.Similar(3, 85)), "doc_id", "n_shingles", "component_id", "kept")
+        assert got == sorted(brute.near_groups(data, 3, 85), key=repr)
+
+
+def test_repeated_rows_give_one_text_per_node(make, rows):
+    data = make(rows + rows[:60] * 2 + [(None, rows[41][1])] * 3)
+    sketched = neardup.sketches(data, neardup.Similar(3, 85)).withColumnRenamed("row_id", "node")
+    first = sketched.dropDuplicates(["doc_id", "text_key"])
+    texts = neardup.candidate_texts(data, first, first.select("node"))
+    assert texts.count() == texts.select("node").distinct().count() == first.count()
+
+
 def test_one_document_of_each_group_stays(make, rows):
     want = sorted(d for d, _, _, k in brute.near_groups(rows, 5, 80) if k)
     assert sorted(r.doc_id for r in neardup.representatives(make(rows)).collect()) == want

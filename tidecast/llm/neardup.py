@@ -297,12 +297,13 @@ def groups(docs: DataFrame, s: Similar = Similar()) -> DataFrame:
 
 
 def candidate_texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """Stored (node, text) of the nodes that share a bucket with another."""
+    """Stored (node, text) of the nodes that share a bucket with another, once per node
+    however often its row is repeated: ``remaining_pairs`` counts shingles from it."""
     who = nodes.join(members.select("node").distinct(), "node", "left_semi") \
         .select("node", F.col("doc_id").alias("__id"), F.col("text_key").alias("__k"))
     src = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     return stored(src.join(who, src.doc_id.eqNullSafe(F.col("__id")) & (src.text_key == F.col("__k")))
-                  .select("node", "text"), "neardup_texts")
+                  .select("node", "text").dropDuplicates(["node"]), "neardup_texts")
 
 
 def linked(members: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
