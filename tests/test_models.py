@@ -3,7 +3,7 @@ batch scoring; the Arrow-batched path equals the JVM path."""
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidecast.operators import models as md
 from tidecast.operators import windows
 from tidecast.plans import tables

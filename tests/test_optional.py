@@ -32,3 +32,13 @@ def test_nothing_else_imports_the_subpackage():
         for f in files:
             if f.endswith(".py"):
                 assert "llm" not in open(os.path.join(folder, f)).read(), f
+
+
+def test_all_test_modules_are_collected_with_and_without_the_optional_part():
+    here = os.path.join(ROOT, "tests")
+    for more in ([], ["--ignore", os.path.join(here, "llm")]):
+        out = subprocess.run([sys.executable, "-m", "pytest", here, "--collect-only", "-q", "-p", "no:cacheprovider", *more],
+                             capture_output=True, text=True, timeout=240, cwd=ROOT)
+        assert out.returncode == 0, out.stdout[-2000:]
+        for module in ("test_models", "test_oracle", "test_plans", "test_properties", "test_streaming"):
+            assert f"{module}.py" in out.stdout

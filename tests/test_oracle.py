@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 from check_oracle import SPARK2DUCK, digest  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from paths import SF_SMALL  # noqa: E402
 from tidecast.plans import catalog  # noqa: E402
 
 SQL = catalog.oracle_sql()

@@ -6,7 +6,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidecast.operators import features as fe
 from tidecast.operators import windows
 from tidecast.plans import tables

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 from tidecast.operators import forecast as fc
 from tidecast.plans import requests as rq
 from tidecast.plans import tables
