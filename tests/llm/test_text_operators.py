@@ -7,7 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
-from conftest import corpus
+from samples import corpus
 
 from tidecast.llm import (decontaminate, langid, neardup, packing, pii, q_packing, q_tokencount, quality, substrings,
                           textarrays, tokencount)
