@@ -37,7 +37,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in catalog.queries()) == list(range(1, 14))
 
 
 def test_language_of_held_out_documents(spark):

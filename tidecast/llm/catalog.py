@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import q_decontaminate, q_langid, q_neardup, q_packing, q_pii, q_quality, q_substrings, q_tokencount, q_urlfilter, q_warc
+from . import (q_compressmodel, q_decontaminate, q_langid, q_neardup, q_packing, q_pii, q_quality, q_repair, q_substrings,
+               q_tokencount, q_urlfilter, q_warc, q_whitening)
 
 _QUERIES = {
     "op1_token_counts": (q_tokencount.op1_token_counts, None),
@@ -15,6 +16,9 @@ _QUERIES = {
     "op8_packing": (q_packing.op8_packing, None),
     "op9_pii": (q_pii.op9_pii, q_pii.SQL),
     "op10_url_filters": (q_urlfilter.op10_url_filters, q_urlfilter.SQL),
+    "op11_conversation_repair": (q_repair.op11_conversation_repair, q_repair.SQL),
+    "op12_quality_classifier": (q_compressmodel.op12_quality_classifier, None),
+    "op13_embedding_whitening": (q_whitening.op13_embedding_whitening, None),
 }
 
 
