@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..params import CATEGORIES, KEEP_COLUMNS, ZERO_FILL_COLUMNS
+from . import selection
 
 
 def filter_store(df: DataFrame, stores: Iterable[int] | None = None) -> DataFrame:
@@ -43,15 +44,11 @@ def prune_missing_features(df: DataFrame, features: list[str]) -> tuple[list[str
 
 
 def impute_median(df: DataFrame, store_dim: DataFrame, col: str = "CompetitionDistance") -> DataFrame:
-    """Fill ``col`` with the exact (interpolated) median over the store dimension.
-
-    The median is a scalar subquery: computed once over the (small) dimension
-    and inlined as a literal by Catalyst — no join, no driver round trip.
-    """
+    """Fill ``col`` with the exact (interpolated) median over the store dimension."""
     if col not in df.columns:
         return df
-    med = store_dim.select(F.median(col)).scalar()
-    return df.withColumn(col, F.coalesce(F.col(col), med))
+    med = selection.median(store_dim, col)
+    return df.withColumn(col, F.coalesce(F.col(col), F.lit(med).cast("double")))
 
 
 def impute_zero(df: DataFrame, cols: Iterable[str] = ZERO_FILL_COLUMNS) -> DataFrame:

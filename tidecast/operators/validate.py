@@ -28,7 +28,8 @@ FIELDS = {
     "safety_stock_percentage": ("numeric", "double"),
 }
 NULLABLE = ("current_stock", "unit_price")
-_INT, _NUM = r"^[+-]?[0-9]{1,18}$", r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_INT, _WHOLE = r"^[+-]?[0-9]{1,19}$", r"^([+-]?[0-9]{1,19})(\.0*)?$"
+_NUM = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _typed(field: Column, rule: str, kind: str) -> tuple[Column, Column]:
@@ -46,9 +47,12 @@ def _typed(field: Column, rule: str, kind: str) -> tuple[Column, Column]:
     number = t.isin("BIGINT", "DOUBLE", "STRING") | t.startswith("DECIMAL")
     ok = number & text.rlike(_INT if rule == "integer" else _NUM)
     whole = F.try_variant_get(field, "$", "double")
-    if rule == "integer":  # 7.0 is an integer, 7.5 is not
+    exact = whole
+    if rule == "integer":  # 7.0 is an integer, 7.5 is not; the digits themselves are read, exact to 64 bits
         ok = ok | (number & (t != "STRING") & (whole == F.floor(whole)))
-    value = F.when(ok, whole.cast("bigint") if rule == "integer" else whole)
+        digits = F.regexp_extract(text, _WHOLE, 1)
+        exact = F.when(digits != "", digits.try_cast("bigint")).otherwise(whole.try_cast("bigint"))
+    value = F.when(ok, exact)
     return value.try_cast(kind), ~ok | value.try_cast(kind).isNull()
 
 

@@ -5,8 +5,8 @@ at ``row_position = sample_index + lookback - 1``. Instead of materialising
 the 30x7 arrays, the long ``horizon_rows`` form (one row per window x day)
 is built from the TARGET row with ``lag`` only: for target row t and day d,
 the anchor is t - d, the last value is Sales[t-d] and the weekly-seasonal
-value is Sales[t - 7 * ceil(d / 7)], never a row after the anchor. Arrays are only built where a consumer needs them
-(``sliding_windows_*``, model scoring).
+value is Sales[t - 7 * ceil(d / 7)], never a row after the anchor. The input arrays of models are cut from time blocks
+(``blocks``).
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import scaling as sc
 from ..params import WindowParams
 
 
@@ -99,37 +98,6 @@ def sliding_windows(feat: DataFrame, value_cols: list[str], wp: WindowParams = W
         "n_windows", "fit_size")
 
 
-def scaled_windows(feat: DataFrame, past: list[str], future: list[str], wp: WindowParams = WindowParams(),
-                   key: str = "Store", order: str = "Date", target: str = "Sales",
-                   raw: dict[str, str] | None = None, residual: str | None = None) -> DataFrame:
-    """The model's input arrays of every window: ``past`` (lookback x past features)
-    and ``future`` (horizon x future features), min-max scaled per series over all
-    its rows; ``y`` the scaled targets (standard-scaled ``residual`` if given);
-    ``raw``: further arrays of unscaled horizon values {name: column}. Fit, scaling
-    and arrays share the one partitioning of the series."""
-    whole = Window.partitionBy(key)
-    names = list(dict.fromkeys([*past, *future, target]))
-    lo_hi = {c: (F.min(F.col(c).cast("double")).over(whole), F.max(F.col(c).cast("double")).over(whole)) for c in names}
-    cols = [sc.minmax_transform(F.col(c).cast("double"), *lo_hi[c]).alias(f"z_{c}") for c in names]
-    if residual:
-        cols.append(sc.standard_transform(F.col(residual), F.avg(residual).over(whole),
-                                          F.stddev_pop(residual).over(whole)).alias("z_residual_label"))
-    raw = raw or {}
-    z = feat.select(key, order, "row_position", "n_rows", *cols, *[F.col(c).alias(f"raw_{n}") for n, c in raw.items()])
-    w = Window.partitionBy(key).orderBy(order)
-    ahead = w.rowsBetween(1, wp.horizon)
-    c = _counts(F.col("n_rows"), wp)
-    out = z.select(
-        key, F.col(order).alias("anchor_date"), (F.col("row_position") - (wp.lookback - 1)).cast("int").alias("sample_index"),
-        F.collect_list(F.array(*[f"z_{x}" for x in past])).over(w.rowsBetween(-(wp.lookback - 1), 0)).alias("past"),
-        F.collect_list(F.array(*[f"z_{x}" for x in future])).over(ahead).alias("future"),
-        F.collect_list("z_residual_label" if residual else f"z_{target}").over(ahead).alias("y"),
-        *[F.collect_list(f"raw_{n}").over(ahead).alias(n) for n in raw], *[v.alias(k) for k, v in c.items()])
-    out = out.filter((F.col("sample_index") >= 0) & (F.col("sample_index") < F.col("n_windows")))
-    return out.withColumn("split", split_label(F.col("sample_index"), F.col("train_size"))) \
-        .drop("n_windows", "fit_size", "train_size")
-
-
 def latest_window(feat: DataFrame, lookback: int = 30, key: str = "Store", order: str = "Date") -> DataFrame:
     """The last ``lookback`` rows of each series (the inference context)."""
     return feat.filter(F.col("row_position") >= F.col("n_rows") - lookback)

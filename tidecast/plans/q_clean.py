@@ -9,9 +9,10 @@ from .. import schemas
 from ..functions import calendar as cal
 from ..operators import clean, joins
 from ..params import KEEP_COLUMNS
-from ..sources import files, panel
+from ..session import scratch_path
+from ..sources import files, panel, untrusted
 from . import tables
-from .oracle import sql
+from .oracle import cte, sql
 from .registry import r4, register
 
 SALES_COLS = [f.name for f in schemas.SALES_DAILY.fields]
@@ -40,6 +41,64 @@ def src_product_csv(spark, sf):
     return df.withColumn("price", r4("price"))
 
 
+# Lines of the daily fact with faults by rule (fixed values): k = (7 Store + day of the year) % 40.
+_COLUMNS = ["Store", "Date", "Sales", "Open", "Promo"]
+_UNTRUSTED = T.StructType([T.StructField("Store", T.IntegerType(), False), T.StructField("Date", T.DateType(), False),
+                           T.StructField("Sales", T.LongType()), T.StructField("Open", T.IntegerType()), T.StructField("Promo", T.IntegerType())])
+_LINES_SQL = """
+SELECT *, CASE WHEN k = 5 THEN 'S' || Store ELSE CAST(Store AS VARCHAR) END AS t0,
+       CASE WHEN k = 1 THEN '2015/13/45' ELSE strftime(Date, '%Y-%m-%d') END AS t1,
+       CASE WHEN k = 0 THEN 'n/a' WHEN k = 4 THEN '' ELSE CAST(Sales AS VARCHAR) END AS t2, CAST(Open AS VARCHAR) AS t3,
+       CASE WHEN k = 5 THEN '7.5' ELSE CAST(Promo AS VARCHAR) END AS t4
+FROM (SELECT *, (Store * 7 + dayofyear(Date)) % 40 AS k FROM sales_daily)"""
+
+
+def _untrusted_file(spark, sf) -> str:
+    """The daily fact as text files with a header, with faults by rule."""
+    d = panel.sales_daily(spark, sf).withColumn("k", (F.col("Store") * 7 + F.dayofyear("Date")) % 40)
+    text = {c: F.col(c).cast("string") for c in _COLUMNS}
+    text["Store"] = F.when(F.col("k") == 5, F.concat(F.lit("S"), text["Store"])).otherwise(text["Store"])
+    text["Date"] = F.when(F.col("k") == 1, "2015/13/45").otherwise(text["Date"])
+    text["Sales"] = F.when(F.col("k") == 0, "n/a").when(F.col("k") == 4, "").otherwise(text["Sales"])
+    text["Promo"] = F.when(F.col("k") == 5, "7.5").otherwise(text["Promo"])
+    cells = [text[c] for c in _COLUMNS]
+    line = F.when(F.col("k") == 2, F.concat_ws(",", *cells[:3])).when(F.col("k") == 3, F.concat_ws(",", *cells, F.lit("x"))) \
+        .otherwise(F.concat_ws(",", *cells))
+    path = scratch_path(spark, "untrusted_csv")
+    header = spark.createDataFrame([(",".join(_COLUMNS),)], "line string")
+    header.unionByName(d.select(line.alias("line"))).write.text(path)
+    return path
+
+
+@register("src_untrusted_csv", sql(f"""
+SELECT CASE k WHEN 2 THEN concat_ws(',', t0, t1, t2) WHEN 3 THEN concat_ws(',', t0, t1, t2, t3, t4, 'x') ELSE concat_ws(',', t0, t1, t2, t3, t4) END AS line,
+       CASE k WHEN 0 THEN 'Sales' WHEN 1 THEN 'Date' WHEN 2 THEN 'columns' WHEN 3 THEN 'columns' WHEN 5 THEN 'Store,Promo' ELSE '' END AS errors,
+       CASE WHEN k IN (0, 1, 2, 3, 5) THEN NULL ELSE Store END AS Store, CASE WHEN k IN (0, 1, 2, 3, 5) THEN NULL ELSE Date END AS Date,
+       CASE WHEN k IN (0, 1, 2, 3, 4, 5) THEN NULL ELSE CAST(Sales AS BIGINT) END AS Sales,
+       CASE WHEN k IN (0, 1, 2, 3, 5) THEN NULL ELSE CAST(Open AS INTEGER) END AS Open,
+       CASE WHEN k IN (0, 1, 2, 3, 5) THEN NULL ELSE CAST(Promo AS INTEGER) END AS Promo
+FROM ({_LINES_SQL})""", "sales_daily"))
+def src_untrusted_csv(spark, sf):
+    """The daily fact from a file with broken lines: typed rows, and rejected lines with what is wrong."""
+    df = untrusted.read_untrusted(spark, _untrusted_file(spark, sf), _UNTRUSTED)
+    return df.withColumn("errors", F.array_join("errors", ","))
+
+
+cte("untrusted_cells", ["sales_daily"], f"SELECT * FROM ({_LINES_SQL}) WHERE k NOT IN (2, 3)")
+
+
+@register("src_inferred_types", sql("""
+SELECT column_name, inferred_type, cells, CAST(empty AS BIGINT) AS empty FROM (
+  SELECT 'Store' AS column_name, CASE WHEN bool_or(k = 5) THEN 'string' ELSE 'bigint' END AS inferred_type, count(*) AS cells, 0 AS empty FROM untrusted_cells
+  UNION ALL SELECT 'Date', CASE WHEN bool_or(k = 1) THEN 'string' ELSE 'date' END, count(*), 0 FROM untrusted_cells
+  UNION ALL SELECT 'Sales', CASE WHEN bool_or(k = 0) THEN 'string' ELSE 'bigint' END, count(*), count(*) FILTER (k = 4) FROM untrusted_cells
+  UNION ALL SELECT 'Open', 'bigint', count(*), 0 FROM untrusted_cells
+  UNION ALL SELECT 'Promo', CASE WHEN bool_or(k = 5) THEN 'double' ELSE 'bigint' END, count(*), 0 FROM untrusted_cells)""", "untrusted_cells"))
+def src_inferred_types(spark, sf):
+    """The type of every column of that file, judged by all its cells."""
+    return untrusted.inferred_types(untrusted.read_lines(spark, _untrusted_file(spark, sf), _COLUMNS), _COLUMNS)
+
+
 # What the panel needs of its input tables: column, Spark type, DuckDB type.
 _CONTRACT = {
     "lineitem": [("l_orderkey", "bigint", "BIGINT"), ("l_suppkey", "bigint", "BIGINT"), ("l_quantity", "double", "DOUBLE"),

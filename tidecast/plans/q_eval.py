@@ -308,11 +308,12 @@ def test_mse_scaled(spark, sf):
 
 @register("concat_columns", sql("""
 SELECT w.Store, w.sample_index, w.forecast_day, w.predicted_sales AS weekly_pred, l.predicted_sales AS last_value_pred
-FROM preds_weekly w JOIN preds_last l USING (Store, sample_index, forecast_day)""", "preds_weekly", "preds_last"))
+FROM preds_weekly w JOIN preds_last l USING (Store, sample_index, forecast_day)""", "preds_weekly", "preds_last")
+          .replace("horizon AS (", "horizon AS MATERIALIZED ("))
 def concat_columns(spark, sf):
-    """Two aligned prediction frames side by side, joined on explicit keys
-    (both from one checkpointed horizon table)."""
-    h = tables.reused(spark, _h(spark, sf))
+    """Two aligned prediction frames side by side, joined on explicit keys in one plan
+    (the join reuses the partitioning by store)."""
+    h = _h(spark, sf)
     k = ["Store", "sample_index", "forecast_day"]
     w = ev.prediction_records(h, "weekly_seasonal").select(*k, F.col("predicted_sales").alias("weekly_pred"))
     lv = ev.prediction_records(h, "last_value").select(*k, F.col("predicted_sales").alias("last_value_pred"))

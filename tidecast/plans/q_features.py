@@ -3,11 +3,14 @@ scalers (SURVEY 2.5, 2.8 calendar/scaling, 2.1 window/scaler sinks)."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import scaling as scf
+from ..operators import blocks as bl
 from ..operators import features as fe
 from ..operators import scaling, windows
 from ..params import (FUTURE_FEATURES, FUTURE_FEATURES_V1, PAST_FEATURES, PAST_FEATURES_V1, SYNTHETIC_FUTURE,
@@ -18,6 +21,9 @@ from .oracle import sql
 from .registry import r4, register
 
 
+TWO_STREAM = bl.Layout(tuple(PAST_FEATURES), tuple(FUTURE_FEATURES))
+
+
 def _feat(spark, sf):
     return tables.feature_table(spark, sf)
 
@@ -187,18 +193,28 @@ SELECT * EXCLUDE (n_windows) FROM (
 WHERE sample_index >= 0 AND sample_index < n_windows"""
 
 
-def _weighted(values: Column) -> Column:
-    """Sum of the values times the roots of their 1-based places: one number that any
-    wrong, missing or moved element of an array changes (and no rounding tie)."""
-    return F.round(F.aggregate(F.transform(values, lambda x, i: x * F.sqrt(i + 1)), F.lit(0.0), lambda acc, x: acc + x), 4)
+def _window_digest(blocks: DataFrame, lay: bl.Layout, extra: dict[str, str] | None = None) -> DataFrame:
+    """Every window's arrays, cut from the blocks, each shown as the sum of its values times the
+    roots of their 1-based places: one number that any wrong, missing or moved element of
+    an array changes (and no rounding tie). ``extra``: {name: raw column}."""
+    extra = extra or {}
+    names = [*(f"past_{c}" for c in lay.past), *(f"future_{c}" for c in lay.future), "y", *extra]
+    root = np.sqrt(np.arange(1, max(lay.wp.lookback, lay.wp.horizon) + 1))
 
+    def digest(w: bl.Windows) -> pa.RecordBatch:
+        past = np.einsum("nlf,l->fn", w.past, root[:lay.wp.lookback])
+        future = np.einsum("nhf,h->fn", w.future, root[:lay.wp.horizon])
+        rest = [a @ root[:lay.wp.horizon] for a in (w.y, *(w.ahead(f"raw_{c}") for c in extra.values()))]
+        split = np.where(w.index >= w.row["train_size"], "test", "train")
+        return pa.RecordBatch.from_arrays(
+            [pa.array([w.row[lay.key]] * w.n, kind), pa.array(w.index.astype(np.int32)),
+             *map(pa.array, [*past, *future, *rest]), pa.array(split.tolist())], ["key", "sample_index", *names, "split"])
 
-def _window_digest(w, past, future, key, extra=()):
-    column = lambda arr, i: F.transform(arr, lambda r: r[i])
-    cols = [_weighted(column("past", i)).alias(f"past_{c}") for i, c in enumerate(past)]
-    cols += [_weighted(column("future", i)).alias(f"future_{c}") for i, c in enumerate(future)]
-    return w.select(key, "sample_index", *cols, _weighted(F.col("y")).alias("y"),
-                    *[_weighted(F.col(c).cast("array<double>")).alias(c) for c in extra], "split")
+    key_type = dict(blocks.dtypes)[lay.key]
+    kind = {"int": pa.int32(), "bigint": pa.int64(), "string": pa.string()}[key_type]
+    out = bl.map_windows(blocks, lay, digest, f"key {key_type}, sample_index int, "
+                         + ", ".join(f"`{n}` double" for n in names) + ", split string")
+    return out.select(F.col("key").alias(lay.key), "sample_index", *[r4(n).alias(n) for n in names], "split")
 
 
 @register("sliding_windows_two_stream", sql(_window_sql(PAST_FEATURES, FUTURE_FEATURES, "Sales", "features", "Store", "Date"),
@@ -206,16 +222,15 @@ def _window_digest(w, past, future, key, extra=()):
 def sliding_windows_two_stream(spark, sf):
     """All 20 past and 18 known-future features and the target of every window,
     scaled per store; each array shown as its position-weighted sum."""
-    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES, FUTURE_FEATURES)
-    return _window_digest(w, PAST_FEATURES, FUTURE_FEATURES, "Store")
+    return _window_digest(bl.time_blocks(_feat(spark, sf), TWO_STREAM), TWO_STREAM)
 
 
 @register("sliding_windows_two_stream_v1", sql(
     _window_sql(PAST_FEATURES_V1, FUTURE_FEATURES_V1, "Sales", "features", "Store", "Date"), "features"))
 def sliding_windows_two_stream_v1(spark, sf):
     """The same with the first real feature set (9 past, 8 future)."""
-    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES_V1, FUTURE_FEATURES_V1)
-    return _window_digest(w, PAST_FEATURES_V1, FUTURE_FEATURES_V1, "Store")
+    lay = bl.Layout(tuple(PAST_FEATURES_V1), tuple(FUTURE_FEATURES_V1))
+    return _window_digest(bl.time_blocks(_feat(spark, sf), lay), lay)
 
 
 @register("sliding_windows_synthetic", sql(_window_sql(
@@ -225,8 +240,8 @@ def sliding_windows_two_stream_v1(spark, sf):
 def sliding_windows_synthetic(spark, sf):
     """Product series with 6 past and 4 known-future features (no derived features)."""
     df = windows.with_positions(panel.product_daily(spark, sf), "product", "date")
-    w = windows.scaled_windows(df, SYNTHETIC_PAST, SYNTHETIC_FUTURE, key="product", order="date", target="units_sold")
-    return _window_digest(w, SYNTHETIC_PAST, SYNTHETIC_FUTURE, "product")
+    lay = bl.Layout(tuple(SYNTHETIC_PAST), tuple(SYNTHETIC_FUTURE), "units_sold", key="product", order="date")
+    return _window_digest(bl.time_blocks(df, lay), lay)
 
 
 _RES_EXTRA = (", " + _sum_sql("same_day_last_week_sales", "product", "date", _NEXT7) + " AS baseline, "
@@ -240,10 +255,9 @@ _RES_LABEL = ("(SELECT *, (residual - AVG(residual) OVER (PARTITION BY product))
 def sliding_windows_residual(spark, sf):
     """The five arrays of the residual variant: 8 past and 7 future features
     (min-max), the standard-scaled residual, the weekly baseline and the actual."""
-    w = windows.scaled_windows(_syn(spark, sf), SYNTHETIC_PAST_V3, SYNTHETIC_FUTURE_V3, key="product", order="date",
-                               target="units_sold", raw={"baseline": "same_day_last_week_sales", "actual": "units_sold"},
-                               residual="residual")
-    return _window_digest(w, SYNTHETIC_PAST_V3, SYNTHETIC_FUTURE_V3, "product", ("baseline", "actual"))
+    lay = bl.Layout(tuple(SYNTHETIC_PAST_V3), tuple(SYNTHETIC_FUTURE_V3), "units_sold", key="product", order="date",
+                    raw=("same_day_last_week_sales", "units_sold"), residual="residual")
+    return _window_digest(bl.time_blocks(_syn(spark, sf), lay), lay, {"baseline": "same_day_last_week_sales", "actual": "units_sold"})
 
 
 @register("chronological_split", sql("""
@@ -268,11 +282,10 @@ def validation_split(spark, sf):
 
 @register("sink_windows", sql(_window_sql(PAST_FEATURES, FUTURE_FEATURES, "Sales", "features", "Store", "Date"), "features"))
 def sink_windows(spark, sf):
-    """The window arrays (past 30 x 20, future 7 x 18, y 7) written partitioned by
-    split and read back."""
-    w = windows.scaled_windows(_feat(spark, sf), PAST_FEATURES, FUTURE_FEATURES)
-    back = files.materialize(spark, w, "windows", ["split"])
-    return _window_digest(back, PAST_FEATURES, FUTURE_FEATURES, "Store")
+    """The arrays of all windows (past 30 x 20, future 7 x 18, y 7) written as time blocks with
+    halo, each row of the table once, read back, and cut into windows."""
+    back = files.materialize(spark, bl.time_blocks(_feat(spark, sf), TWO_STREAM), "windows")
+    return _window_digest(back, TWO_STREAM)
 
 
 @register("latest_window", sql("""

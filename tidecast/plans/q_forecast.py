@@ -12,8 +12,9 @@ from ..functions.metrics import risk_normalise as risk_expr
 from ..operators import decisions as dc
 from ..operators import forecast as fc
 from ..operators import history as hs
+from ..operators import scaling, windows
 from ..functions import scaling as scf
-from ..params import FUTURE_FEATURES, DemandThresholds
+from ..params import FUTURE_FEATURES, PAST_FEATURES, DemandThresholds
 from . import tables
 from . import requests as rq
 from .oracle import sql
@@ -174,10 +175,35 @@ def _future_scaled(spark, sf, clip):
     return rows.select("Store", "plan", "step", *out)
 
 
-@register("scale_future", sql(_scale_sql(True), "future_pred", "future_dates", "features"))
+_PAST_ONLY = [c for c in PAST_FEATURES if c not in FUTURE_FEATURES]
+
+
+def _past_sql() -> str:
+    def z(c):
+        x = f"CAST({c} AS DOUBLE)"
+        return (f"ROUND(LEAST(GREATEST(({x} - MIN({x}) OVER s) / CASE WHEN MAX({x}) OVER s = MIN({x}) OVER s THEN 1.0 "
+                f"ELSE MAX({x}) OVER s - MIN({x}) OVER s END, 0.0), 1.0), 4) AS {c}_scaled")
+    cols = [z(c) for c in [*FUTURE_FEATURES, *_PAST_ONLY]]
+    return f"""
+SELECT * EXCLUDE (back) FROM (SELECT Store, 'past' AS stream, -1 AS plan, CAST(row_position - n_rows + 1 AS INTEGER) AS step, {', '.join(cols)},
+       n_rows - row_position AS back FROM features WINDOW s AS (PARTITION BY Store)) WHERE back <= 30"""
+
+
+@register("scale_future", sql("SELECT Store, 'future' AS stream, plan, step, "
+                              + ", ".join(f"{c}_scaled" for c in FUTURE_FEATURES)
+                              + ", " + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}_scaled" for c in _PAST_ONLY)
+                              + f" FROM ({_scale_sql(True)}) UNION ALL {_past_sql()}", "future_pred", "future_dates", "features"))
 def scale_future(spark, sf):
-    """All 18 known-future features of every plan scaled with the history's per-store min/max, clipped to [0, 1]."""
-    return _future_scaled(spark, sf, clip=True)
+    """Both input streams of the service, scaled with the history's per-store min/max and clipped to [0, 1]: the last 30
+    rows with all 20 past features (plan -1, steps -29 to 0) and the 18 known-future features of every plan."""
+    future = _future_scaled(spark, sf, clip=True)
+    z = scaling.minmax_over_partition(tables.feature_table(spark, sf), PAST_FEATURES)
+    past = windows.latest_window(z).select(
+        "Store", F.lit("past").alias("stream"), F.lit(-1).alias("plan"), (F.col("row_position") - F.col("n_rows") + 1).cast("int").alias("step"),
+        *[r4(clip_expr(F.col(f"{c}_scaled"))).alias(f"{c}_scaled") for c in [*FUTURE_FEATURES, *_PAST_ONLY]])
+    empty = [F.lit(None).cast("double").alias(f"{c}_scaled") for c in _PAST_ONLY]
+    return future.select("Store", F.lit("future").alias("stream"), "plan", "step", *[f"{c}_scaled" for c in FUTURE_FEATURES], *empty) \
+        .unionByName(past)
 
 
 @register("clip_unit", sql("""
@@ -309,10 +335,9 @@ SELECT s.Store, c.position, c.name, c.current_stock, c.unit_price, c.reorder_lea
        c.safety_stock_percentage, CAST(CASE WHEN c.promo THEN 2 ELSE 0 END AS INTEGER) AS n_promo_dates
 FROM state s CROSS JOIN scenarios c""", "state", "scenarios"))
 def cross_scenarios(spark, sf):
-    """Every scenario evaluated on every store's history (a narrow inline of
-    the scenario list per state row — not a join)."""
+    """Every scenario of a table evaluated on every store's history."""
     _, st = _state(spark, sf)
-    s = rq.scenario_requests(st)
+    s = rq.attach_scenarios(st, rq.scenario_table(spark))
     return s.select("Store", "position", "name", "current_stock", "unit_price", "reorder_lead_time_days",
                     "safety_stock_percentage", F.size("promo_dates").alias("n_promo_dates"))
 
@@ -358,8 +383,9 @@ SELECT {_SI}, name, total AS total_predicted_sales, avg_ins AS average_predicted
        risk AS stockout_risk, qty AS recommended_reorder_quantity, needed AS reorder_needed, {_REC} AS recommendation
 FROM scen_ins""", "scen_ins"))
 def scenario_compare(spark, sf):
-    """Forecast + insights for the 5 fixture scenarios on every store."""
-    s = _scen(spark, sf)
+    """Forecast + insights for the scenarios of a table on every store."""
+    _, st = _state(spark, sf)
+    s = dc.with_insights(fc.forecast_joined(rq.attach_scenarios(st, rq.scenario_table(spark))))
     return s.select("Store", "position", "name", "total_predicted_sales", "average_predicted_sales",
                     r4("expected_revenue").alias("expected_revenue"), "current_stock", "projected_stock_after_7_days",
                     "stockout_risk", "recommended_reorder_quantity", "reorder_needed", "recommendation")

@@ -11,8 +11,9 @@ from ..operators import decisions as dc
 from ..operators import forecast as fc
 from ..operators import history as hs
 from ..operators import validate as vd
+from ..operators import versions
 from ..session import scratch_path
-from ..sources import files
+from ..sources import files, reports
 from . import tables
 from . import requests as rq
 from .oracle import _future_pred, cte, sql
@@ -30,6 +31,9 @@ def _text_rows(texts) -> str:
 _NUM_RE = "[+-]?([0-9]+(\\.[0-9]*)?|\\.[0-9]+)([eE][+-]?[0-9]+)?"
 
 
+_SQL_TYPE = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}
+
+
 def _field(f: str, rule: str, kind: str) -> tuple[str, str]:
     """DuckDB: (typed value, wrong type) of a JSON field of the object ``j``."""
     t, x = f"json_type(j, '$.{f}')", f"(j ->> '$.{f}')"
@@ -42,14 +46,15 @@ def _field(f: str, rule: str, kind: str) -> tuple[str, str]:
         ok = f"(({t} = 'BOOLEAN') OR ({t} IN ('UBIGINT', 'VARCHAR') AND {x} IN ('0', '1')))"
         value = f"({x} IN ('true', '1'))"
     elif rule == "integer":
-        ok = (f"(({t} IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match({x}, '[+-]?[0-9]{{1,18}}')) "
-              f"OR ({t} = 'DOUBLE' AND TRY_CAST({x} AS DOUBLE) = floor(TRY_CAST({x} AS DOUBLE))))")
-        value = f"TRY_CAST(TRY_CAST({x} AS DOUBLE) AS BIGINT)"
+        digits = f"regexp_extract({x}, '^([+-]?[0-9]{{1,19}})(\\.0*)?$', 1)"
+        value = f"CASE WHEN {digits} <> '' THEN TRY_CAST({digits} AS {_SQL_TYPE[kind]}) ELSE TRY_CAST(TRY_CAST({x} AS DOUBLE) AS {_SQL_TYPE[kind]}) END"
+        ok = (f"((({t} IN ('UBIGINT', 'BIGINT', 'VARCHAR') AND regexp_full_match({x}, '[+-]?[0-9]{{1,19}}')) "
+              f"OR ({t} = 'DOUBLE' AND TRY_CAST({x} AS DOUBLE) = floor(TRY_CAST({x} AS DOUBLE)))) AND {value} IS NOT NULL)")
     else:
         ok = f"({t} IN ('UBIGINT', 'BIGINT', 'DOUBLE', 'VARCHAR') AND regexp_full_match({x}, '{_NUM_RE}'))"
         value = f"TRY_CAST({x} AS DOUBLE)"
     null = "false" if f in vd.NULLABLE else "true"
-    cast = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE"}.get(kind)
+    cast = _SQL_TYPE.get(kind)
     value = f"CASE WHEN {t} <> 'NULL' AND {ok} THEN {value} END"
     return (f"CAST({value} AS {cast})" if cast else value), f"CASE WHEN {t} IS NULL THEN false WHEN {t} = 'NULL' THEN {null} ELSE NOT {ok} END"
 
@@ -89,11 +94,11 @@ cte("req_validated", ["req_variants"], f"SELECT *, {_errs(_REQ_FIRST)} AS errors
 
 
 @register("validate_requests", sql("""
-SELECT Store, request_id, name, errors, errors = '' AS is_valid FROM req_validated""", "req_validated"))
+SELECT Store, request_id, name, current_stock, errors, errors = '' AS is_valid FROM req_validated""", "req_validated"))
 def validate_requests(spark, sf):
     """Per-request rules -> failing field names; valid / rejected split."""
     v = vd.validate_requests(rq.request_variants(_state(spark, sf)))
-    return v.select("Store", "request_id", "name", F.array_join("errors", ",").alias("errors"), "is_valid")
+    return v.select("Store", "request_id", "name", "current_stock", F.array_join("errors", ",").alias("errors"), "is_valid")
 
 
 _SCEN_FIRST = "CASE WHEN bad_name OR name IS NULL OR length(name) > 100 THEN 'name' END,"
@@ -152,18 +157,26 @@ def parse_date_list(spark, sf):
 # ---- forecast history -----------------------------------------------------------------------
 
 def _log_source(spark, sf):
-    """Validated request variants -> defaults -> forecasts + insights -> log rows."""
-    st = _state(spark, sf)
-    req = vd.validate_requests(rq.request_variants(st)).filter("is_valid")
+    """Validated request variants -> defaults -> forecasts + insights -> log rows. The typed fields are
+    checkpointed: without that, the optimiser repeats the parse of the text for every use of a field."""
+    req = tables.reused(spark, vd.validate_requests(rq.request_variants(_state(spark, sf)))).filter("is_valid")
     f = dc.with_insights(fc.forecast_joined(vd.request_defaults(req)))
     f = f.withColumn("response_average", (F.col("total_predicted_sales") / F.size("days")).cast("bigint"))
     f = f.withColumn("created_at", F.col("latest_date").cast("timestamp_ntz") + F.make_interval(hours=F.col("variant")))
     return hs.log_rows(f)
 
 
+def _log(spark, sf):
+    """The log as a versioned table with one append, and its schema."""
+    rows = _log_source(spark, sf)
+    log = versions.VersionedLog(spark, scratch_path(spark, "forecast_log"))
+    log.append(rows)
+    return log, rows.schema
+
+
 def _log_table(spark, sf):
-    path = hs.log_append(_log_source(spark, sf), scratch_path(spark, "forecast_log"))
-    return spark.read.parquet(path)
+    log, schema = _log(spark, sf)
+    return log.read(schema)
 
 
 cte("req_future", ["req_validated", "future_dates", "features"], _future_pred(
@@ -202,22 +215,24 @@ def _summary(df):
 @register("log_append", sql(f"SELECT {_LOG_COLS} FROM log", "log"))
 def log_append(spark, sf):
     """One log row per valid request: payload JSON + 4 extracted columns,
-    appended to a parquet table partitioned by day."""
+    appended to the versioned table as its first version."""
     return _summary(_log_table(spark, sf))
 
 
 @register("log_recent", sql(f"SELECT {_LOG_COLS} FROM log ORDER BY created_at DESC, id DESC LIMIT 20", "log"))
 def log_recent(spark, sf):
     """The 20 newest entries (a report limit: the limit is the feature)."""
-    return hs.log_recent(_log_table(spark, sf), 20)
+    log, schema = _log(spark, sf)
+    return _summary(log.recent(schema, 20))
 
 
 @register("log_get", sql(f"""
 SELECT {_LOG_COLS}, 'open days only' AS forecast_mode, CAST(n AS INTEGER) AS n_forecast_days FROM log WHERE id = 300""",
                          "log"))
 def log_get(spark, sf):
-    """One full record by id (payloads parsed back from JSON)."""
-    rec = hs.parse_response(hs.log_get(_log_table(spark, sf), 300))
+    """One full record by id, from the files whose id range holds it (payloads parsed back from JSON)."""
+    log, schema = _log(spark, sf)
+    rec = hs.parse_response(log.get(300, schema))
     return rec.select("id", "store_id", "total_predicted_sales", "average_predicted_sales", "stockout_risk",
                       "reorder_needed", "created_at", F.col("response.forecast_mode").alias("forecast_mode"),
                       F.size("response.forecast").alias("n_forecast_days"))
@@ -225,9 +240,9 @@ def log_get(spark, sf):
 
 @register("log_delete", sql(f"SELECT {_LOG_COLS} FROM log WHERE id NOT IN (300, 301)", "log"))
 def log_delete(spark, sf):
-    """Delete ids 300 and 301: only their days are rewritten, without them."""
-    path = hs.log_append(_log_source(spark, sf), scratch_path(spark, "forecast_log"))
-    return _summary(hs.log_delete(spark, path, [300, 301]))
+    """Delete ids 300 and 301: files that hold them are rewritten without them, as the next version."""
+    log, schema = _log(spark, sf)
+    return _summary(log.read(schema, log.delete([300, 301], schema)))
 
 
 @register("log_explode", sql("""
@@ -273,20 +288,21 @@ SELECT l.id, 'Executive Forecast Report' AS report_type, strftime(l.created_at,
 FROM log l JOIN (SELECT Store, strftime(min(date), '%Y-%m-%d') AS first_date FROM future_pred GROUP BY Store) f
   ON l.store_id = f.Store""", "log", "future_pred"))
 def report_json_export(spark, sf):
-    """Forecast report documents {report_type, generated_at, insights,
-    forecast_data} written as pretty JSON text, checked by parsing them back."""
+    """Forecast report documents {report_type, generated_at, insights, forecast_data}: one pretty JSON file per
+    report, published when the job commits, and read back from the files."""
     p = hs.parse_response(_log_table(spark, sf))
     doc = F.struct(F.lit("Executive Forecast Report").alias("report_type"),
                    F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("generated_at"),
                    F.col("response.business_insights").alias("insights"),
                    F.col("response.forecast").alias("forecast_data"))
-    text = p.select("id", F.to_json(doc, {"pretty": "true"}).alias("report_json"))
-    back = text.select("id", F.from_json("report_json", _REPORT).alias("r"))
-    return back.select("id", "r.report_type", "r.generated_at",
-                       F.col("r.insights.total_predicted_sales").alias("total_predicted_sales"),
-                       F.col("r.insights.stockout_risk").alias("stockout_risk"),
-                       F.size("r.forecast_data").alias("n_forecast_days"),
-                       F.col("r.forecast_data")[0]["date"].alias("first_date"))
+    path = reports.write_reports(p.select(F.format_string("forecast-report-%d", "id").alias("name"), F.to_json(doc).alias("document")),
+                                 scratch_path(spark, "forecast_reports"))
+    back = spark.read.schema(_REPORT).option("multiLine", True).option("recursiveFileLookup", True).json(path)
+    return back.select(F.regexp_extract(F.col("_metadata.file_name"), r"-(\d+)\.json$", 1).cast("bigint").alias("id"), "report_type", "generated_at",
+                       F.col("insights.total_predicted_sales").alias("total_predicted_sales"),
+                       F.col("insights.stockout_risk").alias("stockout_risk"),
+                       F.size("forecast_data").alias("n_forecast_days"),
+                       F.col("forecast_data")[0]["date"].alias("first_date"))
 
 
 @register("report_csv_export", sql("""

@@ -28,15 +28,63 @@ def _lit(v, t: str) -> Column:
     return F.lit(None).cast(t) if v is None else F.lit(v).cast(t)
 
 
+#: Comparisons and positions that the id of a scenario request has room for.
+MAX_COMPARISONS, MAX_POSITIONS = 100_000, 10
+
+
+def _scenario_id() -> Column:
+    return (F.col("Store").cast("bigint") * (MAX_COMPARISONS * MAX_POSITIONS) + F.col("comparison_id") * MAX_POSITIONS
+            + F.col("position")).cast("bigint").alias("request_id")
+
+
 def scenario_requests(state: DataFrame, scenarios=SCENARIOS, comparison_id: int = 0,
                       more: dict | None = None) -> DataFrame:
     """state x scenarios: one row per (Store, comparison, scenario) carrying
-    the state; ``more`` adds further comparisons {comparison_id: scenarios}."""
+    the state; ``more`` adds further comparisons {comparison_id: scenarios}. For a few
+    scenarios, which become part of the plan; many come as a table (``attach_scenarios``)."""
     comparisons = {comparison_id: scenarios, **(more or {})}
+    if any(not 0 <= c < MAX_COMPARISONS or len(sc) > MAX_POSITIONS for c, sc in comparisons.items()):
+        raise ValueError(f"request_id has room for {MAX_COMPARISONS} comparisons of {MAX_POSITIONS} scenarios")
     structs = [s for cid, sc in comparisons.items() for s in _scenario_structs(sc, cid)]
-    out = state.select("*", F.inline(F.array(*structs)))
-    return out.withColumn("request_id", (F.col("Store").cast("bigint") * 1000 + F.col("comparison_id") * 10
-                                         + F.col("position")).cast("bigint"))
+    return state.select("*", F.inline(F.array(*structs))).select("*", _scenario_id())
+
+
+#: A scenario table: ``Store`` null means every store; ``promo``: the first two future days are promoted.
+SCENARIO_TABLE = ("Store int, comparison_id int, position int, name string, promo boolean, current_stock bigint, unit_price double, "
+                  "reorder_lead_time_days int, safety_stock_percentage double")
+#: Scenario rows are broadcast up to so many bytes (fixed-width fields and names), else joined by shuffle.
+BROADCAST_BYTES = 8 << 20
+SALTS = 64
+
+
+def scenario_table(spark, scenarios=SCENARIOS, comparison_id: int = 0, store: int | None = None) -> DataFrame:
+    return spark.createDataFrame([(store, comparison_id, k, *s) for k, s in enumerate(scenarios)], SCENARIO_TABLE)
+
+
+def attach_scenarios(state: DataFrame, table: DataFrame, broadcast_bytes: int = BROADCAST_BYTES, salts: int = SALTS) -> DataFrame:
+    """state x the rows of a scenario table that name its store or none: as ``scenario_requests``, with a plan that does
+    not grow with the scenarios. Up to ``broadcast_bytes`` (measured) the table is broadcast. Beyond, rows of
+    a store are joined on it, and rows of every store meet the states by salt: a scenario has one of ``salts``
+    salts, a state all of them, so the pairs spread over ``salts`` keys and neither side is gathered."""
+    facts = table.agg(F.sum(F.length("name") + 64).alias("size"), F.max("comparison_id").alias("c"), F.max("position").alias("p"),
+                      F.min("comparison_id").alias("c0"), F.min("position").alias("p0")).first()
+    if facts.c is not None and not (0 <= facts.c0 and facts.c < MAX_COMPARISONS and 0 <= facts.p0 and facts.p < MAX_POSITIONS):
+        raise ValueError(f"request_id has room for {MAX_COMPARISONS} comparisons of {MAX_POSITIONS} scenarios")
+    rows = table.withColumnRenamed("Store", "_for")
+    if (facts["size"] or 0) <= broadcast_bytes:
+        out = state.join(F.broadcast(rows), F.col("_for").isNull() | (F.col("_for") == F.col("Store")))
+    else:
+        own = state.join(rows.filter("_for IS NOT NULL"), F.col("_for") == F.col("Store"))
+        salt = F.pmod(F.xxhash64("comparison_id", "position"), F.lit(salts)).cast("int")
+        every = state.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))) \
+            .join(rows.filter("_for IS NULL").withColumn("_salt", salt), "_salt").drop("_salt")
+        out = own.unionByName(every)
+    horizon = fc.future_dates(F.col("latest_date"), F.lit(7), F.lit(True), F.col("closes_on_sundays"))
+    none = F.array().cast("array<date>")
+    return out.select(
+        *state.columns, "comparison_id", "position", "name", F.lit(7).alias("forecast_days"), F.lit(True).alias("forecast_open_days_only"),
+        F.when(F.col("promo"), F.slice(horizon, 1, 2)).otherwise(none).alias("promo_dates"), none.alias("school_holiday_dates"),
+        "current_stock", "unit_price", "reorder_lead_time_days", "safety_stock_percentage", _scenario_id())
 
 
 def _scenario_structs(scenarios, comparison_id: int) -> list[Column]:
@@ -78,6 +126,8 @@ REQUEST_VARIANTS = [
     '{"name": "null stock", "forecast_days": 7, "current_stock": null, "school_holiday_dates": ["{d1}"]}',
     '{"name": "open one", "forecast_days": 7.0, "forecast_open_days_only": 1}',
     '{"name": "price list", "forecast_days": 7, "unit_price": [1]}',
+    '{"name": "exact stock", "forecast_days": 7, "current_stock": 9007199254740993}',
+    '{"name": "stock beyond 64 bits", "forecast_days": 7, "current_stock": 1e300}',
     '{"forecast_days": 7, "broken',
     '[7]',
 ]
