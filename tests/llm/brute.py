@@ -181,39 +181,39 @@ def base_spans(text):
     return sorted(out)
 
 
+def pii_keys(kind, value):
+    """What a span is counted under: the entity and the parts it shares with others."""
+    value, digits = value.translate(LOWER), re.sub("[^0-9]", "", value)
+    out = {f"{kind}:{value}"}
+    if kind == 0:
+        out |= {"domain:" + value.rsplit("@", 1)[1]} | {"local:" + w for w in PII_WORD.findall(value.split("@")[0]) if len(w) >= 3}
+    elif kind == 1:
+        out.add("net:" + ".".join(value.split(".")[:3]))
+    elif kind == 2:
+        out.add("issuer:" + digits[:6])
+    else:
+        out.add("block:" + digits[:-4])
+    return out
+
+
 def pii_spans(rows, d):
-    """{(doc_id, text): [(start, kind, end)]} with the disclosing terms (kind 4)."""
-    near, texts = defaultdict(set), {t or "" for _, t in rows}
-    for _, t in rows:
-        t = t or ""
-        spans = base_spans(t)
-        masked = list(t)
-        for s, _, e, _ in spans:
-            masked[s:e] = " " * (e - s)
-        masked = "".join(masked)
-        for s, k, e, v in spans:
-            lo, hi = max(0, s - d.reach), min(len(t), e + d.reach)
-            for m in PII_WORD.finditer(masked):
-                whole = m.start() >= lo and m.end() <= hi
-                inner = (m.start() > lo or lo == 0) and (m.end() < hi or hi == len(t))
-                if whole and inner and len(m.group()) >= d.min_chars:
-                    near[(f"{k}:{v.translate(LOWER)}", m.group().translate(LOWER))].add((t, m.start(), m.end()))
-    n = len(texts)
-    n_e = defaultdict(set)
-    for (e, _), where in near.items():
-        n_e[e] |= {x[0] for x in where}
-    terms = defaultdict(set)
+    """{(doc_id, text): [(start, kind, end)]} with the disclosing terms (kind 4): words of whole texts, counted against
+    entities and parts of entities over all distinct texts; spans wherever a word stands in a text that holds the entity."""
+    texts = sorted({t or "" for _, t in rows})
+    n, base, clear, held = len(texts), {}, {}, {}
     for t in texts:
-        for w in set(PII_WORD.findall(t.translate(LOWER))):
-            terms[w].add(t)
-    out = {(i, t or ""): [x[:3] for x in base_spans(t)] for i, t in rows}
-    extra = defaultdict(set)
-    for (e, w), where in near.items():
-        n_et = len({x[0] for x in where})
-        if n_et < d.min_support or len(n_e[e]) >= n:
-            continue
-        share = math.log(n_et * n / (len(n_e[e]) * len(terms[w]))) / math.log(n / len(n_e[e]))
-        if share >= d.alpha:
-            for t, s, x in where:
-                extra[t].add((s, 4, x))
-    return {k: sorted(set(v) | extra[k[1]]) for k, v in out.items()}
+        base[t], masked = base_spans(t), list(t)
+        for s, _, e, _ in base[t]:
+            masked[s:e] = " " * (e - s)
+        clear[t] = "".join(masked).translate(LOWER)
+        held[t] = set().union(*(pii_keys(k, v) for _, k, _, v in base[t])) if base[t] else set()
+    n_e = Counter(e for t in texts for e in held[t])
+    n_t = Counter(w for t in texts for w in set(PII_WORD.findall(t.translate(LOWER))))
+    n_et = Counter((e, w) for t in texts for w in {w for w in PII_WORD.findall(clear[t]) if len(w) >= d.min_chars}
+                   for e in held[t] if n_e[e] >= d.min_support)
+    told = defaultdict(set)
+    for (e, w), k in n_et.items():
+        if k >= d.min_support and n_e[e] < n and math.log(k * n / (n_e[e] * n_t[w])) / math.log(n / n_e[e]) >= d.alpha:
+            told[e].add(w)
+    extra = {t: {(m.start(), 4, m.end()) for m in PII_WORD.finditer(clear[t]) if any(m.group() in told[e] for e in held[t])} for t in texts}
+    return {(i, t or ""): sorted({x[:3] for x in base[t or ""]} | extra[t or ""]) for i, t in rows}

@@ -59,7 +59,6 @@ NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 @dataclass(frozen=True)
 class Disclosure:
-    reach: int = 64           # of the SQL and the brute-force version only, which look no further around an entity
     min_support: int = 3      # distinct texts in which word and entity stand together
     alpha: float = 0.8        # share of the entity's information that a word must carry
     remove_at: float = 0.95   # ... and above which it is removed, not generalised

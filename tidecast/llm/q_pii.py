@@ -50,16 +50,21 @@ hidden AS (SELECT DISTINCT doc_id, p FROM base, unnest(range(s + 1, e + 1)) AS u
 blank AS (SELECT c.doc_id, string_agg(CASE WHEN h.p IS NULL THEN c.c ELSE ' ' END, '' ORDER BY c.p) AS masked
           FROM chars c LEFT JOIN hidden h ON h.doc_id = c.doc_id AND h.p = c.p GROUP BY 1),
 mask AS (SELECT hot.doc_id, text, masked FROM hot JOIN blank ON blank.doc_id = hot.doc_id),
-area AS (SELECT b.doc_id, m.text, CAST(b.k AS VARCHAR) || ':' || {_LOWER.format('b.v')} AS entity, greatest(b.s - {D.reach}, 0) AS lo,
-                length(m.text) AS n, substr(m.masked, greatest(b.s - {D.reach}, 0) + 1, b.e - greatest(b.s - {D.reach}, 0) + {D.reach}) AS a
-         FROM base b JOIN mask m ON m.doc_id = b.doc_id),
-aw AS (SELECT *, regexp_extract_all(a, '{_WORD}') AS f, regexp_split_to_array(a, '{_WORD}') AS g FROM area),
-w0 AS (SELECT doc_id, text, entity, lo, n, length(a) AS an, f[i] AS v, {_AT.format(g='g', f='f')} AS ws
-       FROM aw, unnest(range(1, len(f) + 1)) AS u(i)),
-near AS (SELECT DISTINCT doc_id, text, entity, {_LOWER.format('v')} AS term, lo + ws AS s, lo + ws + length(v) AS e FROM w0
-         WHERE length(v) >= {D.min_chars} AND (ws > 0 OR lo = 0) AND (ws + length(v) < an OR lo + an >= n)),
-pairs AS (SELECT entity, term, count(DISTINCT text) AS n_et FROM near GROUP BY 1, 2 HAVING count(DISTINCT text) >= {D.min_support}),
-ent AS (SELECT entity, count(DISTINCT text) AS n_e FROM near GROUP BY 1),
+ents AS (SELECT DISTINCT b.doc_id, m.text, unnest(list_concat([b.k || ':' || v], CASE kind
+           WHEN 'email' THEN list_concat(['domain:' || split_part(v, '@', 2)], list_transform(list_filter(
+                regexp_extract_all(split_part(v, '@', 1), '{_WORD}'), lambda w: length(w) >= 3), lambda w: 'local:' || w))
+           WHEN 'ip' THEN ['net:' || array_to_string(string_split(v, '.')[1:3], '.')]
+           WHEN 'card' THEN ['issuer:' || substr(dig, 1, 6)] ELSE ['block:' || substr(dig, 1, length(dig) - 4)] END)) AS entity
+         FROM (SELECT doc_id, kind, k, {_LOWER.format('v')} AS v, regexp_replace(v, '[^0-9]', '', 'g') AS dig FROM base) b
+         JOIN mask m ON m.doc_id = b.doc_id),
+ent AS (SELECT entity, count(DISTINCT text) AS n_e FROM ents GROUP BY 1 HAVING count(DISTINCT text) >= {D.min_support}),
+held AS (SELECT e.doc_id, e.text, e.entity, n_e FROM ents e JOIN ent USING (entity)),
+mw AS (SELECT doc_id, text, regexp_extract_all({_LOWER.format('masked')}, '{_WORD}') AS f, regexp_split_to_array({_LOWER.format('masked')}, '{_WORD}') AS g
+       FROM mask WHERE doc_id IN (SELECT doc_id FROM held)),
+w AS (SELECT doc_id, text, f[i] AS term, {_AT.format(g='g', f='f')} AS s FROM mw, unnest(range(1, len(f) + 1)) AS u(i)
+      WHERE length(f[i]) >= {D.min_chars}),
+pairs AS (SELECT entity, term, count(DISTINCT h.text) AS n_et FROM held h JOIN (SELECT DISTINCT doc_id, term FROM w) USING (doc_id)
+          GROUP BY 1, 2 HAVING count(DISTINCT h.text) >= {D.min_support}),
 freq AS (SELECT term, count(DISTINCT text) AS n_t FROM (
            SELECT text, unnest(list_distinct(regexp_extract_all({_LOWER.format('text')}, '{_WORD}'))) AS term FROM t)
          WHERE term IN (SELECT term FROM pairs) GROUP BY 1),
@@ -67,7 +72,8 @@ tot AS (SELECT count(DISTINCT text) AS n FROM t),
 dis AS (SELECT p.entity, p.term FROM pairs p JOIN ent e ON e.entity = p.entity JOIN freq f ON f.term = p.term, tot
         WHERE e.n_e < tot.n AND ln(p.n_et * tot.n / (e.n_e * f.n_t)) / ln(tot.n / e.n_e) >= {D.alpha}),
 spans AS (SELECT doc_id, s, k, kind, e FROM base UNION ALL
-          SELECT DISTINCT n.doc_id, n.s, 4, 'term', n.e FROM near n JOIN dis d ON d.entity = n.entity AND d.term = n.term),
+          SELECT DISTINCT w.doc_id, w.s, 4, 'term', w.s + length(w.term) FROM w JOIN held h ON h.doc_id = w.doc_id
+          JOIN dis d ON d.entity = h.entity AND d.term = w.term),
 b AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
              count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
              string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k) AS x FROM base GROUP BY 1),
