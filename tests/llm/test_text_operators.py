@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from samples import corpus
 
-from tidecast.llm import (decontaminate, langid, neardup, packing, pii, q_packing, q_tokencount, quality, substrings,
+from tidecast.llm import (decontaminate, langid, neardup, packing, pii, q_packing, q_pii, q_tokencount, quality, substrings,
                           textarrays, tokencount)
 
 #: Repeated rows: one row twice, one id with two texts, null ids.
@@ -337,7 +337,68 @@ def test_disclosing_words_are_found_and_spanned_in_whole_texts(make):
     assert "vetusta" not in out[0].lower().replace("[term]", "") and out[50] == data[4][1]
 
 
+def test_sql_of_personal_data_on_a_table_that_holds_terms(spark, make, tmp_path):
+    """Operator, brute force and SQL agree where words disclose entities and parts of them, far away and repeatedly."""
+    import duckdb
+    far = " filler" * 40
+    data = [(i, f"vetusta{far} n{i} admiral@fleet.example.org{far} Vetusta, the vetusta. vetustas") for i in range(4)]
+    data += [(20 + i, f"marineth officer{i}@fleet{i % 2}.example.org call +1 (988) 555-248{i} lineholder Lineholder") for i in range(5)]
+    data += [(40 + i, f"gatewayo at 10.20.30.{i} or 10.20.31.{i}, issuero 4111 1111 1111 1111 issuero") for i in range(4)]
+    data += [(60, f"vetusta gatewayo{far}"), (61, None), (62, "")] + [(200 + i, f"the plain words{far} r{i}") for i in range(60)]
+    d = pii.Disclosure()
+    want = brute.pii_spans(data, d)
+    kinds = [k for k, _ in brute.PATTERNS] + ["term"]
+    show = {i: ",".join(f"{kinds[k]}:{s}:{e}" for s, k, e in want[i, t or ""]) for i, t in data}
+    assert sum("term" in x for x in show.values()) >= 10
+    make(data).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in q_pii.op9_pii(spark, str(tmp_path)).collect()}
+    assert {r[0]: r[6] for r in got} == show
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert set(con.execute(q_pii.SQL).fetchall()) == got
+
+
 def test_sanitised_texts(make):
     data = [(1, "write to a.b@c.de or 10.0.0.1 now"), (2, None), (3, "clean")]
     out = {r.doc_id: r.text for r in pii.sanitised(make(data)).collect()}
     assert out == {1: "write to [EMAIL] or [IP] now", 2: None, 3: "clean"}
+
+
+def test_components_of_chains_and_stars(spark, monkeypatch):
+    """A chain in id order needs one contraction of log(length) jumps, not a round per link."""
+    writes = []
+    monkeypatch.setattr(neardup, "stored", lambda df, name, keep=neardup.stored: writes.append(name) or keep(df, name))
+    chain = [(k, k + 1) for k in range(1000)]
+    rng = random.Random(2)
+    order = rng.sample(range(5000, 5200), 200)
+    mixed = list(zip(order, order[1:]))
+    star = [(9000, 9000 + k) for k in range(1, 50)] + [(9100, 9001)]
+    got = {r.node: r.component for r in neardup.components(spark.createDataFrame(chain, "a bigint, b bigint")).collect()}
+    assert got == {k: 0 for k in range(1001)}
+    assert writes.count("neardup_labels") == 1 and writes.count("neardup_step") <= 15
+    got = {r.node: r.component for r in neardup.components(spark.createDataFrame(mixed + star, "a bigint, b bigint")).collect()}
+    assert got == {**{k: min(order) for k in order}, **{k: 9000 for k in [*range(9000, 9050), 9100]}}
+
+
+def family(n, seed=3):
+    """Texts of one template just under the threshold to each other, all own words shared by ten others, and two real links."""
+    rng = random.Random(seed)
+    base = [f"t{i}" for i in range(150)]
+    pool = [f"p{i}" for i in range(n * 3)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        for at in rng.sample(range(5, 145, 10), 10):
+            w[at] = rng.choice(pool)
+        out.append((k, " ".join(w)))
+    return [*out, (n, out[0][1] + " end"), (n + 1, "start " + out[7][1])]
+
+
+def test_template_family_makes_few_pairs(make, monkeypatch):
+    """Distinct texts below the threshold are not compared with each other, and no link is lost."""
+    data, pairs = family(120), []
+    keep = neardup.remaining_pairs
+    monkeypatch.setattr(neardup, "remaining_pairs", lambda *a: pairs.append(keep(*a)) or pairs[-1])
+    got = tuples(neardup.groups(make(data), neardup.Similar(3, 85)), "doc_id", "n_shingles", "component_id", "kept")
+    assert got == sorted(brute.near_groups(data, 3, 85), key=repr)
+    assert sum(p.count() for p in pairs) < 120 * 119 / 2 / 10

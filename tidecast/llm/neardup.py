@@ -15,9 +15,9 @@ every node is compared with the bucket's centre only (the node that shares most
 buckets with others; another draw in later rounds), at most ``CENTRES`` per node
 and round, preferring centres met in many bands. Linked nodes then share a
 component, and buckets that lie within one component are done. What is still
-mixed is settled exactly in a last round: shingles that few other open nodes have
-bound the similarity of a node to the others (``remaining_pairs``), and only pairs
-of different components above that bound are compared. Texts of candidates are
+mixed is settled exactly in a last round: a prefix join over the shingles in order of their rarity
+(``remaining_pairs``) gives all pairs of different components that can reach the threshold, without
+the buckets, and only those are compared. Texts of candidates are
 stored once and joined to the pairs by key; links and components never leave
 the executors.
 
@@ -185,11 +185,24 @@ def verified(pairs: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
     return arrow_map(both.select("a", "b", "text_a", "text_b"), _verify_batches(s), "a bigint, b bigint")
 
 
+def rooted(step: DataFrame) -> DataFrame:
+    """(v, to) with every vertex sent to the root of its tree, from (v, to) with its parent (a root has itself):
+    pointer jumping, as many rounds as the logarithm of the depth."""
+    up = step.select(F.col("v").alias("to"), F.col("to").alias("next"))
+    while True:
+        jumped = stored(step.join(up, "to").select("v", F.col("next").alias("to"), (F.col("to") != F.col("next")).alias("moved")), "neardup_step")
+        if jumped.filter("moved").isEmpty():
+            return jumped.select("v", "to")
+        step = jumped.select("v", "to")
+        up = jumped.select(F.col("v").alias("to"), F.col("to").alias("next"))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, component) of the nodes of undirected links (a, b): the smallest node.
 
-    Rounds of contraction: every vertex moves to its smallest neighbour, edges are
-    rewritten to the new vertices and deduplicated, until none is left.
+    Rounds of contraction: every vertex points at its smallest neighbour, the trees that
+    this makes are contracted to their roots, edges are rewritten to the roots and
+    deduplicated, until none is left. A chain in the order of its ids is one tree.
     """
     edges = stored(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),
                    "neardup_edges")
@@ -198,6 +211,7 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = stored(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("v"), F.least("a", "m").alias("to")),
                       "neardup_step")
+        step = rooted(step)
         labels = stored(labels.join(step, F.col("component") == F.col("v"), "left")
                         .select("node", F.coalesce("to", "component").alias("component")), "neardup_labels")
         ends = edges.join(step.select(F.col("v").alias("a"), F.col("to").alias("ta")), "a") \
@@ -238,24 +252,24 @@ def _shingle_batches(s: Similar):
 
 def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s: Similar) -> DataFrame:
     """(a, b), a < b: nodes of different components that were not compared yet and
-    can still reach the threshold; nothing that could be linked is left out.
+    can still reach the threshold t; nothing that could be linked is left out.
 
-    A shingle is rare if at most ``RARE`` open nodes have it. Of its n shingles a node
-    shares at most m = n - (its rare ones) that are not rare; the rare ones that two
-    nodes share are counted from the shingles (at most RARE^2 / 2 pairs each). So
+    The shingles are put in one order, fewest open nodes first. Two sets of similarity t share one
+    of the first n - ceil(t n) + 1 of both. A shingle is rare if at most ``RARE`` open nodes have
+    it. Of its n shingles a node shares at most m = n - (its rare ones) that are not rare; the rare
+    ones that two nodes share are counted from the shingles (at most RARE^2 / 2 pairs each). So
     with c shared rare shingles the intersection is at most q = c + min(ma, mb) and
-    the similarity at most q / (na + nb - q). Pairs without a common rare shingle
-    come from the buckets, each pair from the smallest bucket it shares.
+    the similarity at most q / (na + nb - q). Pairs without a common rare shingle share one of the first
+    m - ceil(t n) + 1 that are not rare: they are joined on those.
     """
-    homes = members.groupBy("node").agg(F.max("component").alias("component"), F.collect_list("bucket").alias("all"))
-    homes = stored(homes, "neardup_homes")
+    homes = stored(members.groupBy("node").agg(F.max("component").alias("component")), "neardup_homes")
     items = arrow_map(texts.join(homes.select("node"), "node", "left_semi"), _shingle_batches(s), "node bigint, item bigint")
     items = stored(items, "neardup_items")
-    scarce = stored(items.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") <= RARE), "neardup_scarce")
-    rare = stored(items.join(scarce, "item"), "neardup_rare")
+    counts = stored(items.groupBy("item").agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "neardup_counts")
     size = items.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
-    own = rare.groupBy("node").agg(F.count(F.lit(1)).alias("r"))
-    able = size.join(own, "node", "left").select("node", "n", (F.col("n") - F.coalesce("r", F.lit(0))).alias("m"))
+    known = stored(items.join(counts, "item"), "neardup_known")        # shingles of two nodes or more
+    often = known.filter(F.col("k") > RARE).groupBy("node").agg(F.count(F.lit(1)).alias("m"))
+    able = size.join(often, "node", "left").select("node", "n", F.coalesce("m", F.lit(0)).alias("m"))
     able = stored(homes.join(able, "node"), "neardup_able")
     side = lambda df, x: df.select(*[F.col(c).alias(f"{c}_{x}") for c in df.columns])
     other = (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
@@ -263,15 +277,26 @@ def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s:
     def reach(q):
         return q * 100 >= (F.col("n_a") + F.col("n_b") - q) * s.percent
 
-    rows = members.select("bucket", "node").join(able.filter(F.col("m") * 100 >= F.col("n") * s.percent), "node")
-    common = side(rows, "a").join(side(rows, "b"), (F.col("bucket_a") == F.col("bucket_b")) & other
-                                  & reach(F.least("m_a", "m_b"))
-                                  & (F.col("bucket_a") == F.array_min(F.array_intersect("all_a", "all_b"))))
-    shared = rare.filter("k > 1").join(able.drop("all"), "node").drop("k")
+    shared = known.filter(F.col("k") <= RARE).join(able, "node").drop("k")
     scarce_pairs = side(shared, "a").join(side(shared, "b"), (F.col("item_a") == F.col("item_b")) & other) \
         .groupBy("node_a", "node_b", "n_a", "n_b", "m_a", "m_b").agg(F.count(F.lit(1)).alias("c")) \
-        .filter(reach(F.col("c") + F.least("m_a", "m_b")))
-    pairs = common.select("node_a", "node_b").unionByName(scarce_pairs.select("node_a", "node_b")).distinct()
+        .filter(reach(F.col("c") + F.least("m_a", "m_b"))).select("node_a", "node_b")
+
+    first = F.expr(f"m - (n * {s.percent} + 99) div 100 + 1")
+    order = Window.partitionBy("node").orderBy("k", "item")
+    heads = known.filter(F.col("k") > RARE).join(able.filter(first > 0), "node") \
+        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= first).drop("r", "k")
+    heads = stored(heads, "neardup_heads")
+    # of every two nodes of different components one is outside the largest component of their shingle
+    top = heads.groupBy("item", "component").agg(F.count(F.lit(1)).alias("c")) \
+        .groupBy("item").agg(F.max(F.struct("c", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("kinds")) \
+        .filter("kinds > 1").select(F.col("item").alias("i"), "top")
+    mixed = stored(heads.join(top, F.col("item") == F.col("i")).drop("i"), "neardup_mixed_heads")
+    outside = mixed.filter("component <> top").drop("top")
+    common = side(outside, "a").join(side(mixed.drop("top"), "b"), (F.col("item_a") == F.col("item_b"))
+                                     & (F.col("component_a") != F.col("component_b")) & reach(F.least("m_a", "m_b"))) \
+        .select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b"))
+    pairs = common.unionByName(scarce_pairs).distinct()
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).join(tested, ["a", "b"], "left_anti")
 
 
