@@ -33,7 +33,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small, stored
+from .tables import free, small, stored
 
 #: Separators: every ASCII character that is no digit and no lower-case letter.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,10 +80,10 @@ def list_heads(windows: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def postings(docs: DataFrame, heads: DataFrame) -> DataFrame:
-    """(term, doc_id, pos) of every occurrence of a list head in the corpus."""
+    """(term, doc_id, text_key, pos) of every occurrence of a list head in the corpus."""
     terms = heads.select(F.explode(F.array("first", "second")).alias("term")).filter("term IS NOT NULL").distinct()
-    tokens = docs.select("doc_id", F.posexplode(words(F.col("text"))).alias("pos", "term"))
-    return tokens.join(small(terms), "term", "left_semi").select("term", "doc_id", "pos")
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.posexplode(words(F.col("text"))).alias("pos", "term"))
+    return tokens.join(small(terms), "term", "left_semi").select("term", "doc_id", "text_key", "pos")
 
 
 def build(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> Index:
@@ -93,39 +93,50 @@ def build(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> Index:
 
 
 def candidates(index: Index, slop: int = 0) -> DataFrame:
-    """(wid, doc_id, start): the offset-adjusted lists of the two rarest words of
+    """(wid, doc_id, text_key, start): the offset-adjusted lists of the two rarest words of
     each window, intersected; starts differ by at most ``slop`` words."""
-    p = index.postings.select("term", F.col("doc_id"), "pos")
+    p = index.postings
     first = (p.join(small(index.heads), F.col("term") == F.col("first"))
-             .select("wid", "doc_id", (F.col("pos") - F.col("first_at")).alias("start"), "second",
+             .select("wid", "doc_id", "text_key", (F.col("pos") - F.col("first_at")).alias("start"), "second",
                      (F.col("pos") - F.col("first_at") + F.col("second_at")).alias("want")))
-    alone = first.filter("second IS NULL").select("wid", "doc_id", "start")
+    alone = first.filter("second IS NULL").select("wid", "doc_id", "text_key", "start")
     step = slop + 1
-    lists = p.select(F.col("term").alias("t2"), F.col("doc_id").alias("d2"), F.col("pos").alias("p2"),
+    lists = p.select(F.col("term").alias("t2"), F.col("doc_id").alias("d2"), F.col("text_key").alias("k2"), F.col("pos").alias("p2"),
                      F.expr(f"p2 div {step}").alias("cell"))
     near = first.filter("second IS NOT NULL")
     cells = F.array(F.expr(f"want div {step}")) if slop == 0 else \
         F.array(*[F.expr(f"floor(want / {step})").cast("bigint") + k for k in (-1, 0, 1)])
     near = near.withColumn("near", F.explode(cells))
-    both = near.join(lists, (near.second == lists.t2) & near.doc_id.eqNullSafe(lists.d2) & (near.near == lists.cell)
-                     & (F.abs(near.want - lists.p2) <= slop))
-    out = alone.unionByName(both.select("wid", "doc_id", "start"))
+    both = near.join(lists, (near.second == lists.t2) & (near.text_key == lists.k2) & near.doc_id.eqNullSafe(lists.d2)
+                     & (near.near == lists.cell) & (F.abs(near.want - lists.p2) <= slop))
+    out = alone.unionByName(both.select("wid", "doc_id", "text_key", "start"))
     return out if slop == 0 else out.distinct()
 
 
-def phrase_matches(docs: DataFrame, index: Index) -> DataFrame:
-    """Per document: doc_id, text_key, w (its words) and hits, the verified occurrences
-    (start, len, item_ids) in order of start."""
-    found = candidates(index).filter("start >= 0").join(small(index.windows), "wid")
-    per_doc = found.groupBy(F.col("doc_id").alias("hit_doc")).agg(
-        F.collect_set(F.struct("start", "words", "item_ids")).alias("cand"))
-    rows = docs.select("doc_id", "text").join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit_doc")), "left")
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"), "cand")
-    same = F.filter("cand", lambda c: F.slice("w", c["start"] + 1, F.size(c["words"])) == c["words"])
-    hits = F.when(F.col("cand").isNull(), None).otherwise(
-        F.array_sort(F.transform(same, lambda c: F.struct(c["start"].alias("start"), F.size(c["words"]).alias("len"),
-                                                          c["item_ids"].alias("item_ids")))))
-    return rows.select("doc_id", "text_key", "w", hits.alias("hits"))
+def _met(docs: DataFrame, index: Index, slop: int, how: str) -> DataFrame:
+    """doc_id, text_key, w (the words) and cand, the candidate windows, of every document."""
+    found = candidates(index, slop).join(small(index.windows), "wid")
+    per_doc = found.groupBy(F.col("doc_id").alias("hit_doc"), F.col("text_key").alias("hit_text")).agg(
+        F.collect_set(F.struct(F.col("start").cast("int").alias("start"), "words", "item_ids")).alias("cand"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    rows = rows.join(per_doc, (F.col("text_key") == F.col("hit_text")) & F.col("doc_id").eqNullSafe(F.col("hit_doc")), how)
+    return rows.select("doc_id", "text_key", words(F.col("text")).alias("w"), "cand")
+
+
+def _same(c: Column) -> Column:
+    return (c["start"] >= 0) & (F.slice("w", F.greatest(c["start"], F.lit(0)) + 1, F.size(c["words"])) == c["words"])
+
+
+def phrase_matches(docs: DataFrame, index: Index, slop: int = 0) -> DataFrame:
+    """Per document: doc_id, text_key, w (its words), hits, the verified occurrences (start, len, item_ids) in
+    order of start, and near, the item_ids of windows matched within ``slop`` words (with repetitions)."""
+    rows = _met(docs, index, slop, "left")
+    hits = F.array_sort(F.transform(F.filter("cand", _same), lambda c: F.struct(
+        c["start"].alias("start"), F.size(c["words"]).alias("len"), c["item_ids"].alias("item_ids"))))
+    met = F.filter("cand", lambda c: _same(c) | near_window(F.col("w"), c["words"], c["start"], slop)) if slop else F.filter("cand", _same)
+    near = F.flatten(F.transform(met, lambda c: c["item_ids"]))
+    return rows.select("doc_id", "text_key", "w", F.when(F.col("cand").isNotNull(), hits).alias("hits"),
+                       F.when(F.col("cand").isNotNull(), near).alias("near"))
 
 
 def near_window(w: Column, words: Column, start: Column, slop: int) -> Column:
@@ -146,18 +157,14 @@ def near_window(w: Column, words: Column, start: Column, slop: int) -> Column:
 
 def proximity_matches(index: Index, slop: int) -> DataFrame:
     """(doc_id, item_id): items of which a document holds all words of some window, give or take ``slop`` words."""
-    found = candidates(index, slop).join(small(index.windows), "wid")
-    per_doc = found.groupBy(F.col("doc_id").alias("hit_doc")).agg(
-        F.collect_set(F.struct(F.col("start").cast("int").alias("start"), "words", "item_ids")).alias("cand"))
-    rows = index.docs.select("doc_id", "text").join(per_doc, F.col("doc_id").eqNullSafe(F.col("hit_doc")))
-    rows = rows.select("doc_id", words(F.col("text")).alias("w"), "cand")
-    near = F.filter("cand", lambda c: near_window(F.col("w"), c["words"], c["start"], slop))
-    return rows.select("doc_id", F.explode(F.array_distinct(F.flatten(F.transform(near, lambda c: c["item_ids"])))).alias("item_id")).distinct()
+    m = phrase_matches(index.docs, index, slop)
+    return m.select("doc_id", F.explode(F.array_distinct("near")).alias("item_id")).distinct()
 
 
-def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
-    """doc_id, text_key, n_words, n_hit, items (sorted item_ids as strings), contaminated."""
-    m = phrase_matches(docs, build(docs, benchmark, n))
+def report(docs: DataFrame, benchmark: DataFrame, n: int = 10, slop: int = 0) -> DataFrame:
+    """doc_id, text_key, n_words, n_hit, items (sorted item_ids as strings), near_items (those with a window matched
+    within ``slop`` words, exact ones included), contaminated."""
+    m = phrase_matches(docs, build(docs, benchmark, n), slop)
     zero = F.struct(F.lit(0).alias("upto"), F.lit(0).alias("n"))
 
     def cover(acc, h):
@@ -166,15 +173,18 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
         return F.struct(F.greatest(acc["upto"], end).alias("upto"), (acc["n"] + new).alias("n"))
 
     n_hit = F.coalesce(F.aggregate("hits", zero, cover)["n"], F.lit(0)).cast("bigint")
-    items = F.coalesce(F.array_sort(F.array_distinct(F.transform(F.flatten("hits.item_ids"), lambda i: i.cast("string")))),
-                       F.array().cast("array<string>"))
-    return (m.select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"), n_hit.alias("n_hit"), items.alias("items"))
+
+    def named(ids):
+        return F.coalesce(F.array_sort(F.array_distinct(F.transform(ids, lambda i: i.cast("string")))), F.array().cast("array<string>"))
+    return (m.select("doc_id", "text_key", F.size("w").cast("bigint").alias("n_words"), n_hit.alias("n_hit"),
+                     named(F.flatten("hits.item_ids")).alias("items"), named(F.col("near")).alias("near_items"))
             .withColumn("contaminated", F.col("n_hit") > 0))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, n: int = 10) -> DataFrame:
     """The documents (all columns) without those that hold a benchmark window."""
+    i, k = free("__id", docs), free("__k", docs)
     bad = report(docs, benchmark, n).filter("contaminated") \
-        .select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")).distinct()
+        .select(F.col("doc_id").alias(i), F.col("text_key").alias(k)).distinct()
     bad = small(stored(bad, "decontam_bad"))
-    return docs.join(bad, docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k")), "left_anti")
+    return docs.join(bad, docs.doc_id.eqNullSafe(F.col(i)) & (F.xxhash64(docs.text) == F.col(k)), "left_anti")
