@@ -28,7 +28,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import fits_broadcast, stored
+
 FOREVER = "9999-12-31"
+#: Parts over which the captures of one list key are dealt where the lists do not fit a broadcast.
+SALTS = 16
 
 
 def host_of(url: Column) -> Column:
@@ -73,19 +77,32 @@ def capture_keys(url: Column) -> Column:
 
 
 def active(captures: DataFrame, entries: DataFrame, key: str = "page_id") -> DataFrame:
-    """(key, url, fetched, list, kind, pattern, valid_from): the entries active at each capture's fetch time."""
-    spans = validity(entries).groupBy(F.col("kind").alias("k"), F.col("pattern").alias("p")).agg(
-        F.collect_list(F.struct("list", "valid_from", "valid_to")).alias("spans"))
-    keys = captures.select(key, "url", "fetched", F.explode(capture_keys(F.col("url"))).alias("u"))
-    j = keys.join(spans, (F.col("u.kind") == F.col("k")) & (F.col("u.pattern") == F.col("p")))
-    now = F.filter("spans", lambda s: (s["valid_from"] <= F.col("fetched")) & (F.col("fetched") < s["valid_to"]))
-    return j.select(key, "url", "fetched", F.explode(now).alias("s"), "k", "p").select(
-        key, "url", "fetched", "s.list", F.col("k").alias("kind"), F.col("p").alias("pattern"), "s.valid_from")
+    """(key, url, fetched, list, kind, pattern, valid_from): the entries active at each capture's fetch time.
+
+    The intervals of a (kind, pattern) are one row. Lists that fit are broadcast: a host with a third of all
+    captures stays spread as it was read. Longer ones meet the keys that are on some list by a shuffle in which
+    the captures of a key are dealt over ``SALTS`` parts.
+    """
+    spans = stored(validity(entries).groupBy(F.col("kind").alias("k"), F.col("pattern").alias("p")).agg(
+        F.collect_list(F.struct("list", "valid_from", "valid_to")).alias("spans")), "urlfilter_spans")
+    keys = captures.select(F.col(key).alias("id"), F.col("url").alias("u"), F.col("fetched").alias("at"), F.explode(capture_keys(F.col("url"))).alias("q"))
+    on = (F.col("q.kind") == F.col("k")) & (F.col("q.pattern") == F.col("p"))
+    if fits_broadcast(spans):
+        j = keys.join(F.broadcast(spans), on)
+    else:
+        part = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+        j = keys.withColumn("part", part).join(spans.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))),
+                                               on & (F.col("part") == F.col("salt")))
+    now = F.filter("spans", lambda s: (s["valid_from"] <= F.col("at")) & (F.col("at") < s["valid_to"]))
+    return j.select("id", "u", "at", "k", "p", F.explode(now).alias("s")).select(
+        F.col("id").alias(key), F.col("u").alias("url"), F.col("at").alias("fetched"), "s.list", F.col("k").alias("kind"),
+        F.col("p").alias("pattern"), "s.valid_from")
 
 
 def evaluated(captures: DataFrame, entries: DataFrame, allow: str = "allow", key: str = "page_id") -> DataFrame:
     """One row per capture: its host, the lists active for it (sorted), the latest
     entry date, and ``blocked``: on some list and not on the allow list."""
+    captures = captures.select(key, "url", "fetched")
     hits = active(captures, entries, key)
     per = hits.groupBy(F.col(key).alias("__k"), F.col("url").alias("__u"), F.col("fetched").alias("__f")).agg(
         F.array_sort(F.collect_set("list")).alias("lists"), F.max("valid_from").alias("since"),
