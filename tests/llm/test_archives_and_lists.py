@@ -140,3 +140,29 @@ def test_intervals_do_not_overlap(spark):
                               "list string, kind string, pattern string, action string, at timestamp_ntz")
     got = sorted((r.valid_from, r.valid_to) for r in urlfilter.validity(e).select("valid_from", F.col("valid_to").cast("string").alias("valid_to")).collect())
     assert got == [(day(1), "2024-01-04 00:00:00"), (day(5), "9999-12-31 00:00:00")]
+
+
+def test_index_keys_and_order(spark, tmp_path):
+    assert warc.surt("http://User@WWW.Example.com:80/A?b#c") == "com,example,www)/A?b" and warc.surt(None) == warc.surt("no url") == "-"
+    assert warc.surt("https://h") == "h)/"
+    pages = spark.createDataFrame([(k, f"http://h{k % 3}.example.org/{k}", f"<p>{k}</p>" * 40) for k in range(30)], "page_id bigint, url string, html string")
+    manifest = warc.write_archives(pages.coalesce(1), str(tmp_path / "archives"))
+    fs, name = warc.filesystem(manifest.first().path)
+    with fs.open_input_file(name) as f:
+        read = lambda at, n: f.read_at(n, at)
+        members = {m.name: m for m in warc.directory(read, f.size())}
+        lines = read(*warc.data_range(read, members[warc.INDEX])).decode().splitlines()
+    assert lines == sorted(lines) and all(x.split(" ")[1] == "20240101000000" for x in lines) and lines[0].startswith("org,example,h0)/0 ")
+    assert sorted(int(r.page_id) for r in warc.read_archives(manifest).collect()) == list(range(30))
+
+
+def test_lists_too_long_to_broadcast_and_clashing_columns(spark, monkeypatch):
+    from tidecast.llm import q_urlfilter, urlfilter
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    caps = q_urlfilter.captures(pages)
+    for c in ("lists", "since", "n_entries", "blocked", "k", "p", "q", "part", "salt", "__k"):
+        caps = caps.withColumn(c, F.lit("mine"))
+    whole = sorted(map(str, urlfilter.evaluated(caps, q_urlfilter.entries(pages)).collect()))
+    monkeypatch.setattr(urlfilter, "fits_broadcast", lambda df: False)
+    assert sorted(map(str, urlfilter.evaluated(caps, q_urlfilter.entries(pages)).collect())) == whole
+    assert sorted(map(str, urlfilter.evaluated(q_urlfilter.captures(pages), q_urlfilter.entries(pages)).collect())) == whole

@@ -26,6 +26,7 @@ from __future__ import annotations
 import gzip
 import hashlib
 import json
+import re
 import struct
 import uuid
 import zipfile
@@ -99,6 +100,15 @@ def parse(data: bytes) -> dict:
             "url": fields[b"warc-target-uri"].decode() if b"warc-target-uri" in fields else None}
 
 
+def surt(url: str | None) -> str:
+    """The sort-friendly key of a URL: host labels from the last on, then path and query; ``-`` without a URL."""
+    found = re.match(r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)(?::[0-9]*)?([^#]*)", url or "")
+    if not found:
+        return "-"
+    host, rest = found[1].lower().strip("."), found[2]
+    return re.sub(r"\s", lambda m: f"%{ord(m[0]):02X}", ",".join(reversed(host.split("."))) + ")" + (rest if rest.startswith("/") else "/" + rest))
+
+
 # --- ZIP directory ---------------------------------------------------------
 
 @dataclass(frozen=True)
@@ -169,15 +179,16 @@ class ArchiveWriter:
         self.member = self.zip.open(DATA, "w", force_zip64=True)
         self.size, self.index = 0, []
 
-    def add(self, data: bytes, page_id) -> None:
+    def add(self, data: bytes, page_id, url: str | None = None) -> None:
         packed = gzip.compress(data, compresslevel=1, mtime=0)
         self.member.write(packed)
-        self.index.append((self.size, len(packed), page_id))
+        self.index.append((self.size, len(packed), page_id, surt(url)))
         self.size += len(packed)
 
     def close(self) -> int:
         self.member.close()
-        lines = "".join(f"{page} {json.dumps({'offset': o, 'length': n})}\n" for o, n, page in self.index)
+        time = "".join(c for c in DATE if c.isdigit())
+        lines = "".join(sorted(f"{key} {time} {json.dumps({'offset': o, 'length': n, 'page': page})}\n" for o, n, page, key in self.index))
         self.zip.writestr(INDEX, lines)
         self.zip.close()
         self.sink.close()
@@ -192,7 +203,7 @@ def _write_batches(folder: str):
             for i in range(batch.num_rows):
                 page, url, html, ref = (col[n][i].as_py() for n in ("page_id", "url", "html", "refers_to"))
                 writer = writer or ArchiveWriter(folder)
-                writer.add(record(page, url, (html or "").encode("utf-8", "surrogatepass"), ref), page)
+                writer.add(record(page, url, (html or "").encode("utf-8", "surrogatepass"), ref), page, url)
                 if writer.size >= ARCHIVE:
                     done.append((f"{folder}/{writer.name}", writer.close()))
                     writer = None
@@ -233,15 +244,15 @@ def _locate_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 members = {m.name: m for m in directory(read, f.size())}
                 base, _ = data_range(read, members[DATA])
                 at, n = data_range(read, members[INDEX])
-                index = [json.loads(x[x.index(" ") + 1:]) for x in read(at, n).decode().splitlines()]
-            rows, lengths = [], []
-            for x in index:
+                index = [json.loads(x.split(" ", 2)[2]) for x in read(at, n).decode().split("\n") if x]
+                index.sort(key=lambda x: x["offset"])
+            rows, lengths, total = [], [], 0
+            for k, x in enumerate(index):
                 lengths.append(x["length"])
-                if sum(lengths) >= BLOCK:
-                    rows.append((path, base + x["offset"] + x["length"] - sum(lengths), lengths))
-                    lengths = []
-            if lengths:
-                rows.append((path, base + index[-1]["offset"] + index[-1]["length"] - sum(lengths), lengths))
+                total += x["length"]
+                if total >= BLOCK or k == len(index) - 1:
+                    rows.append((path, base + x["offset"] + x["length"] - total, lengths))
+                    lengths, total = [], 0
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.list_(pa.int64()))], names=["path", "at", "lengths"])
