@@ -7,6 +7,7 @@ import zlib
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import corpus
 
 from tidecast.llm import (decontaminate, langid, neardup, packing, pii, q_packing, q_pii, q_tokencount, quality, substrings,
@@ -402,3 +403,63 @@ def test_template_family_makes_few_pairs(make, monkeypatch):
     got = tuples(neardup.groups(make(data), neardup.Similar(3, 85)), "doc_id", "n_shingles", "component_id", "kept")
     assert got == sorted(brute.near_groups(data, 3, 85), key=repr)
     assert sum(p.count() for p in pairs) < 120 * 119 / 2 / 10
+
+
+CLASHING = ["score", "lang_pred", "__gone", "__id", "__k", "__s", "__t", "__n", "__base", "__spans"]
+
+
+def test_columns_named_like_those_of_the_operators(make, spark, rows):
+    """Extra columns of any name come through stages unchanged and break no operator."""
+    docs = make(rows[:60])
+    for c in CLASHING:
+        docs = docs.withColumn(c, F.lit("mine"))
+    bench = spark.createDataFrame([(1, "no such words here")], "item_id bigint, text string")
+    for out in (quality.cleaned(docs), neardup.representatives(docs), decontaminate.clean(docs, bench), pii.sanitised(docs)):
+        assert out.columns == docs.columns
+        assert out.count() > 0 and out.filter(" OR ".join(f"`{c}` <> 'mine'" for c in CLASHING)).count() == 0
+    got = langid.predict(docs, langid.train(docs))
+    assert got.columns.count("score") == got.columns.count("lang_pred") == 1 and got.count() == docs.count()
+
+
+def test_mixture_by_plain_python():
+    """Selection and proportions of the mixture, by dictionaries and loops."""
+    rng = random.Random(6)
+    alphabet = {"a": "abcde", "b": "fghij", "c": "klmno"}
+    counts = np.zeros((langid.BUCKETS, 3), dtype=np.int64)
+    text = lambda k, n: " ".join("".join(rng.choice(alphabet[k]) for _ in range(rng.randint(2, 6))) for _ in range(n))
+    for i, k in enumerate("abc"):
+        np.add.at(counts[:, i], langid.trigrams(text(k, 800).encode()), 1)
+    model = langid.Model(list("abc"), counts)
+    total = [int(counts[:, i].sum()) for i in range(3)]
+
+    def plain(words):
+        grams = langid.trigrams(words.encode()).tolist()
+        units = [grams[i:i + langid.UNIT] for i in range(0, len(grams), langid.UNIT)]
+        like = [[sum(math.log((int(counts[g, l]) + langid.ALPHA) / (total[l] + langid.ALPHA * langid.BUCKETS)) / langid.OVERLAP
+                     for g in u) for l in range(3)] for u in units]
+
+        def fit(chosen):
+            pi = [1 / len(chosen)] * len(chosen)
+            for _ in range(400):
+                new = [0.0] * len(chosen)
+                for row in like:
+                    top = max(row[l] for l in chosen)
+                    mass = [p * math.exp(row[l] - top) for p, l in zip(pi, chosen)]
+                    for j, m in enumerate(mass):
+                        new[j] += m / sum(mass) / len(like)
+                pi = new
+            return sum(max(row) + math.log(sum(p * math.exp(row[l] - max(row)) for p, l in zip(pi, chosen))) for row in like), pi
+        chosen = [max(range(3), key=lambda l: sum(r[l] for r in like))]
+        best, pi = fit(chosen)
+        while len(chosen) < 3:
+            (f, p), k = max(((fit(chosen + [k]), k) for k in range(3) if k not in chosen), key=lambda x: x[0][0])
+            if f - best <= langid.PENALTY * math.log(len(like) + 1):
+                break
+            chosen, best, pi = chosen + [k], f, p
+        return {"abc"[l]: p for l, p in zip(chosen, pi)}
+
+    for parts in ("a", "b", "ab", "bc", "abc"):
+        words = " ".join(text(k, 120) for k in parts)
+        want, got = plain(words), model.mixture(words.encode())
+        assert set(got) == set(want) == set(parts)
+        assert all(abs(got[k] - want[k]) < 0.02 for k in want)

@@ -20,7 +20,7 @@ shuffle. Only the model, languages x BUCKETS numbers, goes through the driver
 pass without a shuffle over the whole texts.
 
 Defined results. Null text, no letter, or nothing learned: ``und`` with score 0.
-Null language: not a training row. Ties: the language first in alphabetical
+Null language or null doc_id (the query): not a training row. Ties: the language first in alphabetical
 order. Every row gives one row. Empty table: no rows.
 """
 
@@ -172,7 +172,9 @@ def _predictions(shared):
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of (doc_id, ..., text) with lang_pred and score in place of the text."""
+    """The rows of (doc_id, ..., text) with lang_pred and score in place of the text; input columns of
+    these two names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields if f.name != "text")
     return arrow_map(docs, _predictions(shared), kinds + "lang_pred string, score double")

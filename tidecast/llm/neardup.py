@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .tables import arrow_map, stored
+from .tables import arrow_map, free, stored
 
 UNIVERSE = 1 << 20
 CENTRES = 3
@@ -358,11 +358,12 @@ def linked(members: DataFrame, texts: DataFrame, s: Similar) -> DataFrame:
 def representatives(docs: DataFrame, s: Similar = Similar()) -> DataFrame:
     """One document (all columns) of every group: the one of the smallest doc_id.
     Of repeated rows of that document one stays."""
-    keep = groups(docs, s).filter("kept").groupBy(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k")) \
-        .agg(F.count(F.lit(1)).alias("__n"))
+    i, k, n = (free(c, docs) for c in ("__id", "__k", "__n"))
+    keep = groups(docs, s).filter("kept").groupBy(F.col("doc_id").alias(i), F.col("text_key").alias(k)) \
+        .agg(F.count(F.lit(1)).alias(n))
     keep = stored(keep, "neardup_keep")
-    rows = docs.join(keep, docs.doc_id.eqNullSafe(F.col("__id")) & (F.xxhash64(docs.text) == F.col("__k")))
-    once = rows.filter("__n = 1").select(docs.columns)
-    if keep.filter("__n > 1").isEmpty():
+    rows = docs.join(keep, docs.doc_id.eqNullSafe(F.col(i)) & (F.xxhash64(docs.text) == F.col(k)))
+    once = rows.filter(F.col(n) == 1).select(docs.columns)
+    if keep.filter(F.col(n) > 1).isEmpty():
         return once
-    return once.unionByName(rows.filter("__n > 1").dropDuplicates(["__id", "__k"]).select(docs.columns))
+    return once.unionByName(rows.filter(F.col(n) > 1).dropDuplicates([i, k]).select(docs.columns))

@@ -39,7 +39,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import small, stored
+from .tables import free, small, stored
 
 KINDS = ["email", "ip", "card", "phone", "term"]
 
@@ -232,11 +232,14 @@ def spans(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
 
 
 def attached(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
-    """The documents, all columns, with ``__base`` and ``__spans`` (empty where nothing was found)."""
-    s = spans(docs, d).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__k"),
+    """The documents, all columns, with ``__base`` and ``__spans`` (empty where nothing was found; input columns
+    of these two names are replaced)."""
+    i, k = free("__id", docs), free("__k", docs)
+    docs = docs.drop("__base", "__spans")
+    s = spans(docs, d).select(F.col("doc_id").alias(i), F.col("text_key").alias(k),
                               F.col("base").alias("__base"), F.col("spans").alias("__spans"))
-    j = docs.join(s, docs.doc_id.eqNullSafe(F.col("__id"))
-                  & (F.xxhash64(F.coalesce(docs.text, F.lit(""))) == F.col("__k")), "left").drop("__id", "__k")
+    j = docs.join(s, docs.doc_id.eqNullSafe(F.col(i))
+                  & (F.xxhash64(F.coalesce(docs.text, F.lit(""))) == F.col(k)), "left").drop(i, k)
     none = F.array().cast(_SPAN)
     return j.withColumn("__base", F.coalesce("__base", none)).withColumn("__spans", F.coalesce("__spans", none))
 
@@ -250,6 +253,9 @@ def joined(spans_col: str) -> Column:
 def sanitised(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
     """The documents with every span replaced: base spans by their kind, disclosing
     words by [TERM] or by nothing. Overlapping spans are replaced as one, by the first."""
+    old = {c: free(f"{c}_input", docs) for c in docs.columns if c in ("__base", "__spans")}
+    columns = docs.columns
+    docs = docs.withColumnsRenamed(old)
     rows = attached(docs, d)
     kinds = F.array(*[F.upper(F.lit(k)) for k in KINDS])
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
@@ -263,4 +269,5 @@ def sanitised(docs: DataFrame, d: Disclosure = Disclosure()) -> DataFrame:
 
     parts = F.aggregate("__spans", zero, step)
     text = F.concat(F.array_join(parts["out"], ""), F.substring(F.col("text"), parts["at"] + 1, F.length("text")))
-    return rows.withColumn("text", F.when(F.size("__spans") > 0, text).otherwise(F.col("text"))).select(docs.columns)
+    return rows.withColumn("text", F.when(F.size("__spans") > 0, text).otherwise(F.col("text"))) \
+        .select([F.col(old.get(c, c)).alias(c) for c in columns])

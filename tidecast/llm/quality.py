@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import textarrays as ta
-from .tables import arrow_map, stored
+from .tables import arrow_map, free, stored
 
 
 @dataclass(frozen=True)
@@ -177,10 +177,11 @@ def cleaned(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     (doc_id, source, text hash), so repeated rows stay repeated and rows of one
     doc_id are judged apart.
     """
+    i, h, t, g = (free(c, docs) for c in ("__id", "__s", "__t", "__gone"))
     verdict = judged(docs, rules).filter("kept").select(
-        F.col("doc_id").alias("__id"), F.col("source").alias("__s"), F.col("text_hash").alias("__t"),
-        F.col("removed_at").alias("__gone")).dropDuplicates(["__id", "__s", "__t"])
-    rows = docs.join(verdict, docs.doc_id.eqNullSafe(F.col("__id")) & docs.source.eqNullSafe(F.col("__s"))
-                     & (F.xxhash64(docs.text) == F.col("__t")))
-    stay = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return rows.withColumn("text", F.when(F.col("__gone").isNull(), F.col("text")).otherwise(stay)).select(docs.columns)
+        F.col("doc_id").alias(i), F.col("source").alias(h), F.col("text_hash").alias(t),
+        F.col("removed_at").alias(g)).dropDuplicates([i, h, t])
+    rows = docs.join(verdict, docs.doc_id.eqNullSafe(F.col(i)) & docs.source.eqNullSafe(F.col(h))
+                     & (F.xxhash64(docs.text) == F.col(t)))
+    stay = F.array_join(F.filter(F.split("text", "\n", -1), lambda x, k: ~F.array_contains(g, k)), "\n")
+    return rows.withColumn("text", F.when(F.col(g).isNull(), F.col("text")).otherwise(stay)).select(docs.columns)

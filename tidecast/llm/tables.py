@@ -16,15 +16,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-#: A table is broadcast up to so many rows (keys and short strings, some 100 bytes each), else joined by shuffle.
+#: A table is broadcast up to so many rows and bytes (its rows as JSON text), else joined by shuffle.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 << 20
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether a table has at most ``BROADCAST_ROWS`` rows and ``BROADCAST_BYTES`` bytes; reads one row more at most."""
+    head = df.limit(BROADCAST_ROWS + 1).select(F.octet_length(F.to_json(F.struct("*"))).alias("size"))
+    n, size = head.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    return n <= BROADCAST_ROWS and size <= BROADCAST_BYTES
 
 
 def small(df: DataFrame) -> DataFrame:
-    """Marked for broadcast if a count shows at most ``BROADCAST_ROWS`` rows, else
-    unchanged, so that Spark plans a shuffle join."""
-    n = df.limit(BROADCAST_ROWS + 1).count()
-    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+    """Marked for broadcast if it was measured to fit, else unchanged, so that Spark plans a shuffle join."""
+    return F.broadcast(df) if fits_broadcast(df) else df
+
+
+def free(name: str, *frames: DataFrame) -> str:
+    """The name, with underscores before it until no column of the frames has it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
