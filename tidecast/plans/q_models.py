@@ -15,8 +15,8 @@ from ..operators import models as md
 from ..operators import windows
 from ..params import FUTURE_FEATURES, PAST_FEATURES
 from ..session import scratch_path
-from ..sources import files
-from ..streaming import intake
+from ..sources import files, panel
+from ..streaming import intake, snapshot
 from . import tables
 from . import requests as rq
 from . import q_history  # noqa: F401  (its SQL parts are used here)
@@ -292,8 +292,8 @@ def stream_request_intake(spark, sf):
     """Request files drained by a Structured Streaming query (availableNow): every
     line ends in the history or, with its text and errors, in the rejected sink."""
     state = fc.history_state(tables.feature_table(spark, sf))
-    snapshot = files.materialize(spark, state, "feature_snapshot")
-    raw = rq.request_bodies(snapshot).withColumn(
+    known = files.materialize(spark, state, "feature_snapshot")
+    raw = rq.request_bodies(known).withColumn(
         "submitted_at", F.col("latest_date").cast("timestamp_ntz") + F.make_interval(hours=F.col("variant")))
     lost = raw.filter("variant = 0").withColumn("Store", F.col("Store") + _UNKNOWN) \
         .withColumn("request_id", F.col("request_id") + _UNKNOWN * 100)
@@ -304,7 +304,7 @@ def stream_request_intake(spark, sf):
         .unionByName(lost.select("variant", "Store", "request_id", "submitted_at", "body"))
     # requests arrive as text files of JSON lines, spread over four files
     lines.repartition(4, "request_id").select(F.concat(head, F.col("body").substr(F.lit(2), F.length("body")))).write.text(inbox)
-    out = intake.run_intake(spark, inbox, snapshot, max_files_per_trigger=1)  # one batch per file
+    out = intake.run_intake(spark, inbox, known, max_files_per_trigger=1)  # one batch per file
     hist = spark.read.parquet(out["history"])
     rej = spark.read.parquet(out["rejected"])
     return hist.select("id", "store_id", "total_predicted_sales", "stockout_risk",
@@ -313,3 +313,22 @@ def stream_request_intake(spark, sf):
                    F.lit(None).cast("bigint").alias("total_predicted_sales"),
                    F.lit(None).cast("string").alias("stockout_risk"), F.lit(False).alias("accepted"),
                    F.array_join("errors", ",").alias("errors")))
+
+
+@register("stream_feature_snapshot", sql("""
+SELECT s.Store, latest_date, ROUND(last_rolling_7_sales, 4) AS last_rolling_7_sales, ROUND(last_rolling_14_sales, 4) AS last_rolling_14_sales,
+       ROUND(last_rolling_7_std_sales, 4) AS last_rolling_7_std_sales, last_days_since_promo, ROUND(tail7_mean, 4) AS tail7_mean, closes_on_sundays,
+       t.tail_sales
+FROM state s JOIN (SELECT Store, CAST(sum(Sales) AS DOUBLE) AS tail_sales FROM features WHERE row_position >= n_rows - 8 GROUP BY Store) t
+  ON t.Store = s.Store""", "state", "features"))
+def stream_feature_snapshot(spark, sf):
+    """The feature snapshot after three increments of the daily fact, each streamed through the state of its stores:
+    equals the state recomputed from all rows."""
+    days = files.materialize(spark, tables.open_days(panel.sales_daily(spark, sf)).select("Store", "Date", "DayOfWeek", "Sales", "Promo"), "snapshot_days")
+    a, b = days.agg(F.percentile_approx(F.unix_date("Date"), [0.5, 0.8], 10_000)).first()[0]
+    day = F.unix_date("Date")
+    path = snapshot.run(spark, [days.filter(day <= a), days.filter((day > a) & (day <= b)), days.filter(day > b)])
+    s = snapshot.latest(spark, path)
+    return s.select("Store", "latest_date", *[r4(c).alias(c) for c in ("last_rolling_7_sales", "last_rolling_14_sales", "last_rolling_7_std_sales")],
+                    "last_days_since_promo", r4("tail7_mean").alias("tail7_mean"), "closes_on_sundays",
+                    F.aggregate("tail", F.lit(0.0), lambda acc, x: acc + x["s"]).alias("tail_sales"))

@@ -13,6 +13,8 @@ so a replay after a failure leaves every request once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,19 +53,21 @@ def split_requests(lines: DataFrame, snapshot: DataFrame) -> tuple[DataFrame, Da
     return j.filter(F.col("is_valid") & known).drop("_store"), bad
 
 
-def process_batch(batch: DataFrame, batch_id: int, snapshot: DataFrame, history_path: str, rejected_path: str) -> None:
-    ok, bad = split_requests(batch, snapshot)
+def process_batch(batch: DataFrame, batch_id: int, snapshot: DataFrame | Callable[[], DataFrame], history_path: str,
+                  rejected_path: str) -> None:
+    ok, bad = split_requests(batch, snapshot() if callable(snapshot) else snapshot)
     bad.write.mode("overwrite").parquet(f"{rejected_path}/batch={batch_id}")
     f = dc.with_insights(fc.forecast_joined(vd.request_defaults(ok)))
     f = f.withColumn("response_average", (F.col("total_predicted_sales") / F.size("days")).cast("bigint"))
     hs.log_write(hs.log_rows(f, created_at="submitted_at"), f"{history_path}/batch={batch_id}", "overwrite")
 
 
-def run_intake(spark: SparkSession, inbox: str, snapshot: DataFrame, history_path: str | None = None,
+def run_intake(spark: SparkSession, inbox: str, snapshot: DataFrame | Callable[[], DataFrame], history_path: str | None = None,
                rejected_path: str | None = None, checkpoint: str | None = None,
                max_files_per_trigger: int = 100) -> dict:
     """Drain every request file currently in ``inbox`` (availableNow, in
-    micro-batches of at most ``max_files_per_trigger`` files) and stop."""
+    micro-batches of at most ``max_files_per_trigger`` files) and stop. ``snapshot``: the state of every
+    store, or a function that reads the newest one for each micro-batch (``snapshot.latest``)."""
     history_path = history_path or scratch_path(spark, "intake_history")
     rejected_path = rejected_path or scratch_path(spark, "intake_rejected")
     checkpoint = checkpoint or scratch_path(spark, "intake_checkpoint")
