@@ -50,6 +50,8 @@ CENTRES = 3
 #: Rounds against bucket centres before the last round; one finds nearly all links.
 ROUNDS = 1
 RARE = 8
+#: So many of a node's first shingles are compared to make a pair once.
+HEAD = 16
 SEED = 20
 
 
@@ -260,7 +262,9 @@ def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s:
     ones that two nodes share are counted from the shingles (at most RARE^2 / 2 pairs each). So
     with c shared rare shingles the intersection is at most q = c + min(ma, mb) and
     the similarity at most q / (na + nb - q). Pairs without a common rare shingle share one of the first
-    m - ceil(t n) + 1 that are not rare: they are joined on those.
+    m - ceil(t n) + 1 that are not rare: they are joined on those. If the first one they share is number i of a and
+    j of b, the intersection is at most 1 + min(ma - i, mb - j). Where that one is among the first ``HEAD`` of both,
+    the pair is made on it alone.
     """
     homes = stored(members.groupBy("node").agg(F.max("component").alias("component")), "neardup_homes")
     items = arrow_map(texts.join(homes.select("node"), "node", "left_semi"), _shingle_batches(s), "node bigint, item bigint")
@@ -285,16 +289,20 @@ def remaining_pairs(members: DataFrame, texts: DataFrame, tested: DataFrame, s:
     first = F.expr(f"m - (n * {s.percent} + 99) div 100 + 1")
     order = Window.partitionBy("node").orderBy("k", "item")
     heads = known.filter(F.col("k") > RARE).join(able.filter(first > 0), "node") \
-        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= first).drop("r", "k")
+        .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= first).drop("k")
     heads = stored(heads, "neardup_heads")
+    begin = heads.filter(F.col("r") <= HEAD).groupBy(F.col("node").alias("of")) \
+        .agg(F.sort_array(F.collect_list(F.struct("r", "item")))["item"].alias("begin"))
     # of every two nodes of different components one is outside the largest component of their shingle
     top = heads.groupBy("item", "component").agg(F.count(F.lit(1)).alias("c")) \
         .groupBy("item").agg(F.max(F.struct("c", "component"))["component"].alias("top"), F.count(F.lit(1)).alias("kinds")) \
         .filter("kinds > 1").select(F.col("item").alias("i"), "top")
-    mixed = stored(heads.join(top, F.col("item") == F.col("i")).drop("i"), "neardup_mixed_heads")
-    outside = mixed.filter("component <> top").drop("top")
-    common = side(outside, "a").join(side(mixed.drop("top"), "b"), (F.col("item_a") == F.col("item_b"))
-                                     & (F.col("component_a") != F.col("component_b")) & reach(F.least("m_a", "m_b"))) \
+    mixed = stored(heads.join(top, F.col("item") == F.col("i")).drop("i").join(begin, F.col("node") == F.col("of")).drop("of"), "neardup_mixed_heads")
+    outside, both = mixed.filter("component <> top").drop("top"), F.array_intersect("begin_a", "begin_b")
+    once = (F.size(both) == 0) | (F.get(both, F.lit(0)) == F.col("item_a"))
+    twice = (F.col("component_b") != F.col("top_b")) & (F.col("node_a") > F.col("node_b"))     # both outside: made from the smaller one
+    common = side(outside, "a").join(side(mixed, "b"), (F.col("item_a") == F.col("item_b")) & (F.col("component_a") != F.col("component_b"))
+                                     & ~twice & reach(1 + F.least(F.col("m_a") - F.col("r_a"), F.col("m_b") - F.col("r_b"))) & once) \
         .select(F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b"))
     pairs = common.unionByName(scarce_pairs).distinct()
     return pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).join(tested, ["a", "b"], "left_anti")
