@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +42,28 @@ def src_product_csv(spark, sf):
     return df.withColumn("price", r4("price"))
 
 
+# First rows of every input, as text: table, its order, the columns shown.
+_PREVIEW = {"sales_daily": (["Store", "Date"], ["Store", "Date", "Sales", "Open", "Promo"]),
+            "store_dim": (["Store"], ["Store", "StoreType", "Assortment"]),
+            "product_daily": (["product", "date"], ["product", "date", "units_sold", "stock"])}
+
+
+@register("src_preview", sql(" UNION ALL ".join(f"""
+SELECT '{t}' AS table_name, CAST(row_number() OVER (ORDER BY {", ".join(order)}) AS INTEGER) AS position,
+       concat_ws(',', {", ".join(f"CAST({c} AS VARCHAR)" for c in shown)}) AS line FROM {t}
+QUALIFY position <= 5""" for t, (order, shown) in _PREVIEW.items()), *_PREVIEW))
+def src_preview(spark, sf):
+    """The first five rows of each input table (the limit is the feature: a look before use)."""
+    tables_ = {"sales_daily": panel.sales_daily(spark, sf), "store_dim": panel.store_dim(spark, sf), "product_daily": panel.product_daily(spark, sf)}
+    out = None
+    for t, (order, shown) in _PREVIEW.items():
+        head = tables_[t].orderBy(*order).limit(5)
+        rows = head.select(F.lit(t).alias("table_name"), F.row_number().over(Window.orderBy(*order)).alias("position"),
+                           F.concat_ws(",", *[F.col(c).cast("string") for c in shown]).alias("line"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # Lines of the daily fact with faults by rule (fixed values): k = (7 Store + day of the year) % 40.
 _COLUMNS = ["Store", "Date", "Sales", "Open", "Promo"]
 _UNTRUSTED = T.StructType([T.StructField("Store", T.IntegerType(), False), T.StructField("Date", T.DateType(), False),
